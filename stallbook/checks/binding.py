@@ -2,15 +2,18 @@
 supplier, part, orders, lineitem).
 
 A region plays a branch, an open order line a bill line, a closed one a purchase
-line, an order a ledger voucher. Money is decimal, so sums are exact. No join
-carries a broadcast hint: the two fixed-size tables (5 regions, 25 nations) are
-broadcast by their file size, the growing ones only while they are small.
+line, an order a ledger voucher. Money is rounded to five places at most. No join
+carries a broadcast hint: tables are joined one by one onto the larger side, so
+Spark sees the file size of each and broadcasts it only while that is small.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallbook.config import RetailConfig
 from stallbook.functions import dates
@@ -31,12 +34,31 @@ ALIAS_CFG = RetailConfig(
 AS_OF = "2001-12-31"
 
 
+@lru_cache(maxsize=None)
+def _schema(path: str) -> T.StructType:
+    """Schema from the file footer, looked up once per file."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """A table of few files is read by few tasks, whatever the number of cores:
+    deal its rows out. A table with a file per core or more is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
+def _places(c: Column, digits: int) -> Column:
+    """The double nearest to the value with that many decimal places."""
+    return F.rint(c * float(10**digits)) / F.lit(float(10**digits))
 
 
-def _dec(c: Column, precision: int, scale: int) -> Column:
-    return c.cast(f"decimal({precision},{scale})")
+def _amount_text(c: Column, digits: int) -> Column:
+    return c.cast(f"decimal(18,{digits})").cast("string")
 
 
 def _branches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,24 +70,25 @@ def _branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _spread(table(spark, sf_dir, "orders"))
     customer = table(spark, sf_dir, "customer")
     places = _branches(spark, sf_dir)
-    buyers = customer.join(places, customer.c_nationkey == places.n_nationkey)
-    orders = table(spark, sf_dir, "orders")
-    return orders.join(buyers, orders.o_custkey == buyers.c_custkey)
+    return orders.join(customer, orders.o_custkey == customer.c_custkey).join(
+        places, customer.c_nationkey == places.n_nationkey
+    )
 
 
 def raw_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with branch, item and money."""
+    """Order lines with branch, item and money. Both sides of the join on the
+    order grow with the data, so it is a sort-merge join at any size."""
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    orders = _customer_orders(spark, sf_dir)
+    orders = _customer_orders(spark, sf_dir).hint("merge")
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey).join(
         part, line.l_partkey == part.p_partkey
     )
     qty = F.col("l_quantity").cast("bigint")
-    price = _dec(F.col("p_retailprice"), 18, 2)
-    mrp = _dec(_dec(qty, 10, 0) * _dec(price, 10, 2), 18, 2)
-    rate = _dec(_dec(F.col("l_discount"), 4, 2) * F.lit(2.5).cast("decimal(2,1)"), 5, 3)
+    price = _places(F.col("p_retailprice"), 2)
+    mrp = _places(qty * price, 2)
     return joined.select(
         "company_name",
         F.col("o_orderdate").cast("date").alias("txn_date"),
@@ -80,7 +103,8 @@ def raw_line(spark: SparkSession, sf_dir: str) -> DataFrame:
         qty.alias("qty"),
         F.col("l_linenumber").alias("line_no"),
         mrp.alias("full_mrp_value"),
-        _dec(mrp * rate, 18, 5).alias("discount_given"),
+        # scaled so that discounts above 20 % occur
+        _places(mrp * _places(F.col("l_discount") * 2.5, 3), 5).alias("discount_given"),
         (F.col("c_mktsegment") == "MACHINERY").alias("is_b2b"),
         F.col("c_name").alias("customer_ref"),
         "l_returnflag",
@@ -106,7 +130,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("PCS").alias("base_uom"),
         "retail_price",
         F.col("qty").alias("sales_qty"),
-        _dec(F.col("full_mrp_value") - F.col("discount_given"), 18, 5).alias("line_revenue"),
+        _places(F.col("full_mrp_value") - F.col("discount_given"), 5).alias("line_revenue"),
         "full_mrp_value",
         "discount_given",
         safe_ratio(F.col("discount_given"), F.col("full_mrp_value"), 100, digits=2).alias(
@@ -121,7 +145,7 @@ def raw_sales_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = raw_line(spark, sf_dir).filter(
         (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R")
     )
-    value = _dec(F.col("full_mrp_value") - F.col("discount_given"), 18, 5)
+    value = _places(F.col("full_mrp_value") - F.col("discount_given"), 5)
     # the seventh line of an order returns one more than was sold
     returned = F.when(F.col("line_no") == 7, F.col("qty") + 1).otherwise(F.col("qty"))
     df = lines.select(
@@ -155,25 +179,19 @@ def raw_sales_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    places = _branches(spark, sf_dir)
-    supplier = table(spark, sf_dir, "supplier")
-    suppliers = supplier.join(places, supplier.s_nationkey == places.n_nationkey)
-    closed = line.filter(F.col("l_linestatus") == "F")
-    joined = closed.join(suppliers, line.l_suppkey == suppliers.s_suppkey).join(
-        part, line.l_partkey == part.p_partkey
+    supplier, places = table(spark, sf_dir, "supplier"), _branches(spark, sf_dir)
+    joined = (
+        _spread(line.filter(F.col("l_linestatus") == "F"))
+        .join(supplier, line.l_suppkey == supplier.s_suppkey)
+        .join(places, supplier.s_nationkey == places.n_nationkey)
+        .join(part, line.l_partkey == part.p_partkey)
     )
     qty = F.col("l_quantity").cast("bigint") * F.when(F.length("p_brand") == 7, 3).otherwise(1)
-    price = _dec(F.col("p_retailprice"), 18, 2)
-    share = _dec(
-        F.lit("0.35").cast("decimal(3,2)")
-        + F.lit("0.15").cast("decimal(3,2)") * (F.length("p_type") % 3).cast("decimal(2,0)")
-        + _dec(F.col("l_tax"), 4, 2) * F.lit(5).cast("decimal(2,0)"),
-        5,
-        2,
-    )
-    rate = _dec(_dec(price, 10, 2) * share, 18, 4)
-    net = _dec(_dec(qty, 10, 0) * _dec(rate, 12, 4), 18, 4)
-    tax = _dec(net * _dec(F.col("l_tax"), 4, 2), 18, 5)
+    price = _places(F.col("p_retailprice"), 2)
+    share = _places(0.35 + 0.15 * (F.length("p_type") % 3) + F.col("l_tax") * 5, 2)
+    rate = _places(price * share, 4)
+    net = _places(qty * rate, 4)
+    tax = _places(net * F.col("l_tax"), 5)
     return joined.select(
         "company_name",
         F.col("l_partkey").cast("string").alias("stock_no"),
@@ -192,7 +210,7 @@ def raw_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
         rate.alias("item_rate"),
         net.alias("item_net_amount"),
         tax.alias("tax_amount"),
-        _dec(net + tax, 18, 5).alias("net_amount"),
+        _places(net + tax, 5).alias("net_amount"),
     )
 
 
@@ -215,7 +233,7 @@ def movement_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             *item,
             "retail_price",
-            F.lit(None).cast("decimal(18,4)").alias("cost_price"),
+            F.lit(None).cast("double").alias("cost_price"),
             F.lit(None).cast("string").alias("supplier_name"),
             F.lit(0).cast("bigint").alias("q_in"),
             F.col("sales_qty").alias("q_out"),
@@ -257,7 +275,7 @@ def raw_stock_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "opening_qty": F.lit(0).cast("bigint"),
             "opening_val": F.lit(0).cast("double"),
-            "closing_val": (F.col("closing_qty") * F.col("cost_price")).cast("double"),
+            "closing_val": _places(F.col("closing_qty") * F.col("cost_price"), 4),
         }
     )
     return movement_measures(df)
@@ -268,7 +286,7 @@ def raw_stock_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = df.withColumns(
         {
             "closing_rate": F.col("cost_price"),
-            "closing_value": _dec(F.col("closing_qty") * F.col("cost_price"), 18, 4),
+            "closing_value": _places(F.col("closing_qty") * F.col("cost_price"), 4),
         }
     )
     return balance_measures(df)
@@ -285,7 +303,7 @@ def raw_dead_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
         "last_sold_date",
         "retail_price",
         F.col("closing_qty").alias("closing_bal_qty"),
-        (F.col("closing_qty") * F.col("cost_price")).alias("closing_bal_value"),
+        _places(F.col("closing_qty") * F.col("cost_price"), 4).alias("closing_bal_value"),
         F.col("outwards_qty").alias("sales_qty"),
     )
 
@@ -302,7 +320,7 @@ def raw_stockout(spark: SparkSession, sf_dir: str) -> DataFrame:
         "retail_price",
         F.col("closing_qty").alias("closing_bal_qty"),
         F.col("outwards_qty").alias("sales_qty"),
-        (F.col("outwards_qty") * F.col("retail_price")).alias("sales_value"),
+        _places(F.col("outwards_qty") * F.col("retail_price"), 2).alias("sales_value"),
     )
 
 
@@ -360,7 +378,7 @@ def ledger_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     for priority, label in PARTICULARS.items():
         particulars = particulars.when(F.col("o_orderpriority") == priority, label)
     particulars = particulars.otherwise("HOME EXP")
-    gross = _dec(F.col("o_totalprice"), 18, 2).cast("string")
+    gross = _amount_text(F.col("o_totalprice"), 2)
     credit_side = voucher.isin(*CREDIT_SIDE)
     return orders.select(
         _padded(F.col("company_name"), key).alias("company_name"),
@@ -399,11 +417,11 @@ def sales_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         "style",
         F.lit(None).cast("string").alias("shade"),
         "size",
-        F.col("retail_price").cast("string").alias("retail_price"),
+        _amount_text(F.col("retail_price"), 2).alias("retail_price"),
         F.col("qty").cast("string").alias("sales_qty"),
         F.lit("PCS").alias("base_uom"),
         F.lit(None).cast("string").alias("alt_sales_qty"),
-        _dec(net, 18, 5).cast("string").alias("net_amount"),
+        _amount_text(net, 5).alias("net_amount"),
         F.lit(None).cast("string").alias("remarks"),
     )
 
@@ -424,10 +442,10 @@ def returns_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         "style",
         "shade",
         "size",
-        F.col("retail_price").cast("string").alias("retail_price"),
+        _amount_text(F.col("retail_price"), 2).alias("retail_price"),
         F.col("return_qty").cast("string").alias("return_qty"),
         "base_uom",
-        F.col("return_value").cast("string").alias("net_amount"),
+        _amount_text(F.col("return_value"), 5).alias("net_amount"),
         F.lit(None).cast("string").alias("remarks"),
     )
 
@@ -447,8 +465,8 @@ def _stock_file(df: DataFrame, numbers: dict[str, Column]) -> DataFrame:
         "item_type",
         F.lit("agent").alias("agent"),
         F.lit("party").alias("party"),
-        F.col("cost_price").cast("string").alias("cost_price"),
-        F.col("retail_price").cast("string").alias("retail_price"),
+        _amount_text(F.col("cost_price"), 4).alias("cost_price"),
+        _amount_text(F.col("retail_price"), 2).alias("retail_price"),
         "base_uom",
         *[c.cast("string").alias(name) for name, c in numbers.items()],
     )
@@ -464,7 +482,7 @@ def movement_file(spark: SparkSession, sf_dir: str) -> DataFrame:
             "inwards_qty": F.col("inwards_qty"),
             "outwards_qty": F.col("outwards_qty"),
             "closing_qty": F.col("closing_qty"),
-            "closing_val": _dec(F.col("closing_qty") * F.col("cost_price"), 18, 4),
+            "closing_val": _amount_text(F.col("closing_qty") * F.col("cost_price"), 4),
         },
     )
 
@@ -475,8 +493,8 @@ def balance_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         _item_columns(movement_totals(spark, sf_dir)),
         {
             "closing_qty": F.col("closing_qty"),
-            "closing_rate": F.col("cost_price"),
-            "closing_value": _dec(F.col("closing_qty") * F.col("cost_price"), 18, 4),
+            "closing_rate": _amount_text(F.col("cost_price"), 4),
+            "closing_value": _amount_text(F.col("closing_qty") * F.col("cost_price"), 4),
         },
     )
 

@@ -82,10 +82,6 @@ class RetailConfig:
     default_expense: str = "Other Expense"
     b2b_voucher: str = "B2B SALE"
 
-    # Money is summed as decimal: the result does not depend on the order in
-    # which partitions are merged, so ranks and joins on sums are repeatable.
-    money_type: str = "decimal(18,5)"
-
     # stock value buckets, from (closing value)
     high_value: int = 100_000
     medium_value: int = 10_000

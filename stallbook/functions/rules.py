@@ -54,7 +54,7 @@ def ledger_amount(cfg: RetailConfig, voucher: Column, debit: Column, credit: Col
             (voucher.isin(*cfg.debit_vouchers), debit),
             (voucher.isin(*cfg.credit_vouchers), credit),
         ],
-        F.lit(0).cast(cfg.money_type),
+        F.lit(0.0),
     )
 
 

@@ -168,7 +168,7 @@ def clean_ledger(
     df = rows.with_existing(
         df,
         ["inwards_qty", "outwards_qty", "debit_amount", "credit_amount"],
-        lambda c: numbers.num_or_zero(c, cfg.money_type),
+        numbers.num_or_zero,
     )
     df = rows.upper_trim(df, ["particulars"])
     df = df.withColumn("voucher_type", rules.map_values(F.col("voucher_type"), cfg.voucher_map))

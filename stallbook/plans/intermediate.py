@@ -12,11 +12,12 @@ from stallbook.config import EXPENSE_COLUMNS, RetailConfig
 from stallbook.functions import dates, rules
 from stallbook.functions.numbers import (
     CENTS,
-    MONEY,
+    exact_sum,
     greatest0,
     mean,
     safe_ratio,
     sum_if,
+    where,
 )
 from stallbook.operators.joins import left_join, pair_join
 from stallbook.operators.windows import add_ranks
@@ -35,17 +36,17 @@ def inventory_velocity(
     b2b = F.col("is_b2b")
     per_item = sales.groupBy(*ITEM).agg(
         F.sum("sales_qty").alias("total_units_sold"),
-        F.sum("line_revenue").alias("total_revenue"),
-        F.sum("full_mrp_value").alias("total_mrp_value"),
-        F.sum("discount_given").alias("total_discount"),
+        exact_sum(F.col("line_revenue")).alias("total_revenue"),
+        exact_sum(F.col("full_mrp_value")).alias("total_mrp_value"),
+        exact_sum(F.col("discount_given")).alias("total_discount"),
         F.min("sale_date").alias("first_sale_date"),
         F.max("sale_date").alias("last_sale_date"),
         F.count_distinct("sale_date").alias("days_with_sales"),
         F.count_distinct("voucher_no").alias("num_bills"),
         sum_if(b2b, F.col("sales_qty")).alias("b2b_units"),
-        sum_if(b2b, F.col("line_revenue")).alias("b2b_revenue"),
+        exact_sum(where(b2b, F.col("line_revenue"))).alias("b2b_revenue"),
         sum_if(~b2b, F.col("sales_qty")).alias("retail_units"),
-        sum_if(~b2b, F.col("line_revenue")).alias("retail_revenue"),
+        exact_sum(where(~b2b, F.col("line_revenue"))).alias("retail_revenue"),
     )
     first, last = F.col("first_sale_date"), F.col("last_sale_date")
     per_item = per_item.withColumns(
@@ -87,12 +88,12 @@ def net_sales(sales: DataFrame, returns: DataFrame, cfg: RetailConfig) -> DataFr
         F.col("sale_quarter").alias("txn_quarter"),
     ).agg(
         F.sum("sales_qty").alias("gross_units_sold"),
-        F.sum("line_revenue").alias("gross_revenue"),
-        F.sum("discount_given").alias("total_discount"),
-        F.sum("full_mrp_value").alias("total_mrp_value"),
+        exact_sum(F.col("line_revenue")).alias("gross_revenue"),
+        exact_sum(F.col("discount_given")).alias("total_discount"),
+        exact_sum(F.col("full_mrp_value")).alias("total_mrp_value"),
         F.count_distinct("voucher_no").alias("num_bills"),
         sum_if(is_b2b, F.col("sales_qty")).alias("b2b_units"),
-        sum_if(is_b2b, F.col("line_revenue")).alias("b2b_revenue"),
+        exact_sum(where(is_b2b, F.col("line_revenue"))).alias("b2b_revenue"),
     )
     returned = returns.groupBy(
         "company_name",
@@ -101,7 +102,7 @@ def net_sales(sales: DataFrame, returns: DataFrame, cfg: RetailConfig) -> DataFr
         F.col("return_month").alias("txn_month"),
     ).agg(
         F.sum("return_qty").alias("returned_units"),
-        F.sum("return_value").alias("returned_value"),
+        exact_sum(F.col("return_value")).alias("returned_value"),
     )
     both = left_join(sold, returned, ["company_name", "stock_no", "txn_year", "txn_month"])
     both = both.withColumns(
@@ -133,12 +134,12 @@ def product_performance(
         .groupBy(*keys)
         .agg(
             F.sum("sales_qty").alias("units_sold"),
-            F.sum("line_revenue").alias("total_revenue"),
-            F.sum("full_mrp_value").alias("total_mrp_value"),
-            F.sum("discount_given").alias("total_discount_given"),
-            mean(F.col("retail_price"), 2, MONEY).alias("avg_retail_price"),
-            mean(F.col("line_price"), 2, CENTS).alias("avg_actual_selling_price"),
-            mean(F.col("discount_pct"), 2, CENTS).alias("avg_discount_pct"),
+            exact_sum(F.col("line_revenue")).alias("total_revenue"),
+            exact_sum(F.col("full_mrp_value")).alias("total_mrp_value"),
+            exact_sum(F.col("discount_given")).alias("total_discount_given"),
+            mean(F.col("retail_price"), 2).alias("avg_retail_price"),
+            mean(F.col("line_price"), 2).alias("avg_actual_selling_price"),
+            mean(F.col("discount_pct"), 2).alias("avg_discount_pct"),
             F.count_distinct("voucher_no").alias("num_transactions"),
             F.count_distinct("sale_date").alias("active_selling_days"),
             F.min("sale_date").alias("first_sale"),
@@ -148,7 +149,7 @@ def product_performance(
     bought = purchases.groupBy(*keys).agg(
         F.sum("purchase_qty").alias("units_purchased"),
         mean(F.col("item_rate"), 2).alias("avg_cost_price"),
-        F.sum("item_net_amount").alias("total_purchase_cost"),
+        exact_sum(F.col("item_net_amount")).alias("total_purchase_cost"),
     )
     price, cost = F.col("avg_actual_selling_price"), F.col("avg_cost_price")
     units = F.col("units_sold")
@@ -203,12 +204,14 @@ def daily_pnl(ledger: DataFrame, cfg: RetailConfig) -> DataFrame:
     to branches are shown but are not part of the profit."""
     voucher, category, amount = F.col("voucher_type"), F.col("expense_category"), F.col("amount")
     payment = voucher == "Payment"
-    sums = {name: sum_if(voucher == v, amount) for name, v in VOUCHER_COLUMNS.items()}
+    sums = {name: exact_sum(where(voucher == v, amount)) for name, v in VOUCHER_COLUMNS.items()}
     sums |= {
-        name: sum_if(payment & (category == label), amount)
+        name: exact_sum(where(payment & (category == label), amount))
         for label, name in EXPENSE_COLUMNS.items()
     }
-    sums["other_expense"] = sum_if(payment & ~category.isin(*EXPENSE_COLUMNS), amount)
+    sums["other_expense"] = exact_sum(
+        where(payment & ~category.isin(*EXPENSE_COLUMNS), amount)
+    )
 
     days = ledger.groupBy(*DAY_KEYS).agg(
         *[c.alias(name) for name, c in sums.items()],

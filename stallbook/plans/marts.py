@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stallbook.config import RetailConfig
 from stallbook.functions import dates, rules
-from stallbook.functions.numbers import CENTS, max_if, mean, safe_ratio
+from stallbook.functions.numbers import exact_sum, max_if, mean, safe_ratio
 from stallbook.operators.joins import left_join
 from stallbook.operators.shared import share
 from stallbook.operators.windows import (
@@ -92,7 +92,7 @@ def branch_performance(fin: DataFrame, cfg: RetailConfig) -> DataFrame:
         F.sum("shop_expense").alias("total_shop_expense"),
         F.sum("freight_expense").alias("total_freight"),
         F.sum("net_pnl").alias("total_net_pnl"),
-        mean(F.col("pnl_margin_pct"), 2, CENTS).alias("avg_pnl_margin_pct"),
+        mean(F.col("pnl_margin_pct"), 2).alias("avg_pnl_margin_pct"),
         F.count_distinct("voucher_date").alias("active_days"),
         F.min("voucher_date").alias("first_sale_date"),
         F.max("voucher_date").alias("last_sale_date"),
@@ -231,7 +231,7 @@ def product_brand_performance(perf: DataFrame, cfg: RetailConfig) -> DataFrame:
         F.sum("estimated_profit").alias("total_estimated_profit"),
         F.sum("units_purchased").alias("total_units_purchased"),
         *[
-            mean(F.col(c), 2, CENTS).alias(name)
+            mean(F.col(c), 2).alias(name)
             for name, c in {
                 "avg_margin_pct": "margin_pct",
                 "avg_discount_pct": "avg_discount_pct",
@@ -263,10 +263,10 @@ def product_brand_performance(perf: DataFrame, cfg: RetailConfig) -> DataFrame:
     )
 
 
-def _gross_margin(margin: str, retail: str) -> Column:
+def _gross_margin(margin: Column, retail: Column) -> Column:
     """(retail - cost) / retail in percent; quantities play no part, and a line
     without cost counts in the denominator only."""
-    return safe_ratio(F.sum(margin), F.sum(retail), 100, digits=2)
+    return safe_ratio(margin, retail, 100, digits=2)
 
 
 def supplier_analysis(
@@ -281,11 +281,13 @@ def supplier_analysis(
         .agg(
             F.count_distinct("voucher_no").alias("total_purchase_orders"),
             F.sum("purchase_qty").alias("total_units_purchased"),
-            F.round(F.sum("item_net_amount"), 2).alias("total_purchase_value"),
+            F.round(exact_sum(F.col("item_net_amount")), 2).alias("total_purchase_value"),
             mean(F.col("item_net_amount"), 2).alias("avg_order_value"),
             mean(F.col("item_rate"), 2).alias("avg_item_cost"),
             mean(F.col("retail_price"), 2).alias("avg_retail_price"),
-            _gross_margin("_margin", "retail_price").alias("avg_gross_margin_pct"),
+            _gross_margin(
+                exact_sum(F.col("_margin")), exact_sum(F.col("retail_price"))
+            ).alias("avg_gross_margin_pct"),
             first.alias("first_purchase_date"),
             last.alias("last_purchase_date"),
             dates.month_diff(last, first).alias("relationship_months"),
@@ -326,9 +328,9 @@ def purchase_months(purchases: DataFrame) -> DataFrame:
         )
         .agg(
             F.sum("purchase_qty").alias("units"),
-            F.sum("item_net_amount").alias("spend"),
-            F.sum("_margin").alias("margin"),
-            F.sum("retail_price").alias("retail"),
+            exact_sum(F.col("item_net_amount")).alias("spend"),
+            exact_sum(F.col("_margin")).alias("margin"),
+            exact_sum(F.col("retail_price")).alias("retail"),
             F.min(dates.year_month(day)).alias("year_month"),
         )
     )
@@ -346,13 +348,13 @@ def procurement_analysis(
     ).agg(
         F.sum("units").alias("total_units"),
         F.round(F.sum("spend"), 2).alias("total_spend"),
-        _gross_margin("margin", "retail").alias("gross_margin_pct"),
+        _gross_margin(F.sum("margin"), F.sum("retail")).alias("gross_margin_pct"),
         F.count_distinct("stock_no").alias("unique_items"),
         F.count_distinct("supplier_name").alias("unique_suppliers"),
     )
     brands = base.groupBy("brand", "product").agg(
         F.sum("spend").alias("_brand_spend"),
-        _gross_margin("margin", "retail").alias("brand_gross_margin_pct"),
+        _gross_margin(F.sum("margin"), F.sum("retail")).alias("brand_gross_margin_pct"),
         F.count_distinct("style").alias("unique_styles"),
     )
     brands = add_ranks(brands, {"brand_rank": ((), "_brand_spend")}, cfg.single_task_rank_rows)
@@ -360,7 +362,7 @@ def procurement_analysis(
 
     categories = base.groupBy("product").agg(
         F.sum("spend").alias("_category_spend"),
-        _gross_margin("margin", "retail").alias("category_gross_margin_pct"),
+        _gross_margin(F.sum("margin"), F.sum("retail")).alias("category_gross_margin_pct"),
         F.count_distinct("brand").alias("unique_brands"),
     )
     categories = add_ranks(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stallbook.config import RetailConfig
 from stallbook.functions import rules
-from stallbook.functions.numbers import mean
+from stallbook.functions.numbers import exact_sum, mean
 from stallbook.operators.joins import anti_join
 from stallbook.operators.windows import dedup_latest
 
@@ -63,8 +63,9 @@ DATE_COLUMNS = frozenset(
 )
 
 
-def _money(*names: str, cfg: RetailConfig) -> dict[str, Column]:
-    return {n: F.col(n).cast(cfg.money_type) for n in names}
+def _money(*names: str) -> dict[str, Column]:
+    """Amounts per line are double; sums over lines are exact decimals."""
+    return {n: F.col(n).cast("double") for n in names}
 
 
 def _whole(*names: str) -> dict[str, Column]:
@@ -85,7 +86,7 @@ def _project(
 def stg_sales(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
     """Bill lines, one per (branch, bill, SKU, date): the one with the highest
     revenue. Aliases are applied before, so an old and a new branch name meet."""
-    money = _money("line_revenue", "full_mrp_value", "discount_given", cfg=cfg)
+    money = _money("line_revenue", "full_mrp_value", "discount_given")
     order = [
         F.col(c).desc_nulls_last() for c in ("line_revenue", "sales_qty", "full_mrp_value")
     ]
@@ -94,7 +95,7 @@ def stg_sales(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
 
 
 def stg_sales_returns(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
-    return _project(raw, RETURNS_COLUMNS, cfg, **_money("return_value", cfg=cfg))
+    return _project(raw, RETURNS_COLUMNS, cfg, **_money("return_value"))
 
 
 def stg_ledger(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
@@ -109,7 +110,7 @@ def stg_ledger(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
         cfg,
         voucher_no=F.col("voucher_no").cast("string"),
         is_active=F.col("is_active").cast("boolean"),
-        **_money("debit_amount", "credit_amount", "amount", cfg=cfg),
+        **_money("debit_amount", "credit_amount", "amount"),
         **_whole("inwards_qty", "outwards_qty", "year", "month", "week", "quarter"),
     )
 
@@ -121,7 +122,7 @@ def stg_purchases(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
         cfg,
         **_whole("purchase_qty"),
         **_money(
-            "retail_price", "item_rate", "item_net_amount", "tax_amount", "net_amount", cfg=cfg
+            "retail_price", "item_rate", "item_net_amount", "tax_amount", "net_amount"
         ),
     )
 
@@ -132,7 +133,7 @@ def stg_dead_stock(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
         STOCK_REPORT_COLUMNS + ["closing_bal_value", "sales_qty"],
         cfg,
         **_whole("closing_bal_qty", "sales_qty"),
-        **_money("retail_price", "closing_bal_value", cfg=cfg),
+        **_money("retail_price", "closing_bal_value"),
     )
 
 
@@ -142,7 +143,7 @@ def stg_stockouts(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
         STOCK_REPORT_COLUMNS + ["sales_qty", "sales_value"],
         cfg,
         **_whole("closing_bal_qty", "sales_qty"),
-        **_money("retail_price", "sales_value", cfg=cfg),
+        **_money("retail_price", "sales_value"),
     )
 
 
@@ -230,7 +231,7 @@ def healthy_items(
         .agg(
             F.max("retail_price").alias("retail_price"),
             F.sum("purchase_qty").alias("total_purchase_qty"),
-            F.sum("item_net_amount").alias("total_purchase_value"),
+            exact_sum(F.col("item_net_amount")).alias("total_purchase_value"),
             mean(F.col("item_rate")).alias("avg_item_rate"),
             F.min("voucher_date").alias("first_purchase_date"),
             F.max("voucher_date").alias("last_purchase_date"),
