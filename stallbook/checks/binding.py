@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from stallbook.config import RetailConfig
 from stallbook.functions import dates
 from stallbook.functions.numbers import safe_ratio
-from stallbook.plans.cleaning import balance_measures, movement_measures
+from stallbook.operators.shared import share
+from stallbook.plans.cleaning import balance_measures, clean_ledger, movement_measures
 
 CFG = RetailConfig(
     head_offices=("AFRICA",),
@@ -188,8 +189,8 @@ def raw_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     qty = F.col("l_quantity").cast("bigint") * F.when(F.length("p_brand") == 7, 3).otherwise(1)
     price = _places(F.col("p_retailprice"), 2)
-    share = _places(0.35 + 0.15 * (F.length("p_type") % 3) + F.col("l_tax") * 5, 2)
-    rate = _places(price * share, 4)
+    part_of_price = _places(0.35 + 0.15 * (F.length("p_type") % 3) + F.col("l_tax") * 5, 2)
+    rate = _places(price * part_of_price, 4)
     net = _places(qty * rate, 4)
     tax = _places(net * F.col("l_tax"), 5)
     return joined.select(
@@ -270,8 +271,11 @@ def _item_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def raw_stock_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _item_columns(movement_totals(spark, sf_dir)).withColumns(
+def raw_stock_movement(
+    spark: SparkSession, sf_dir: str, totals: DataFrame | None = None
+) -> DataFrame:
+    totals = movement_totals(spark, sf_dir) if totals is None else totals
+    df = _item_columns(totals).withColumns(
         {
             "opening_qty": F.lit(0).cast("bigint"),
             "opening_val": F.lit(0).cast("double"),
@@ -281,8 +285,11 @@ def raw_stock_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movement_measures(df)
 
 
-def raw_stock_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _item_columns(movement_totals(spark, sf_dir)).filter(F.col("closing_qty") > 0)
+def raw_stock_balance(
+    spark: SparkSession, sf_dir: str, totals: DataFrame | None = None
+) -> DataFrame:
+    totals = movement_totals(spark, sf_dir) if totals is None else totals
+    df = _item_columns(totals).filter(F.col("closing_qty") > 0)
     df = df.withColumns(
         {
             "closing_rate": F.col("cost_price"),
@@ -292,9 +299,12 @@ def raw_stock_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balance_measures(df)
 
 
-def raw_dead_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_dead_stock(
+    spark: SparkSession, sf_dir: str, totals: DataFrame | None = None
+) -> DataFrame:
     """In stock and never sold."""
-    df = _item_columns(movement_totals(spark, sf_dir)).filter(
+    totals = movement_totals(spark, sf_dir) if totals is None else totals
+    df = _item_columns(totals).filter(
         (F.col("closing_qty") > 0) & (F.col("outwards_qty") == 0)
     )
     return df.select(
@@ -308,9 +318,12 @@ def raw_dead_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_stockout(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_stockout(
+    spark: SparkSession, sf_dir: str, totals: DataFrame | None = None
+) -> DataFrame:
     """Sold and out of stock."""
-    df = _item_columns(movement_totals(spark, sf_dir)).filter(
+    totals = movement_totals(spark, sf_dir) if totals is None else totals
+    df = _item_columns(totals).filter(
         (F.col("closing_qty") == 0) & (F.col("outwards_qty") > 0)
     )
     return df.select(
@@ -500,16 +513,16 @@ def balance_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every raw table by its catalog name. The ledger comes from its file."""
-    from stallbook.plans.cleaning import clean_ledger
-
+    """Every raw table by its catalog name. The ledger comes from its file; the
+    four stock tables come from one stored movement table."""
+    totals = share(movement_totals(spark, sf_dir))
     return {
         "sales": raw_sales(spark, sf_dir),
         "sales_returns": raw_sales_returns(spark, sf_dir),
         "purchase": raw_purchase(spark, sf_dir),
-        "stock_movement": raw_stock_movement(spark, sf_dir),
-        "stock_balance": raw_stock_balance(spark, sf_dir),
-        "dead_stock": raw_dead_stock(spark, sf_dir),
-        "stockout": raw_stockout(spark, sf_dir),
+        "stock_movement": raw_stock_movement(spark, sf_dir, totals),
+        "stock_balance": raw_stock_balance(spark, sf_dir, totals),
+        "dead_stock": raw_dead_stock(spark, sf_dir, totals),
+        "stockout": raw_stockout(spark, sf_dir, totals),
         "ledger": clean_ledger(ledger_file(spark, sf_dir), CFG),
     }

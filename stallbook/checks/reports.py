@@ -79,8 +79,9 @@ from financials"""
 
 
 def _kpis(spark: SparkSession, d: str) -> DataFrame:
-    history = fin(spark, d).filter(F.col("voucher_date") < LIVE_FROM)
-    live = fin(spark, d).filter(F.col("voucher_date") >= LIVE_FROM).select(*FEED_COLUMNS)
+    days = share(fin(spark, d))
+    history = days.filter(F.col("voucher_date") < LIVE_FROM)
+    live = days.filter(F.col("voucher_date") >= LIVE_FROM).select(*FEED_COLUMNS)
     return reporting.kpi_totals(history, live)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             current = tempfile.mkdtemp(prefix="stallbook-checkpoint-")
+            atexit.register(shutil.rmtree, current, ignore_errors=True)
         sc.setCheckpointDir(current)
     return current
 

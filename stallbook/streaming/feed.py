@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stallbook.operators.windows import dedup_latest
+
 
 def run_daily_feed(
     spark: SparkSession,
@@ -46,14 +48,15 @@ def run_daily_feed(
     query.awaitTermination()
 
 
-def latest_delivery(feed: DataFrame, day: str = "voucher_date") -> DataFrame:
-    """Rows of the last file delivered for each day: a day that is delivered
-    again replaces the earlier version, it does not add to it."""
-    version = F.struct("delivered_at", "delivered_file")
-    latest = feed.groupBy(day).agg(F.max(version).alias("_latest"))
-    marked = feed.withColumn("_version", version).join(latest, day)
-    kept = marked.filter(F.col("_version") == F.col("_latest"))
-    return kept.drop("_version", "_latest", "delivered_at", "delivered_file")
+def latest_delivery(
+    feed: DataFrame, keys: Sequence[str] = ("company_name", "voucher_date")
+) -> DataFrame:
+    """The row delivered last for each branch and day: a day that is delivered
+    again replaces the earlier version, it does not add to it. This holds
+    whether both arrive in one run or in two, and however many files a delivery
+    is split into."""
+    order = [F.col("delivered_at").desc(), F.col("delivered_file").desc()]
+    return dedup_latest(feed, keys, order).drop("delivered_at", "delivered_file")
 
 
 def read_daily_feed(spark: SparkSession, target: str) -> DataFrame:
