@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +27,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def shared_root(spark: SparkSession) -> str:
+    """Where this application keeps its shared results."""
+    return f"{checkpoint_dir(spark)}/shared-{spark.sparkContext.applicationId}"
+
+
 def share(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage. Plans that read the result twice do not
-    run its inputs twice, and a lost executor costs a re-read, not a re-run."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute once, keep as a Parquet table in the checkpoint folder, and read
+    it back. Plans that use the result twice do not run its inputs twice, a lost
+    executor costs a re-read and not a re-run, and each reader loads only its
+    columns (a row checkpoint would be read in full). The size of the files is
+    known to the planner, so small results are broadcast in joins."""
+    spark = df.sparkSession
+    path = f"{shared_root(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Delete the shared results of this application, at the end of a job:
+    frames that read them cannot be used afterwards."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

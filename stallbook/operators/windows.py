@@ -74,7 +74,8 @@ def bucket_rank(df: DataFrame, name: str, part: Sequence[str], col: str) -> Data
         *[c.alias(k) for k, c in keys.items()], F.col(col).alias("_value")
     ).agg(F.count(F.lit(1)).alias("_rows"))
 
-    buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # each value is compared with every limit, so their number is kept moderate
+    buckets = min(256, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     cuts = counts.select(F.col("_value").cast("double")).approxQuantile(
         "_value", [i / buckets for i in range(1, buckets)], 0.25 / buckets
     )

@@ -86,6 +86,7 @@ def build_marts(
     as_of: dt.date | str | None = None,
 ) -> dict[str, dict[str, int]]:
     """Write the six marts as Parquet folders below ``root``; returns row counts.
-    Staging and intermediate models stay lazy, as views would."""
+    Staging and intermediate models stay lazy, as views would; call
+    ``operators.shared.clear_shared`` when the job is done."""
     models = build_all(tables, cfg, as_of)
     return {name: load_report(as_double(models[name]), f"{root}/{name}") for name in MARTS}

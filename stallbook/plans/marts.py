@@ -309,6 +309,8 @@ def purchase_months(purchases: DataFrame) -> DataFrame:
     """Purchases summed per month and item, supplier, style: the finest grain
     that the procurement summaries count over."""
     day = F.col("voucher_date")
+    year = F.col("purchase_year").cast("int")
+    month = F.col("purchase_month").cast("int")
     return (
         purchases.withColumns(
             {
@@ -331,8 +333,8 @@ def purchase_months(purchases: DataFrame) -> DataFrame:
             exact_sum(F.col("item_net_amount")).alias("spend"),
             exact_sum(F.col("_margin")).alias("margin"),
             exact_sum(F.col("retail_price")).alias("retail"),
-            F.min(dates.year_month(day)).alias("year_month"),
         )
+        .withColumn("year_month", dates.year_month(F.make_date(year, month, F.lit(1))))
     )
 
 
