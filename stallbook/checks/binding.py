@@ -47,10 +47,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """A table of few files is read by few tasks, whatever the number of cores:
-    deal its rows out. A table with a file per core or more is left as it is."""
+    """A small table is read by few tasks, whatever the number of cores: deal its
+    rows out. A table with a scan task per core or more is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _places(c: Column, digits: int) -> Column:

@@ -15,7 +15,7 @@ from stallbook.functions import dates, numbers, rules, text
 from stallbook.functions.numbers import exact_sum
 from stallbook.operators import rows
 from stallbook.operators.shared import checkpoint_dir
-from stallbook.operators.windows import bucket_rank, rank_in
+from stallbook.operators.windows import add_ranks
 from stallbook.plans import cleaning
 from stallbook.schemas import (
     BALANCE_FILE,
@@ -417,13 +417,15 @@ from stg_sales"""))
 def distributed_rank(spark: SparkSession, d: str) -> DataFrame:
     """Rank every bill line, overall and per branch, in range buckets."""
     from stallbook.checks.models import sales
-    from stallbook.operators.shared import share
 
     lines = sales(spark, d).select(
         "company_name", "voucher_no", "stock_no", "sales_qty", F.col("line_revenue").alias("revenue")
     )
-    ranked = bucket_rank(share(lines), "overall_rank", [], "revenue")
-    return bucket_rank(ranked, "qty_rank", ["company_name"], "sales_qty")
+    ranks = {
+        "overall_rank": ((), "revenue"),
+        "qty_rank": (["company_name"], "sales_qty"),
+    }
+    return add_ranks(lines, ranks, single_task_rows=0)
 
 
 @query("""
@@ -431,10 +433,5 @@ select c_mktsegment, c_custkey, c_acctbal,
   rank() over (partition by c_mktsegment order by c_acctbal desc nulls last) as balance_rank
 from customer""")
 def partition_rank(spark: SparkSession, d: str) -> DataFrame:
-    customers = b.table(spark, d, "customer")
-    return customers.select(
-        "c_mktsegment",
-        "c_custkey",
-        "c_acctbal",
-        rank_in(["c_mktsegment"], "c_acctbal").alias("balance_rank"),
-    )
+    customers = b.table(spark, d, "customer").select("c_mktsegment", "c_custkey", "c_acctbal")
+    return add_ranks(customers, {"balance_rank": (["c_mktsegment"], "c_acctbal")})

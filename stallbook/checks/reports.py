@@ -60,7 +60,7 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Stream all bill lines in date order, drop repeated ones, count the rest."""
     source, target = scratch(spark, "lines-in"), scratch(spark, "lines-out")
     lines = b.raw_sales(spark, d)
-    lines.repartitionByRange(4, "sale_date").write.parquet(source)
+    lines.repartitionByRange("sale_date").write.parquet(source)
     feed.run_stream_dedup(
         spark, source, target, scratch(spark, "lines-state"), lines.schema, SALES_KEYS, "sale_date"
     )

@@ -50,9 +50,10 @@ def add_ranks(
     base = share(df)
     if base.count() <= single_task_rows:
         return base.withColumns({name: rank_in(part, col) for name, (part, col) in ranks.items()})
+    out = base
     for name, (part, col) in ranks.items():
-        base = bucket_rank(base, name, part, col)
-    return base
+        out = _join_rank(out, value_ranks(base, name, part, col), part, col)
+    return out
 
 
 def global_rank(df: DataFrame, name: str, col: str, single_task_rows: int = 200_000) -> DataFrame:
@@ -61,13 +62,26 @@ def global_rank(df: DataFrame, name: str, col: str, single_task_rows: int = 200_
 
 
 def bucket_rank(df: DataFrame, name: str, part: Sequence[str], col: str) -> DataFrame:
-    """Rank without a window over a whole partition: 1 + rows in higher value
-    ranges + rows with a higher value in the own range.
+    """Add one rank computed in value ranges. ``df`` must be a stored result,
+    because its values are read again to join the ranks."""
+    return _join_rank(df, value_ranks(df, name, part, col), part, col)
+
+
+def _join_rank(df: DataFrame, ranks: DataFrame, part: Sequence[str], col: str) -> DataFrame:
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(part)]
+    same.append(F.col(col).eqNullSafe(F.col("_value")))
+    keys = [f"_k{i}" for i in range(len(part))]
+    return df.join(ranks, same, "left").drop(*keys, "_value")
+
+
+def value_ranks(df: DataFrame, name: str, part: Sequence[str], col: str) -> DataFrame:
+    """Rank of every distinct value per partition, without a window over a whole
+    partition: 1 + rows in higher value ranges + rows with a higher value in the
+    own range.
 
     Works on one row per distinct value, so equal values cost nothing. The range
     limits come from approximate quantiles; they only decide how evenly the work
-    is spread, any limits give the exact rank. ``df`` must be a stored result,
-    because its values are read again to join the ranks.
+    is spread, any limits give the exact rank.
     """
     keys = {f"_k{i}": F.col(k) for i, k in enumerate(part)}
     counts = df.groupBy(
@@ -102,13 +116,10 @@ def bucket_rank(df: DataFrame, name: str, part: Sequence[str], col: str) -> Data
 
     i, t = inside.alias("i"), totals.alias("t")
     same = [F.col(f"i.{k}").eqNullSafe(F.col(f"t.{k}")) for k in [*keys, "_bucket"]]
-    ranked = i.join(t, same).select(
+    return i.join(t, same).select(
         *[F.col(f"i.{k}") for k in [*keys, "_value"]],
         (F.lit(1) + F.col("_above") + F.col("_higher")).alias(name),
     )
-    back = [c.eqNullSafe(F.col(k)) for k, c in keys.items()]
-    back.append(F.col(col).eqNullSafe(F.col("_value")))
-    return df.join(ranked, back, "left").drop(*keys, "_value")
 
 
 def running_sum(col: str, part: Sequence[str], order: Sequence[str]) -> Column:

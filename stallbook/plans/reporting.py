@@ -18,6 +18,25 @@ EXPENSE_LABELS = {name: label for label, name in EXPENSE_COLUMNS.items()} | {
 }
 PERIODS = (1, 7, 30, 60, 90, 365)
 
+# Model -> order of its rows on a report page ("-" is descending).
+REPORT_ORDER = {
+    "int_net_sales": ("txn_year", "txn_month", "-net_revenue"),
+    "int_product_performance": ("-total_revenue",),
+    "int_transfer_opportunities": ("-capital_locked",),
+    "mart_action_board": ("-capital_locked",),
+    "mart_branch_performance": ("-total_net_sales",),
+    "mart_financials": ("company_name", "voucher_date"),
+    "mart_procurement_analysis": ("year_month", "-total_spend"),
+    "mart_product_brand_performance": ("-total_revenue",),
+    "mart_supplier_analysis": ("-total_purchase_value",),
+}
+
+
+def report(name: str, df: DataFrame) -> DataFrame:
+    """A model in the order in which it is shown. Models themselves are not
+    sorted: their tables are read by queries that sort or aggregate anew."""
+    return sorted_by(df, *REPORT_ORDER[name]) if name in REPORT_ORDER else df
+
 
 def _total(col: str) -> Column:
     return F.coalesce(F.sum(col), F.lit(0))

@@ -26,6 +26,19 @@ def test_periods(frame):
     assert reporting.in_period(fin, "2026-01-08", 1).count() == 1
 
 
+def test_report_order(frame):
+    df = frame(
+        "txn_year bigint, txn_month bigint, net_revenue double",
+        dict(txn_year=2026, txn_month=1, net_revenue=1),
+        dict(txn_year=2025, txn_month=2, net_revenue=None),
+        dict(txn_year=2025, txn_month=2, net_revenue=5),
+        dict(txn_year=2026, txn_month=1, net_revenue=3),
+    )
+    out = reporting.report("int_net_sales", df).collect()
+    assert [(r.txn_year, r.net_revenue) for r in out] == [(2025, 5), (2025, None), (2026, 3), (2026, 1)]
+    assert reporting.report("stg_sales", df) is df
+
+
 def test_dimensions(frame):
     rows = daily_rows([("2026-02-27", 1), ("2026-03-02", 2)])
     rows += daily_rows([("2026-02-28", 1)], company_name="HO")
