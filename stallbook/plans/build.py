@@ -11,6 +11,7 @@ from stallbook.config import RetailConfig
 from stallbook.operators.rows import as_double
 from stallbook.operators.shared import share
 from stallbook.plans import intermediate, marts, staging
+from stallbook.plans.columns import arranged
 from stallbook.sources.writers import load_report
 
 MARTS = (
@@ -76,7 +77,7 @@ def build_all(
     )
     out["mart_supplier_analysis"] = marts.supplier_analysis(purchases, cfg, as_of)
     out["mart_procurement_analysis"] = marts.procurement_analysis(purchases, cfg, as_of)
-    return out
+    return arranged(out)
 
 
 def build_marts(

@@ -15,6 +15,7 @@ import verify
 from stallbook.checks import binding
 from stallbook.operators.shared import clear_shared, share
 from stallbook.plans import build
+from stallbook.plans.columns import MODEL_COLUMNS
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
@@ -55,6 +56,22 @@ def models(spark):
 
 def test_all_models_are_built(models):
     assert len(models) == 20
+    lists = list(MODEL_COLUMNS.values())
+    assert len(lists) == 12 and all(len(set(c)) == len(c) for c in lists)
+
+
+def test_stored_columns_are_all_the_columns_of_a_model(spark):
+    queries = entry.queries()
+    for name, model in {
+        "healthy_items": "stg_healthy_items",
+        "velocity": "int_inventory_velocity",
+        "net_sales_monthly": "int_net_sales",
+        "daily_pnl": "int_daily_pnl",
+        "transfer_opportunities": "int_transfer_opportunities",
+        "financials": "mart_financials",
+        "branch_performance": "mart_branch_performance",
+    }.items():
+        assert set(queries[name](spark, SF_DIR).columns) == set(MODEL_COLUMNS[model]), model
 
 
 def test_invariants(models):
