@@ -12,9 +12,15 @@ PLACES = 5
 LOW_BITS = 20
 
 
-def num_or_zero(c: Column, as_type: str = "double") -> Column:
+def parse_number(c: Column) -> Column:
+    """Text -> double; unreadable text and "nan" give null."""
+    parsed = c.try_cast("double")
+    return F.when(~F.isnan(parsed), parsed)
+
+
+def num_or_zero(c: Column) -> Column:
     """Parse a number leniently: unreadable text and null give 0."""
-    return F.coalesce(c.try_cast(as_type), F.lit(0).cast(as_type))
+    return F.coalesce(parse_number(c), F.lit(0.0))
 
 
 def nullif_zero(c: Column) -> Column:

@@ -19,7 +19,7 @@ VOID = "(Void)"
 
 def _numbers(df: DataFrame) -> DataFrame:
     """Numeric columns of a file read as text; unreadable cells become null."""
-    return df.withColumns({c: F.col(c).try_cast("double") for c in df.columns if c in NUMBERS})
+    return rows.with_existing(df, sorted(NUMBERS), numbers.parse_number)
 
 
 def _percent(num: Column, den: Column) -> Column:

@@ -63,10 +63,8 @@ def test_all_models_are_built(models):
 def test_stored_columns_are_all_the_columns_of_a_model(spark):
     queries = entry.queries()
     for name, model in {
-        "healthy_items": "stg_healthy_items",
         "velocity": "int_inventory_velocity",
         "net_sales_monthly": "int_net_sales",
-        "daily_pnl": "int_daily_pnl",
         "transfer_opportunities": "int_transfer_opportunities",
         "financials": "mart_financials",
         "branch_performance": "mart_branch_performance",

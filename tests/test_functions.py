@@ -46,8 +46,8 @@ def test_contains_ignores_case_and_null(frame):
 
 
 def test_num_or_zero(frame):
-    df = frame("c string", {"c": " 12.5"}, {"c": "abc"}, {"c": None}, {"c": ""})
-    assert values(df.select(numbers.num_or_zero(F.col("c")).alias("out"))) == [12.5, 0, 0, 0]
+    df = frame("c string", {"c": " 12.5"}, {"c": "abc"}, {"c": None}, {"c": ""}, {"c": "nan"})
+    assert values(df.select(numbers.num_or_zero(F.col("c")).alias("out"))) == [12.5, 0, 0, 0, 0]
 
 
 def test_rounding_rules(frame):

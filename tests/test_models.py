@@ -68,6 +68,30 @@ def test_dedup_rules(frame):
     assert out.columns == staging.SALES_COLUMNS
 
 
+def test_hot_bill_line_and_hot_item(frame):
+    """A third of all rows are copies of one bill line, another third bills of
+    one item: compared with plain dictionaries."""
+    lines = [LINE | {"stock_no": "hot", "line_revenue": i % 97} for i in range(500)]
+    lines += [LINE | {"stock_no": "hot", "voucher_no": f"h{i % 400}", "line_revenue": i,
+                      "sale_date": day(f"2026-01-{i % 28 + 1:02d}")} for i in range(500)]
+    lines += [LINE | {"stock_no": f"s{i % 60}", "voucher_no": f"v{i}"} for i in range(500)]
+    best: dict = {}
+    for x in lines:
+        key = (x["voucher_no"], x["stock_no"], x["sale_date"])
+        best[key] = max(best.get(key, 0), x["line_revenue"])
+    expected = {}
+    for (bill, sku, date), revenue in best.items():
+        total, bills, days = expected.setdefault(sku, [0, set(), set()])
+        expected[sku][0] = total + revenue
+        bills.add(bill)
+        days.add(date)
+    sales = staging.stg_sales(frame(SALES, *lines).repartition(5), CFG)
+    out = intermediate.inventory_velocity(sales, CFG, "2026-05-01").collect()
+    assert {r.stock_no: (r.total_revenue, r.num_bills, r.days_with_sales) for r in out} == {
+        sku: (total, len(bills), len(days)) for sku, (total, bills, days) in expected.items()
+    }
+
+
 # --- velocity and net sales ------------------------------------------------
 
 
