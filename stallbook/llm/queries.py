@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import decontaminate, langid, licences, quality
+from stallbook.llm import decontaminate, html_extract, langid, licences, packing, quality
 from stallbook.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,18 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
 
+@query
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).drop("html")
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.count_tokens(docs).drop("text"))
+
+
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
     """Learns from the labelled rows of ``docs`` that are not held out."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
