@@ -231,7 +231,7 @@ def log_odds(block: Block) -> float:
     if block.tag == "h1":
         odds += 1.5
     if block.tag in ("li", "td", "th", "dt", "dd"):
-        odds -= 0.3
+        odds += -0.6 if block.links else 0.3
     if "©" in block.text and words < 40:
         odds -= 3.0
     return odds - (3.0 if block.mark == OUTER else 0.0)

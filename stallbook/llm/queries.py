@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import decontaminate, html_extract, langid, licences, packing, quality
+from stallbook.llm import decontaminate, embed_dedup, html_extract, langid, licences, packing, quality
 from stallbook.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,35 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op9_embeddings"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+        row_number() OVER () AS r
+    FROM embeddings
+), ok AS (
+    SELECT * FROM v
+    WHERE label IS NOT NULL AND len(x) > 0 AND len([e FOR e IN x IF e IS NULL OR NOT isfinite(e)]) = 0
+        AND list_dot_product(x, x) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+        ON a.label = b.label AND len(a.x) = len(b.x) AND a.r <> b.r
+    WHERE list_dot_product(a.x, b.x)
+        / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= 0.93
+), reach AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(low.b, vec_id)) AS component_id,
+    vec_id <= coalesce(low.b, vec_id) AS kept
+FROM v LEFT JOIN low ON low.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
 @query
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
