@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import decontaminate, embed_dedup, html_extract, langid, licences, packing, quality
+from stallbook.llm import decontaminate, embed_dedup, html_extract, langid, licences, lm, packing, quality
 from stallbook.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,21 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
     return fn
 
 
+@query
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm.score(docs, docs.where(~held_out("doc_id", 7)))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", 7).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
