@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import decontaminate, embed_dedup, html_extract, langid, licences, lm, packing, quality, suffix_dedup
+from stallbook.llm import decontaminate, embed_dedup, html_extract, jaccard, langid, licences, lm, packing, quality, suffix_dedup
 from stallbook.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,12 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages).drop("html")
 
 
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs).drop("text_key")
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
