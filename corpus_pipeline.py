@@ -1,4 +1,7 @@
-"""The corpus pipeline: stages that each read what the one before has kept."""
+"""The corpus pipeline: five stages that each work on all that the one before has
+kept. Every stage but the last returns the columns of ``documents``; between
+stages the rows are written as Parquet and read again, so a lost executor costs a
+re-read."""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import decontaminate, queries, quality
+from stallbook.llm import decontaminate, jaccard, packing, quality, queries, suffix_dedup
 from stallbook.llm.common import table
 from stallbook.operators.shared import share
 
@@ -15,36 +18,59 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEEP_SCORE = 0.7
 
 
-def with_text(df: DataFrame) -> DataFrame:
+def with_length(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go, as do those without text."""
-    model = queries.quality_model(spark, sf_dir, docs)
-    scored = quality.score(docs.where("text is not null and text != ''"), model)
+    """Documents that the compression classifier rejects go. It learns from the
+    labels of these documents, apart from the held-out quarter."""
+    scored = quality.score(docs, queries.quality_model(spark, sf_dir, docs))
     return scored.where(F.col("score") >= KEEP_SCORE).select(*COLUMNS)
 
 
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of benchmark items go; so do documents that are nothing else."""
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that links join, the one with the smallest id
+    stays; documents without words are no group and stay."""
+    return jaccard.one_of_each(docs).select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes and more that stand elsewhere too are cut out of the
+    texts; every document stays, with what is left of it."""
+    return with_length(suffix_dedup.remove_repeats(docs))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of benchmark items are cut out of the texts; a document that
+    holds no other words goes."""
     found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
-    kept = found.where((F.size("hit_words") < F.col("n_words")) | (F.col("n_words") == 0))
-    return with_text(decontaminate.without_spans(kept))
+    kept = found.where((F.size("hit_words") == 0) | (F.size("hit_words") < F.col("n_words")))
+    return with_length(decontaminate.without_spans(kept))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes: sequence, its length, offset."""
+    counted = packing.count_tokens(docs).select("doc_id", "lang", "source", "n_tokens")
+    return packing.pack(counted)
 
 
-STAGES: list[tuple[str, Callable]] = [
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality_filter),
-    ("decontamination", decontaminated),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontamination),
+    ("packing", pack),
 ]
 
-#: No stage of this pipeline can be put in SQL as a whole.
+#: SQL can express neither the classifier nor the packing; the stages are tested
+#: against brute force in tests/llm.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = share(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
