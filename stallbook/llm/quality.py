@@ -110,18 +110,26 @@ def learn(rows: list[tuple[int, list[bytes]]]) -> Model:
     return Model(books[1], books[0], w.tolist(), middle.tolist(), spread.tolist())
 
 
-def train(labelled: DataFrame, text: str, label: str, order_by: str) -> Model:
-    """Learn from at most ``SAMPLE_ROWS`` rows of each label (0 or 1; other
-    labels and null are left out), those with the smallest hash of
-    ``order_by``, and from at most ``SAMPLE_PIECES`` pieces of each, evenly
-    spread over its text: at most 50 MB reach the driver. Without any labelled
-    row the model scores every text 0.5."""
-    columns = labelled.select(
-        F.col(text).alias("text"),
-        F.col(label).cast("int").alias("label"),
-        F.xxhash64(order_by).alias("h"),
-        F.col(order_by).cast("string").alias("key"),
-    ).where("label in (0, 1) and text is not null and text != ''")
+def train(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+    label: str = "quality",
+) -> Model:
+    """Learn from at most ``SAMPLE_ROWS`` rows of each label (0 or 1; others and
+    null are left out) whose document has a text, those with the smallest hash
+    of ``key``, and from at most ``SAMPLE_PIECES`` pieces of each, evenly spread
+    over its text. The sample is drawn from keys alone and its size is fixed, so
+    it is broadcast, no text is shuffled and at most 100 MB reach the driver.
+    Without any labelled row the model scores every text 0.5."""
+    there = docs.where(f"`{key}` is not null and `{text}` is not null and `{text}` != ''")
+    value = F.col(label).cast("int")
+    marked = labels.where(value.isin(0, 1)).select(key, value.alias("label"))
+    marked = marked.join(there.select(key), key, "left_semi")
+    order = (F.xxhash64(F.col(key).cast("string")), F.col(key))
+    by_label = [
+        marked.where(F.col("label") == v).distinct().orderBy(*order).limit(SAMPLE_ROWS)
+        for v in (0, 1)
+    ]
+    sample = by_label[0].unionByName(by_label[1])
 
     def cut(batches):
         for batch in batches:
@@ -129,18 +137,19 @@ def train(labelled: DataFrame, text: str, label: str, order_by: str) -> Model:
             for raw in raw_texts(batch.column(0)):
                 p = pieces(raw)
                 out.append(p[:: max(1, -(-len(p) // SAMPLE_PIECES))])
-            kept = [batch.column(i) for i in (1, 2, 3)]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(out, pa.list_(pa.binary()))], names=["label", "h", "key", "parts"]
+                [batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.binary()))],
+                names=["label", "key", "parts"],
             )
 
-    parts = columns.mapInArrow(cut, "label int, h long, key string, parts array<binary>")
-    rows = []
-    for value in (0, 1):
-        mine = parts.where(F.col("label") == value)
-        sample = mine.orderBy("h", "key", F.xxhash64("parts")).limit(SAMPLE_ROWS)
-        rows += [(r.label, [bytes(p) for p in r.parts]) for r in sample.collect()]
-    return learn(rows)
+    rows = (
+        there.join(F.broadcast(sample), key)
+        .select(text, "label", F.col(key).cast("string"))
+        .mapInArrow(cut, "label int, key string, parts array<binary>")
+        .collect()
+    )
+    rows.sort(key=lambda r: (r.label, r.key, r.parts))
+    return learn([(r.label, [bytes(p) for p in r.parts]) for r in rows])
 
 
 SCHEMA = pa.schema([("score", pa.float64())])

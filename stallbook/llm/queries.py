@@ -102,8 +102,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
     """Learns from the labelled rows of ``docs`` that are not held out."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    known = docs.select("doc_id", "text").join(labels, "doc_id")
-    return quality.train(known.where(~held_out("doc_id", 4)), "text", "quality", "doc_id")
+    return quality.train(docs.select("doc_id", "text"), labels.where(~held_out("doc_id", 4)))
 
 
 @query
