@@ -4,6 +4,7 @@ piece of text becomes a calibrated score."""
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,10 @@ DICTIONARY_BYTES = 65_536
 #: Labelled documents of each label that are learned from, at most.
 SAMPLE_ROWS = 3000
 #: Pieces of a sampled document that are learned from, at most, evenly spread.
-SAMPLE_PIECES = 8
+SAMPLE_PIECES = 16
+#: Share of its bytes that an empty text is taken to shrink to.
+EMPTY_SIZE = 0.6
+FEATURES = 6
 
 
 @dataclass
@@ -51,20 +55,28 @@ class Sizes:
             dict_data=data, write_content_size=False, write_dict_id=False
         )
 
-    def features(self, raw: bytes | None) -> tuple[float, float, float]:
-        """Mean, largest and smallest difference over all pieces, each divided
-        by the piece's bytes; above 0: the bad dictionary shortens it more."""
+    def features(self, raw: bytes | None) -> tuple[float, ...]:
+        """Over all pieces: mean, smallest and largest difference of the two
+        sizes, each divided by the piece's bytes (above 0: the bad dictionary
+        shortens it more); mean and smallest size by bytes, since text that
+        repeats itself shrinks under either; and how short the text is, since
+        the sizes of a short one say little."""
         if not raw:
-            return 0.0, 0.0, 0.0
-        total, low, high = 0.0, 1e9, -1e9
+            return 0.0, 0.0, 0.0, EMPTY_SIZE, EMPTY_SIZE, 1.0
+        total = whole = 0
+        low, high, least = 1e9, -1e9, 1e9
         good, bad = (c.compress for c in self.by)
         for p in pieces(raw):
-            d = len(good(p)) - len(bad(p))
+            size = len(good(p))
+            d = size - len(bad(p))
             total += d
+            whole += size
             # A short last piece says little: it counts as if it were longer.
             d /= max(len(p), PIECE // 4)
             low, high = min(low, d), max(high, d)
-        return total / len(raw), low, high
+            least = min(least, size / len(p))
+        n = len(raw)
+        return total / n, low, high, whole / n, least, 1 / (1 + n / 100)
 
 
 def fitted(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
@@ -86,10 +98,16 @@ def fitted(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
 def learn(rows: list[tuple[int, list[bytes]]]) -> Model:
     """A model from (label, pieces) rows. Half of the rows give the
     dictionaries, the other half the calibration, since a dictionary shortens
-    the text that it was built from more than any other."""
+    the text that it was built from more than any other. For the same reason the
+    words of a piece are shuffled first: a passage that a bad and a good text
+    share should not make the good one bad."""
     samples: dict[int, list[bytes]] = {0: [], 1: []}
+    order = random.Random(5)
     for label, parts in rows[::2]:
-        samples[label].extend(parts)
+        for p in parts:
+            words = p.split(b" ")
+            order.shuffle(words)
+            samples[label].append(b" ".join(words))
     books = {}
     for label in (0, 1):
         parts = samples[label] or [b"\n"]
@@ -101,10 +119,10 @@ def learn(rows: list[tuple[int, list[bytes]]]) -> Model:
             books[label] = b"".join(parts)[-DICTIONARY_BYTES:].ljust(8, b"\n")
     sizes = Sizes(books[1], books[0])
     rest = rows[1::2] or rows
-    x = np.array([sizes.features(b"".join(p)) for _, p in rest]).reshape(-1, 3)
+    x = np.array([sizes.features(b"".join(p)) for _, p in rest]).reshape(-1, FEATURES)
     y = np.array([label for label, _ in rest], float)
     if not len(y):
-        return Model(books[1], books[0], [0.0] * 4, [0.0] * 3, [1.0] * 3)
+        return Model(books[1], books[0], [0.0] * (FEATURES + 1), [0.0] * FEATURES, [1.0] * FEATURES)
     middle, spread = x.mean(0), x.std(0) + 1e-9
     w = fitted((x - middle) / spread, y)
     return Model(books[1], books[0], w.tolist(), middle.tolist(), spread.tolist())
@@ -159,7 +177,7 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Every row with ``score`` from 0 to 1; higher: label 1 is likelier.
 
     The whole text is compressed, piece by piece. Null and empty texts have no
-    difference in size: they get the score of features 0. Repeated rows get
+    difference in size and get the score of the shortest texts. Repeated rows get
     equal scores, an empty table stays empty, an input column ``score`` is
     replaced.
     """
@@ -170,7 +188,7 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         m = shared.value
         if not ready:
             ready.append(Sizes(m.good, m.bad))
-        x = np.array([ready[0].features(t) for t in raw_texts(column)]).reshape(-1, 3)
+        x = np.array([ready[0].features(t) for t in raw_texts(column)]).reshape(-1, FEATURES)
         z = m.weights[0] + ((x - m.middle) / m.spread) @ np.array(m.weights[1:])
         return [1 / (1 + np.exp(-np.clip(z, -500, 500)))]
 
