@@ -9,11 +9,8 @@ Spark sees the file size of each and broadcasts it only while that is small.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stallbook.config import RetailConfig
 from stallbook.functions import dates
@@ -35,22 +32,8 @@ ALIAS_CFG = RetailConfig(
 AS_OF = "2001-12-31"
 
 
-@lru_cache(maxsize=None)
-def _schema(path: str) -> T.StructType:
-    """Schema from the file footer, looked up once per file."""
-    return SparkSession.active().read.parquet(path).schema
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(path)).parquet(path)
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """A small table is read by few tasks, whatever the number of cores: deal its
-    rows out. A table with a scan task per core or more is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _places(c: Column, digits: int) -> Column:
@@ -71,7 +54,7 @@ def _branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     places = _branches(spark, sf_dir)
     return orders.join(customer, orders.o_custkey == customer.c_custkey).join(
@@ -80,10 +63,9 @@ def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with branch, item and money. Both sides of the join on the
-    order grow with the data, so it is a sort-merge join at any size."""
+    """Order lines with branch, item and money."""
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    orders = _customer_orders(spark, sf_dir).hint("merge")
+    orders = _customer_orders(spark, sf_dir)
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey).join(
         part, line.l_partkey == part.p_partkey
     )
@@ -182,7 +164,7 @@ def raw_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     supplier, places = table(spark, sf_dir, "supplier"), _branches(spark, sf_dir)
     joined = (
-        _spread(line.filter(F.col("l_linestatus") == "F"))
+        line.filter(F.col("l_linestatus") == "F")
         .join(supplier, line.l_suppkey == supplier.s_suppkey)
         .join(places, supplier.s_nationkey == places.n_nationkey)
         .join(part, line.l_partkey == part.p_partkey)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.checks import binding as b
@@ -14,9 +12,10 @@ from stallbook.checks.sql import dbl, doubles, even, ratio, rnd, sql
 from stallbook.functions import dates, numbers, rules, text
 from stallbook.functions.numbers import exact_sum
 from stallbook.operators import rows
-from stallbook.operators.shared import checkpoint_dir
+from stallbook.operators.shared import scratch
 from stallbook.operators.windows import add_ranks
 from stallbook.plans import cleaning
+from stallbook.plans.staging import stg_dead_stock, stg_purchases, stg_sales, stg_stockouts
 from stallbook.schemas import (
     BALANCE_FILE,
     DEAD_STOCK_REPORT,
@@ -26,11 +25,7 @@ from stallbook.schemas import (
     schema_for,
 )
 from stallbook.sources import metrics, readers, writers
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+from stallbook.sources.catalog import Tables
 
 
 # --- sales -----------------------------------------------------------------
@@ -311,15 +306,41 @@ def csv_balance_scan(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _cell(name: str) -> Column:
+    """A quoted cell; nothing between commas for null."""
+    c = F.col(name).cast("string")
+    return F.coalesce(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+
+
+#: Rows of a landed file, about: less than a workbook sheet holds.
+FILE_ROWS = 500_000
+
+
+def _land(df: DataFrame, by: str, top: list[str], path: str) -> None:
+    """Write CSV text as another program would: files of bounded size for each
+    value of ``by``, first the given lines, then a line per row with every cell
+    quoted."""
+    parts = 1 + df.count() // FILE_ROWS
+    line = F.concat_ws(",", *[_cell(c) for c in df.columns])
+    part = F.pmod(F.xxhash64(line), F.lit(parts)).cast("string")
+    rows_ = df.select(
+        F.concat_ws("-", F.col(by), part).alias("_file"), F.lit(len(top)).alias("_at"), line.alias("value")
+    )
+    heads = rows_.select("_file").distinct().select("_file", F.posexplode(F.array(*map(F.lit, top))))
+    lines = heads.toDF("_file", "_at", "value").unionByName(rows_)
+    in_order = lines.repartition("_file").sortWithinPartitions("_file", "_at", "value")
+    in_order.select("_file", "value").write.partitionBy("_file").text(path)
+
+
+TITLES = ["Report,Period,Jan to Dec", "All branches,,", ",,", '"printed ""today""",x,y']
+
+
 def _report(df: DataFrame, names: list[str], path: str) -> None:
-    """Land a report as it is printed: title lines, a header row, then rows."""
-    spark = df.sparkSession
-    blank = [None] * (len(names) - 1)
-    top = [["Report"] + blank, ["All branches"] + blank, ["Period"] + blank, [None, *blank]]
-    top.append([n.replace("_", " ").title() for n in names])
-    head = spark.createDataFrame(top, ", ".join(f"{n} string" for n in names))
-    body = df.select(*[F.col(n).cast("string").alias(n) for n in names])
-    head.coalesce(1).unionByName(body).write.option("escape", '"').csv(path)
+    """Land a report as it is printed: title lines, a header row in another order
+    and with a column more, then rows, a file for each branch."""
+    order = [names[-1], "Page", *names[:-1]]
+    head = ",".join(f" {n.replace('_', ' ').title()} " for n in order)
+    _land(df.withColumn("Page", F.lit("1")).select(*order), "company_name", [*TITLES, head], path)
 
 
 @query(sql("""
@@ -328,8 +349,6 @@ select company_name, supplier_name, count(*) as lines, cast(sum(purchase_qty) as
 from raw_purchase group by all"""))
 def report_purchase_scan(spark: SparkSession, d: str) -> DataFrame:
     """Land the purchase report with title lines, scan, clean and stage it."""
-    from stallbook.plans.staging import stg_purchases
-
     path = scratch(spark, "purchase-report")
     _report(b.raw_purchase(spark, d), PURCHASE_REPORT, path)
     df = cleaning.clean_purchase(readers.read_report(spark, path, PURCHASE_REPORT))
@@ -348,8 +367,6 @@ union all
 select 'stockout', stock_no, company_name, last_purchase_date, last_sold_date,
   closing_bal_qty, sales_qty, cast(sales_value as double) from stockout"""))
 def report_stock_scan(spark: SparkSession, d: str) -> DataFrame:
-    from stallbook.plans.staging import stg_dead_stock, stg_stockouts
-
     dead, out = scratch(spark, "dead-report"), scratch(spark, "stockout-report")
     _report(b.raw_dead_stock(spark, d), DEAD_STOCK_REPORT, dead)
     _report(b.raw_stockout(spark, d), STOCKOUT_REPORT, out)
@@ -372,22 +389,89 @@ def report_stock_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(sql("""
-select 'ledger' as name, (select count(*) from ledger) as rows_written,
-  (select count(*) from ledger) as rows_loaded
-union all select 'sales', (select count(*) from raw_sales), (select count(*) from raw_sales)
-"""))
+select company_name, stock_no, item_description || chr(10) || 'second "line"' as item_description,
+  hsn_code, cast(closing_qty as double) as closing_qty from raw_stock_balance"""))
+def csv_quoted_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Stock files of a foreign program with line breaks and quotes in cells."""
+    path = scratch(spark, "quoted-csv")
+    broken = F.concat(F.col("item_description"), F.lit('\nsecond "line"'))
+    file = b.balance_file(spark, d).withColumn("item_description", broken)
+    _land(file, "company_name", [",".join(file.columns)], path)
+    df = cleaning.clean_stock_balance(
+        readers.read_csv(spark, path, BALANCE_FILE, multi_line=True), CFG
+    )
+    return df.select("company_name", "stock_no", "item_description", "hsn_code", "closing_qty")
+
+
+@query(sql("""
+select company_name, count(*) as records from raw_stock_balance group by company_name"""))
+def csv_width_error(spark: SparkSession, d: str) -> DataFrame:
+    """Stock files with a column too many: each record is reported, none read."""
+    path = scratch(spark, "wide-csv")
+    file = b.balance_file(spark, d).where(numbers.num_or_zero(F.col("closing_qty")) > 0)
+    wide = rows.drop_null_keys(file, ["stock_no"]).withColumn("more", F.lit("x"))
+    _land(wide, "company_name", [",".join(wide.columns)], path)
+    found = readers.broken_records(spark, path, BALANCE_FILE)
+    branch = F.regexp_extract(F.url_decode("_file"), "_file=(.*)-[0-9]+/", 1)
+    return found.groupBy(branch.alias("company_name")).agg(F.sum("records").alias("records"))
+
+
+@query(sql(f"""
+select * exclude (tax_rate) replace (
+  {doubles('retail_price item_rate item_net_amount tax_amount net_amount')})
+from raw_purchase"""))
+def report_named_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The purchase report, all rows, with its columns in another order."""
+    path = scratch(spark, "purchase-named")
+    _report(b.raw_purchase(spark, d), PURCHASE_REPORT, path)
+    df = cleaning.clean_purchase(readers.read_report(spark, path, PURCHASE_REPORT))
+    return stg_purchases(df, CFG)
+
+
+@query("""
+select l_returnflag, l_linestatus,
+  round(cast(sum(cast(v as decimal(38,18))) as double), 6) as total,
+  round(cast(sum(cast(v as decimal(38,18))) as double) / count(v), 9) as average
+from (select l_returnflag, l_linestatus, l_extendedprice * l_discount * l_tax / 7 as v from lineitem)
+group by all""")
+def exact_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Amounts with many places: neither sum nor mean is cut."""
+    amount = F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax") / 7
+    return b.table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
+        F.round(exact_sum(amount).cast("double"), 6).alias("total"),
+        numbers.mean(amount, 9).alias("average"),
+    )
+
+
+@query(sql(f"""
+select * replace ({doubles('inwards_qty outwards_qty debit_amount credit_amount amount')})
+from ledger"""))
 def table_load(spark: SparkSession, d: str) -> DataFrame:
-    """Full-refresh load of two typed, month-partitioned tables; the counts are
-    taken while writing and again from the stored files."""
+    """The ledger after a full-refresh load of two month-partitioned tables, whose
+    row counts are taken while writing and again from the stored files."""
     frames = {
         "ledger": cleaning.clean_ledger(b.ledger_file(spark, d), CFG),
         "sales": cleaning.clean_sales(b.sales_file(spark, d), CFG),
     }
-    report = writers.load_all(frames, scratch(spark, "tables"))
-    return spark.createDataFrame(
-        [(n, r["rows_written"], r["rows_loaded"]) for n, r in report.items()],
-        "name string, rows_written bigint, rows_loaded bigint",
-    )
+    root = scratch(spark, "tables")
+    writers.load_all(frames, root)
+    stored = Tables.load(spark, root, ("ledger",))["ledger"]
+    return rows.typed(stored, schema_for("ledger"))
+
+
+@query(sql(f"""
+select company_name, stock_no, sale_date, {dbl('line_revenue')} as line_revenue from stg_sales"""))
+def catalog_table(spark: SparkSession, d: str) -> DataFrame:
+    """Staged sales loaded twice into a bucketed catalog table of a namespace that
+    is ensured twice, read by SQL."""
+    name = "stallbook_check"
+    for _ in range(2):
+        writers.ensure_namespace(spark, name)
+        lines = stg_sales(b.raw_sales(spark, d), CFG).select(
+            "company_name", "stock_no", "sale_date", "line_revenue"
+        )
+        writers.load_table(lines, f"{name}.sales", bucket_by=(8, ["stock_no"]))
+    return spark.sql(f"select * from {name}.sales")
 
 
 @query(sql("""
@@ -425,7 +509,7 @@ def distributed_rank(spark: SparkSession, d: str) -> DataFrame:
         "overall_rank": ((), "revenue"),
         "qty_rank": (["company_name"], "sales_qty"),
     }
-    return add_ranks(lines, ranks, single_task_rows=0)
+    return add_ranks(lines, ranks)
 
 
 @query("""

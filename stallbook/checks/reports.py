@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from stallbook.checks import binding as b
 from stallbook.checks.binding import CFG
-from stallbook.checks.cleaning import scratch
-from stallbook.checks.models import fin, movement, returns, sales
+from stallbook.checks.models import MONEY3, fin, movement, returns, sales
 from stallbook.checks.registry import query
-from stallbook.checks.sql import ratio, sql
+from stallbook.checks.sql import doubles, ratio, sql
 from stallbook.operators.rows import as_double
-from stallbook.operators.shared import share
+from stallbook.operators.shared import scratch, share
 from stallbook.plans import reporting
-from stallbook.plans.staging import SALES_KEYS
+from stallbook.plans.staging import stg_sales
 from stallbook.streaming import feed
 
 FEED_COLUMNS = ["company_name", "voucher_date", "net_sales", "total_expenses", "net_pnl"]
@@ -52,20 +51,17 @@ def daily_feed_stream(spark: SparkSession, d: str) -> DataFrame:
     return _fed(spark, d)
 
 
-@query(sql("""
-select company_name, count(*) as lines from (
-  select distinct company_name, voucher_no, stock_no, sale_date from raw_sales)
-group by company_name"""))
+@query(sql(f"select * replace ({MONEY3}, {doubles('retail_price')}) from stg_sales"))
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Stream all bill lines in date order, drop repeated ones, count the rest."""
+    """Stream all bill lines in files without any order, two at a time, and stage
+    what is kept: the same rows as from one batch."""
     source, target = scratch(spark, "lines-in"), scratch(spark, "lines-out")
     lines = b.raw_sales(spark, d)
-    lines.repartitionByRange("sale_date").write.parquet(source)
+    lines.repartition(8, "stock_no").write.parquet(source)
     feed.run_stream_dedup(
-        spark, source, target, scratch(spark, "lines-state"), lines.schema, SALES_KEYS, "sale_date"
+        spark, source, target, scratch(spark, "lines-state"), lines.schema, max_files_per_batch=2
     )
-    stored = spark.read.parquet(target)
-    return stored.groupBy("company_name").agg(F.count(F.lit(1)).alias("lines"))
+    return stg_sales(feed.read_stream_dedup(spark, target), CFG)
 
 
 # --- KPI cards -------------------------------------------------------------

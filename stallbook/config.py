@@ -20,18 +20,7 @@ EXCLUDED_VOUCHERS = (
 )
 
 # Voucher type in the export -> voucher type in the ledger. Others pass through.
-VOUCHER_MAP = {
-    "Sales": "Sales",
-    "B2B Sale": "B2B Sale",
-    "Sales Return": "Sales Return",
-    "Retail Credit Note": "Sales Return",
-    "Payment": "Payment",
-    "Purchase": "Purchase",
-    "Purchase Return": "Purchase Return",
-    "Receipt": "Receipt",
-    "Transfer In": "Transfer In",
-    "Transfer Out": "Transfer Out",
-}
+VOUCHER_MAP = {"Retail Credit Note": "Sales Return"}
 
 # Which side of the ledger holds the amount of a voucher type.
 DEBIT_VOUCHERS = ("Sales", "B2B Sale", "Payment", "Purchase Return", "Transfer Out")
@@ -114,10 +103,6 @@ class RetailConfig:
     iso_year: bool = False
     calendar_true: bool = False
 
-    # Largest result whose overall rank is taken in one task; beyond it the
-    # rank is computed in range buckets.
-    single_task_rank_rows: int = 200_000
-
     @property
     def branches(self) -> tuple[str, ...]:
         """Every branch that delivers files: retail branches and head office."""

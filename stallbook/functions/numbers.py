@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 CENTS = "decimal(28,2)"
 # Money is added up in units of 1/100000; a sum of units is kept as a high and a
-# low part of 20 bits, so that neither overflows.
+# low part of 20 bits, so that neither overflows. What lies above 2^40 and below a
+# unit has sums of its own.
 PLACES = 5
 LOW_BITS = 20
+TOP = 2**40
+REST_PLACES = 13
 
 
 def parse_number(c: Column) -> Column:
@@ -23,10 +26,6 @@ def num_or_zero(c: Column) -> Column:
     return F.coalesce(parse_number(c), F.lit(0.0))
 
 
-def nullif_zero(c: Column) -> Column:
-    return F.nullif(c, F.lit(0))
-
-
 def safe_ratio(num: Column, den: Column, scale: float = 1, digits: int | None = None) -> Column:
     """``num / den * scale`` in double; null when the denominator is 0 or null."""
     out = F.try_divide(num.cast("double"), den.cast("double"))
@@ -47,21 +46,32 @@ def round_half_even(c: Column, digits: int) -> Column:
 
 
 def exact_sum(c: Column) -> Column:
-    """Sum of line amounts (double, taken to five places) as decimal.
+    """Sum of doubles as decimal, to 13 places, whatever the order of rows.
 
     A sum of doubles depends on the order in which partitions are merged, so a
     repeated run could rank or join differently. A decimal sum does not, but
-    beyond 18 digits it handles an object per row. Two sums of long are exact
-    and as fast as doubles. Amounts up to 9e10 are exact; for sums of sums use
-    ``F.sum`` on the decimals.
+    beyond 18 digits it handles an object per row. Here every value is cut into
+    whole numbers: its part above 2^40, units of 1/100000 in two halves, and the
+    rest below a unit. Totals up to 1e22 fit. For
+    sums of sums use ``F.sum`` on the decimals.
     """
-    units = F.rint(c.cast("double") * float(10**PLACES)).cast("bigint")
-    high = F.sum(F.shiftright(units, LOW_BITS))
-    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1)))
-    total = high.cast("decimal(20,0)") * F.lit(2**LOW_BITS).cast("decimal(7,0)") + low
-    return (total.cast("decimal(28,0)") * F.lit(f"1e-{PLACES}").cast("decimal(6,5)")).cast(
-        "decimal(28,5)"
+    value = c.cast("double")
+    top = (value / F.lit(float(TOP))).cast("bigint")  # towards zero
+    inner = value - top * F.lit(float(TOP))
+    units = F.rint(inner * F.lit(float(10**PLACES))).cast("bigint")
+    rest = inner - units / F.lit(float(10**PLACES))
+    sums = (
+        (top, 0, TOP),
+        (F.shiftright(units, LOW_BITS), PLACES, 2**LOW_BITS),
+        (units.bitwiseAND(F.lit(2**LOW_BITS - 1)), PLACES, 1),
+        (F.rint(rest * F.lit(float(10**REST_PLACES))).cast("bigint"), REST_PLACES, 1),
     )
+    total = F.lit(0).cast("decimal(36,13)")
+    for part, places, factor in sums:
+        whole = (F.sum(part).cast("decimal(19,0)") * F.lit(factor).cast("decimal(13,0)")).cast("decimal(23,0)")
+        unit = F.lit(f"1e-{places}").cast(f"decimal({places + 1},{places})")
+        total = (total + (whole * unit).cast("decimal(36,13)")).cast("decimal(36,13)")
+    return total
 
 
 def mean(c: Column, digits: int | None = None) -> Column:

@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder. A cluster names it in
-    ``spark.checkpoint.dir``; only a local session without one gets a scratch
-    folder, since executors on other machines could not read that."""
+    """The folder for intermediate results that all executors share: the one that
+    ``spark.checkpoint.dir`` names, or that the caller set on the context."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            current = tempfile.mkdtemp(prefix="stallbook-checkpoint-")
-            atexit.register(shutil.rmtree, current, ignore_errors=True)
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(current)
     return current
 
@@ -32,6 +27,18 @@ def shared_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/shared-{spark.sparkContext.applicationId}"
 
 
+#: Paths made inside the open ``shared_results`` blocks, innermost last.
+_open: list[list[str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared results, cleared together with them."""
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _open:
+        made.append(path)
+    return path
+
+
 def share(df: DataFrame) -> DataFrame:
     """Compute once, keep as a Parquet table in the checkpoint folder, and read
     it back. Plans that use the result twice do not run its inputs twice, a lost
@@ -39,13 +46,30 @@ def share(df: DataFrame) -> DataFrame:
     columns (a row checkpoint would be read in full). The size of the files is
     known to the planner, so small results are broadcast in joins."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{uuid.uuid4().hex}"
+    path = scratch(spark, "result")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def shared_results(spark: SparkSession) -> Iterator[None]:
+    """What is shared inside the block is deleted at its end, also if it fails:
+    frames that read it cannot be used afterwards."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield
+    finally:
+        _open.remove(made)
+        for path in made:
+            _delete(spark, path)
+
+
 def clear_shared(spark: SparkSession) -> None:
-    """Delete the shared results of this application, at the end of a job:
-    frames that read them cannot be used afterwards."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    """Delete all shared results of this application, at the end of a job."""
+    _delete(spark, shared_root(spark))

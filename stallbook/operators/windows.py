@@ -30,92 +30,62 @@ def dedup_latest(
     return df.withColumn("_rn", first).filter(F.col("_rn") == 1).drop("_rn", "_tie")
 
 
-def rank_in(part: Sequence[str], col: str) -> Column:
-    """Rank within a partition, highest first: ties share, nulls come last."""
-    return F.rank().over(Window.partitionBy(*part).orderBy(F.col(col).desc_nulls_last()))
-
-
-def add_ranks(
-    df: DataFrame,
-    ranks: Mapping[str, tuple[Sequence[str], str]],
-    single_task_rows: int = 200_000,
-) -> DataFrame:
+def add_ranks(df: DataFrame, ranks: Mapping[str, tuple[Sequence[str], str]]) -> DataFrame:
     """Add ``rank() over (partition by part order by col desc nulls last)`` for
     each ``name: (part, col)``; an empty ``part`` ranks the whole result.
 
-    A rank window sorts a whole partition in one task. That is used only when
-    the input, computed and counted, has at most ``single_task_rows`` rows;
-    larger inputs are ranked in range buckets, with the same result.
+    The input is stored once, since each rank reads it, and the ranks of its
+    distinct values are joined back; equal values share a rank, nulls are last.
     """
     base = share(df)
-    if base.count() <= single_task_rows:
-        return base.withColumns({name: rank_in(part, col) for name, (part, col) in ranks.items()})
     out = base
     for name, (part, col) in ranks.items():
-        out = _join_rank(out, value_ranks(base, name, part, col), part, col)
+        keys = [f"_k{i}" for i in range(len(part))]
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(part)]
+        same.append(F.col(col).eqNullSafe(F.col("_value")))
+        ranked = value_ranks(base, name, part, col)
+        out = out.join(ranked, same, "left").drop(*keys, "_value")
     return out
 
 
-def global_rank(df: DataFrame, name: str, col: str, single_task_rows: int = 200_000) -> DataFrame:
+def global_rank(df: DataFrame, name: str, col: str) -> DataFrame:
     """Overall rank of one column, see :func:`add_ranks`."""
-    return add_ranks(df, {name: ((), col)}, single_task_rows)
-
-
-def bucket_rank(df: DataFrame, name: str, part: Sequence[str], col: str) -> DataFrame:
-    """Add one rank computed in value ranges. ``df`` must be a stored result,
-    because its values are read again to join the ranks."""
-    return _join_rank(df, value_ranks(df, name, part, col), part, col)
-
-
-def _join_rank(df: DataFrame, ranks: DataFrame, part: Sequence[str], col: str) -> DataFrame:
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(part)]
-    same.append(F.col(col).eqNullSafe(F.col("_value")))
-    keys = [f"_k{i}" for i in range(len(part))]
-    return df.join(ranks, same, "left").drop(*keys, "_value")
+    return add_ranks(df, {name: ((), col)})
 
 
 def value_ranks(df: DataFrame, name: str, part: Sequence[str], col: str) -> DataFrame:
-    """Rank of every distinct value per partition, without a window over a whole
-    partition: 1 + rows in higher value ranges + rows with a higher value in the
-    own range.
+    """Rank of every distinct value per partition: 1 + rows in higher ranges of
+    values + rows with a higher value in the own range.
 
-    Works on one row per distinct value, so equal values cost nothing. The range
-    limits come from approximate quantiles; they only decide how evenly the work
-    is spread, any limits give the exact rank.
+    No task sorts a whole partition. Rows are first counted by value, so ties
+    cost nothing; then the values are range-partitioned by partition and value,
+    which cuts a large partition into several ranges. The ranges are stored,
+    because their limits are sampled and must not be drawn again.
     """
     keys = {f"_k{i}": F.col(k) for i, k in enumerate(part)}
     counts = df.groupBy(
         *[c.alias(k) for k, c in keys.items()], F.col(col).alias("_value")
     ).agg(F.count(F.lit(1)).alias("_rows"))
-
-    # each value is compared with every limit, so their number is kept moderate
-    buckets = min(256, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    cuts = counts.select(F.col("_value").cast("double")).approxQuantile(
-        "_value", [i / buckets for i in range(1, buckets)], 0.25 / buckets
+    highest_first = F.col("_value").desc_nulls_last()
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = share(
+        counts.repartitionByRange(ranges, *[F.col(k).asc() for k in keys], highest_first)
+        .withColumn("_range", F.spark_partition_id())
     )
-    limits = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    value = F.col("_value").cast("double")
-    # nulls rank last: below the lowest range
-    bucket = F.when(value.isNull(), -1).otherwise(F.size(F.filter(limits, lambda x: x < value)))
-    counts = counts.withColumn("_bucket", bucket)
 
     # one row per range, so this window stays small
-    above = (
-        Window.partitionBy(*keys)
-        .orderBy(F.desc("_bucket"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = counts.groupBy(*keys, "_bucket").agg(F.sum("_rows").alias("_total"))
+    above = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy(*keys, "_range").agg(F.sum("_rows").alias("_total"))
     totals = totals.withColumn("_above", F.coalesce(F.sum("_total").over(above), F.lit(0)))
     higher = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy(F.col("_value").desc_nulls_last())
+        Window.partitionBy(*keys, "_range")
+        .orderBy(highest_first)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     inside = counts.withColumn("_higher", F.coalesce(F.sum("_rows").over(higher), F.lit(0)))
 
     i, t = inside.alias("i"), totals.alias("t")
-    same = [F.col(f"i.{k}").eqNullSafe(F.col(f"t.{k}")) for k in [*keys, "_bucket"]]
+    same = [F.col(f"i.{k}").eqNullSafe(F.col(f"t.{k}")) for k in [*keys, "_range"]]
     return i.join(t, same).select(
         *[F.col(f"i.{k}") for k in [*keys, "_value"]],
         (F.lit(1) + F.col("_above") + F.col("_higher")).alias(name),

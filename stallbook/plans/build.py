@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from stallbook.config import RetailConfig
 from stallbook.operators.rows import as_double
-from stallbook.operators.shared import share
+from stallbook.operators.shared import share, shared_results
 from stallbook.plans import intermediate, marts, staging
 from stallbook.plans.columns import arranged
 from stallbook.sources.writers import load_report
@@ -47,8 +47,9 @@ def build_all(
     as_of: dt.date | str | None = None,
 ) -> dict[str, DataFrame]:
     """All 20 models by name. Results that several models read are computed once
-    and kept in the checkpoint folder: the deduplicated sales, the item velocity
-    and the daily financials."""
+    and kept in the checkpoint folder: the deduplicated sales, the item velocity,
+    the product summary, the purchase months and the daily financials. Ranked
+    models store the values that they rank. All other models are lazy."""
     cfg = cfg or RetailConfig()
     out = build_staging(tables, cfg)
     sales = out["stg_sales"] = share(out["stg_sales"])
@@ -60,7 +61,8 @@ def build_all(
     velocity = share(intermediate.inventory_velocity(sales, cfg, as_of))
     out["int_inventory_velocity"] = velocity
     out["int_net_sales"] = intermediate.net_sales(sales, out["stg_sales_returns"], cfg)
-    out["int_product_performance"] = intermediate.product_performance(sales, purchases, cfg)
+    summary = share(intermediate.product_summary(sales, purchases))
+    out["int_product_performance"] = intermediate.product_performance(sales, purchases, summary)
     out["int_daily_pnl"] = intermediate.daily_pnl(out["stg_ledger"], cfg)
     out["int_transfer_opportunities"] = intermediate.transfer_opportunities(
         out["stg_stock_movement"], velocity
@@ -72,11 +74,10 @@ def build_all(
     out["mart_action_board"] = marts.action_board(
         out["stg_stock_balance"], velocity, out["stg_stock_movement"], cfg
     )
-    out["mart_product_brand_performance"] = marts.product_brand_performance(
-        out["int_product_performance"], cfg
-    )
+    out["mart_product_brand_performance"] = marts.product_brand_performance(summary, cfg)
     out["mart_supplier_analysis"] = marts.supplier_analysis(purchases, cfg, as_of)
-    out["mart_procurement_analysis"] = marts.procurement_analysis(purchases, cfg, as_of)
+    months = share(marts.purchase_months(purchases))
+    out["mart_procurement_analysis"] = marts.procurement_analysis(months, cfg, as_of)
     return arranged(out)
 
 
@@ -87,7 +88,8 @@ def build_marts(
     as_of: dt.date | str | None = None,
 ) -> dict[str, dict[str, int]]:
     """Write the six marts as Parquet folders below ``root``; returns row counts.
-    Staging and intermediate models stay lazy, as views would; call
-    ``operators.shared.clear_shared`` when the job is done."""
-    models = build_all(tables, cfg, as_of)
-    return {name: load_report(as_double(models[name]), f"{root}/{name}") for name in MARTS}
+    Results kept for the job are removed at its end, also if it fails."""
+    spark = next(iter(tables.values())).sparkSession
+    with shared_results(spark):
+        models = build_all(tables, cfg, as_of)
+        return {name: load_report(as_double(models[name]), f"{root}/{name}") for name in MARTS}

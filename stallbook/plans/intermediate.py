@@ -121,12 +121,13 @@ def net_sales(sales: DataFrame, returns: DataFrame, cfg: RetailConfig) -> DataFr
     )
 
 
-def product_performance(
-    sales: DataFrame, purchases: DataFrame, cfg: RetailConfig
-) -> DataFrame:
-    """Revenue against purchase cost per product, brand and branch, with revenue
-    ranks. Prices and percentages are plain averages over lines. Where there was
-    no purchase (or the brand is null) cost and margin are null."""
+def product_summary(sales: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Revenue against purchase cost per product, brand and branch. Prices and
+    percentages are plain averages over lines. Where there was no purchase (or
+    the brand is null) cost and margin are null.
+
+    The selling days are counted from (group, day) pairs, of which there are few:
+    a second distinct count in one aggregate would copy every bill line."""
     keys = ["product", "brand", "company_name"]
     line_price = safe_ratio(F.col("line_revenue"), F.col("sales_qty"), digits=2)
     sold = (
@@ -141,11 +142,19 @@ def product_performance(
             mean(F.col("line_price"), 2).alias("avg_actual_selling_price"),
             mean(F.col("discount_pct"), 2).alias("avg_discount_pct"),
             F.count_distinct("voucher_no").alias("num_transactions"),
-            F.count_distinct("sale_date").alias("active_selling_days"),
             F.min("sale_date").alias("first_sale"),
             F.max("sale_date").alias("last_sale"),
         )
     )
+    days = (
+        sales.groupBy(*keys, "sale_date")
+        .agg(F.lit(1).alias("_"))
+        .groupBy(*keys)
+        .agg(F.count("sale_date").alias("active_selling_days"))
+    )
+    s, d = sold.alias("s"), days.alias("d")
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys]
+    sold = s.join(d, same).select("s.*", "active_selling_days")
     bought = purchases.groupBy(*keys).agg(
         F.sum("purchase_qty").alias("units_purchased"),
         mean(F.col("item_rate"), 2).alias("avg_cost_price"),
@@ -153,7 +162,7 @@ def product_performance(
     )
     price, cost = F.col("avg_actual_selling_price"), F.col("avg_cost_price")
     units = F.col("units_sold")
-    out = left_join(sold, bought, keys).withColumns(
+    return left_join(sold, bought, keys).withColumns(
         {
             "avg_unit_margin": F.round(price - cost, 2),
             "margin_pct": safe_ratio(price - cost, price, 100, digits=2),
@@ -162,13 +171,19 @@ def product_performance(
             "sell_through_pct": safe_ratio(units, F.col("units_purchased"), 100, digits=2),
         }
     )
+
+def product_performance(
+    sales: DataFrame, purchases: DataFrame, summary: DataFrame | None = None
+) -> DataFrame:
+    """The product summary with revenue ranks; ``summary`` is taken as it is if
+    the caller has it already."""
+    out = product_summary(sales, purchases) if summary is None else summary
     return add_ranks(
         out,
         {
             "revenue_rank_in_branch": (["company_name"], "total_revenue"),
             "revenue_rank_overall": ((), "total_revenue"),
         },
-        cfg.single_task_rank_rows,
     )
 
 

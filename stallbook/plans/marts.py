@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.config import RetailConfig
 from stallbook.functions import dates, rules
 from stallbook.functions.numbers import exact_sum, max_if, mean, safe_ratio
 from stallbook.operators.joins import left_join
-from stallbook.operators.shared import share
 from stallbook.operators.windows import (
     add_ranks,
     lag_days,
@@ -36,8 +35,8 @@ def financials(
     """Daily P&L with month-, week- and year-to-date totals, earlier days and a
     seven-day average.
 
-    The windows run per branch over one row per day. All of them are satisfied
-    by one exchange on the branch, whose groups are bounded by the calendar.
+    The windows run over one row per branch and day: totals to date by their own,
+    finer keys, earlier days and the average by branch, bounded by the calendar.
     A branch can have two rows per day (old and current name), so branch type
     and active flag break date ties.
     """
@@ -70,8 +69,6 @@ def financials(
         "ytd_net_sales": running_sum("net_sales", branch + ["year"], order),
         **earlier,
     }
-    # shuffle on the branch once; finer partition keys are then satisfied by it
-    daily = daily.repartition("company_name")
     return daily.select(
         *DAY_KEYS,
         *[F.round(c, 2).alias(c) if c == "pnl_margin_pct" else c for c in DAY_MEASURES],
@@ -99,15 +96,13 @@ def branch_performance(fin: DataFrame, cfg: RetailConfig) -> DataFrame:
         F.sum("transaction_count").alias("total_transactions"),
     )
     branch = F.col("company_name")
-    # one row per branch, so the unpartitioned window holds a handful of rows
-    by_sales = Window.orderBy(F.col("total_net_sales").desc_nulls_last())
-    return per_branch.withColumns(
+    ranked = add_ranks(per_branch, {"revenue_rank": ((), "total_net_sales")})
+    return ranked.withColumns(
         {
             "branch_type": rules.tier(
                 [(branch.isin(*cfg.head_offices), "Head Office")], "Retail Branch"
             ),
             "is_active": F.coalesce(branch.isin(*cfg.branches), F.lit(False)),
-            "revenue_rank": F.rank().over(by_sales),
             "expense_ratio_pct": safe_ratio(
                 F.col("total_expenses"), F.col("total_net_sales"), 100, digits=2
             ),
@@ -251,7 +246,6 @@ def product_brand_performance(perf: DataFrame, cfg: RetailConfig) -> DataFrame:
             "profit_rank": ((), "total_estimated_profit"),
             "volume_rank": ((), "total_units_sold"),
         },
-        cfg.single_task_rank_rows,
     )
     return out.withColumns(
         {
@@ -263,6 +257,11 @@ def product_brand_performance(perf: DataFrame, cfg: RetailConfig) -> DataFrame:
     )
 
 
+def _line_margin() -> Column:
+    """Price less cost of a line, without the noise of subtracting doubles."""
+    return F.round(F.col("retail_price") - F.col("item_rate"), 9)
+
+
 def _gross_margin(margin: Column, retail: Column) -> Column:
     """(retail - cost) / retail in percent; quantities play no part, and a line
     without cost counts in the denominator only."""
@@ -276,7 +275,7 @@ def supplier_analysis(
     first, last = F.min("voucher_date"), F.max("voucher_date")
     out = (
         purchases.filter(F.col("supplier_name").isNotNull())
-        .withColumn("_margin", F.col("retail_price") - F.col("item_rate"))
+        .withColumn("_margin", _line_margin())
         .groupBy("supplier_name", "brand", "product")
         .agg(
             F.count_distinct("voucher_no").alias("total_purchase_orders"),
@@ -300,7 +299,6 @@ def supplier_analysis(
             "supplier_rank": ((), "total_purchase_value"),
             "rank_within_category": (["product"], "total_purchase_value"),
         },
-        cfg.single_task_rank_rows,
     )
     return out.withColumn("report_date", dates.as_of_date(as_of))
 
@@ -316,7 +314,7 @@ def purchase_months(purchases: DataFrame) -> DataFrame:
             {
                 "purchase_year": F.year(day).cast("bigint"),
                 "purchase_month": F.month(day).cast("bigint"),
-                "_margin": F.col("retail_price") - F.col("item_rate"),
+                "_margin": _line_margin(),
             }
         )
         .groupBy(
@@ -339,12 +337,12 @@ def purchase_months(purchases: DataFrame) -> DataFrame:
 
 
 def procurement_analysis(
-    purchases: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
+    months: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
 ) -> DataFrame:
     """Monthly buying trend per product and brand, with brand and category
-    totals and ranks. Purchase lines are scanned and shuffled once; the three
-    summaries, each with its distinct counts, are taken from that result."""
-    base = share(purchase_months(purchases))
+    totals and ranks. All three summaries, each with its distinct counts, read
+    ``months``, the stored result of :func:`purchase_months`."""
+    base = months
     trend = base.groupBy(
         "purchase_year", "purchase_month", "year_month", "product", "brand"
     ).agg(
@@ -359,7 +357,7 @@ def procurement_analysis(
         _gross_margin(F.sum("margin"), F.sum("retail")).alias("brand_gross_margin_pct"),
         F.count_distinct("style").alias("unique_styles"),
     )
-    brands = add_ranks(brands, {"brand_rank": ((), "_brand_spend")}, cfg.single_task_rank_rows)
+    brands = add_ranks(brands, {"brand_rank": ((), "_brand_spend")})
     brands = brands.withColumn("total_brand_spend", F.round("_brand_spend", 2))
 
     categories = base.groupBy("product").agg(
@@ -367,9 +365,7 @@ def procurement_analysis(
         _gross_margin(F.sum("margin"), F.sum("retail")).alias("category_gross_margin_pct"),
         F.count_distinct("brand").alias("unique_brands"),
     )
-    categories = add_ranks(
-        categories, {"category_rank": ((), "_category_spend")}, cfg.single_task_rank_rows
-    )
+    categories = add_ranks(categories, {"category_rank": ((), "_category_spend")})
     categories = categories.withColumn("total_category_spend", F.round("_category_spend", 2))
 
     out = left_join(trend, brands.drop("_brand_spend"), ["brand", "product"])

@@ -83,15 +83,20 @@ def _project(
     return df.select(*[made.get(c, F.col(c)).alias(c) for c in columns])
 
 
-def stg_sales(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
-    """Bill lines, one per (branch, bill, SKU, date): the one with the highest
-    revenue. Aliases are applied before, so an old and a new branch name meet."""
-    money = _money("line_revenue", "full_mrp_value", "discount_given")
+def latest_sale(lines: DataFrame) -> DataFrame:
+    """One bill line per (branch, bill, SKU, date): the one with the highest
+    revenue."""
     order = [
         F.col(c).desc_nulls_last() for c in ("line_revenue", "sales_qty", "full_mrp_value")
     ]
-    typed = _project(raw, SALES_COLUMNS, cfg, **money)
-    return dedup_latest(typed, SALES_KEYS, order, SALES_TIEBREAK)
+    return dedup_latest(lines, SALES_KEYS, order, SALES_TIEBREAK)
+
+
+def stg_sales(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
+    """Bill lines without repetition. Aliases are applied before, so an old and
+    a new branch name meet."""
+    money = _money("line_revenue", "full_mrp_value", "discount_given")
+    return latest_sale(_project(raw, SALES_COLUMNS, cfg, **money))
 
 
 def stg_sales_returns(raw: DataFrame, cfg: RetailConfig) -> DataFrame:

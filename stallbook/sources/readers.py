@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.functions import text
-from stallbook.operators import rows
 from stallbook.schemas import text_schema
 
+# Executors get the header rule with the task and need not have this package.
+cloudpickle.register_pickle_by_value(text)
+
 # Cell texts that mean "missing" in the exported files.
 MISSING = (
     "",
@@ -43,24 +47,91 @@ def _missing_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[clean(c) for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str | list[str], names: Sequence[str]) -> DataFrame:
-    """Files whose header is ignored: columns are named by position, all text.
-    The declared schema means no pass over the data to infer types, and codes
-    with leading zeros stay as they are."""
-    df = (
-        spark.read.schema(text_schema(list(names)))
+#: Holds the text of a record whose number of cells is not the header's.
+BROKEN = "_broken_record"
+
+
+def _records(
+    spark: SparkSession, path: str | list[str], names: Sequence[str], multi_line: bool
+) -> DataFrame:
+    """Text columns by position, the broken records, and the file of each."""
+    schema = text_schema(list(names)).add(BROKEN, "string")
+    return (
+        spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", BROKEN)
+        # widths are compared only while all cells are parsed
+        .option("columnPruning", False)
         .csv(path)
+        .withColumn("_file", F.col("_metadata.file_path"))
     )
-    return _missing_to_null(df)
 
 
-def read_csv_by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Files whose header names the columns (normalised), all text."""
-    df = spark.read.option("header", True).option("escape", '"').csv(path)
-    return _missing_to_null(rows.normalise_columns(df))
+def _header(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> list[str]:
+    """The header of the first file; only its first rows are read."""
+    return (
+        spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+        .csv(path).columns
+    )
+
+
+def broken_records(
+    spark: SparkSession, path: str | list[str], names: Sequence[str], multi_line: bool = False
+) -> DataFrame:
+    """Files with records of another width than ``names``, how many there are, and
+    the smallest first cell among them."""
+    broken = _records(spark, path, names, multi_line).where(F.col(BROKEN).isNotNull())
+    return broken.groupBy("_file").agg(
+        F.count(F.lit(1)).alias("records"), F.min(names[0]).alias("first_cell")
+    )
+
+
+def _whole(df: DataFrame) -> DataFrame:
+    """Fails the job at the first broken record, and says where it stands."""
+    message = F.concat(
+        F.lit("record of another width than the header in "),
+        F.col("_file"),
+        F.lit(", read with multi_line if cells hold line breaks: "),
+        F.substring(F.col(BROKEN), 1, 200),
+    )
+    whole = F.when(F.col(BROKEN).isNull(), F.lit(True)).otherwise(F.raise_error(message))
+    return df.where(whole).drop(BROKEN, "_file")
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    names: Sequence[str],
+    multi_line: bool = False,
+) -> DataFrame:
+    """Files whose header is ignored: columns are named by position, all text.
+    The declared schema means no pass over the data to infer types, and codes
+    with leading zeros stay as they are.
+
+    The header's width is compared with ``names`` before the scan, and a record
+    of another width, in any file, fails the job instead of being moved or cut;
+    ``broken_records`` counts them by file. By default a file is split over
+    tasks, and a quoted line break is such a record: exports with line breaks in
+    cells are read with ``multi_line=True``, one task for each file.
+    """
+    found = _header(spark, path, multi_line)
+    if len(found) != len(names):
+        raise ValueError(f"{path}: expected {len(names)} columns, file has {len(found)}")
+    return _missing_to_null(_whole(_records(spark, path, names, multi_line)))
+
+
+def read_csv_by_header(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
+) -> DataFrame:
+    """Files whose header names the columns (normalised), all text. All files
+    have the first one's columns; a record of another width fails the job."""
+    names = [text.normalise_name(c) for c in _header(spark, path, multi_line)]
+    if len(set(names)) != len(names):
+        raise ValueError(f"column names collide after normalising: {sorted(names)}")
+    return read_csv(spark, path, names, multi_line)
 
 
 def read_report(
@@ -68,23 +139,53 @@ def read_report(
     path: str | list[str],
     names: Sequence[str],
     anchor: str = "company_name",
-    min_cells: int = 3,
+    header_row: int = 5,
+    most_columns: int = 128,
 ) -> DataFrame:
-    """Reports with title lines above the header, landed as CSV.
+    """Reports with title lines above the header, landed as CSV, by name.
 
-    Title lines fill fewer than ``min_cells`` cells, the header repeats the name
-    of the ``anchor`` column, and blank rows have no anchor. All are dropped by
-    a predicate on the row itself, so files are split and read in parallel.
+    Row ``header_row`` of each file (blank lines do not count) names its columns
+    after ``normalise_name``; the rows up to it are dropped, as are later rows
+    without a value in ``anchor``. ``names`` are taken wherever they stand,
+    other columns are left out, and a file that lacks one of them fails. A
+    report is a workbook sheet and holds about a million rows at most, so each
+    file is read by one task, in order, also with line breaks in cells.
     """
-    df = (
-        spark.read.schema(text_schema(list(names)))
+    cells = [f"_c{i}" for i in range(most_columns)]
+    raw = (
+        spark.read.schema(text_schema(cells))
         .option("header", False)
         .option("escape", '"')
+        .option("multiLine", True)
         .csv(path)
+        .select("_metadata.file_path", *cells)
     )
-    df = _missing_to_null(df)
-    filled = sum((F.col(c).isNotNull().cast("int") for c in names), F.lit(0))
-    label = F.regexp_replace(
-        F.replace(F.lower(text.strip(F.col(anchor))), F.lit(" "), F.lit("_")), "[^a-z0-9_]", ""
-    )
-    return df.filter(F.col(anchor).isNotNull() & (label != anchor) & (filled >= min_cells))
+    wanted, normalised = list(names), text.normalise_name
+
+    def below_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, row, places = None, 0, []
+        for batch in batches:
+            files = batch.column(0).to_pylist()
+            at = 0
+            while at < len(files):
+                if files[at] != file:
+                    file, row = files[at], 0
+                end = next((i for i in range(at, len(files)) if files[i] != file), len(files))
+                skip = min(max(header_row - row, 0), end - at)
+                if skip and row + skip == header_row:
+                    header = [batch.column(i)[at + skip - 1].as_py() for i in range(1, most_columns + 1)]
+                    found = [c and normalised(c) for c in header]
+                    missing = [n for n in wanted if n not in found]
+                    if missing:
+                        raise ValueError(f"{file}: no column {', '.join(missing)} in row {header_row}")
+                    places = [found.index(n) + 1 for n in wanted]
+                row += end - at
+                if end > at + skip:
+                    part = batch.slice(at + skip, end - at - skip)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(i) for i in places], names=wanted
+                    )
+                at = end
+
+    df = _missing_to_null(raw.mapInArrow(below_header, text_schema(wanted)))
+    return df.filter(F.col(anchor).isNotNull())

@@ -1,14 +1,90 @@
-"""Daily feed of branch totals, and bill-line deduplication, on file streams."""
+"""Daily feed of branch totals, and bill-line deduplication, on file streams.
+
+Both keep a table of current rows, partitioned by month. A batch is merged with
+the stored rows of the months that it touches, and only these are written anew,
+so late files count like others and reading needs no shuffle.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stallbook.operators.windows import dedup_latest
+from stallbook.plans.staging import latest_sale
+
+MONTH = "_month"
+#: Files of one batch: a long backlog is worked off in several.
+FILES_PER_BATCH = 64
+
+
+def _stored(spark: SparkSession, target: str) -> DataFrame | None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.parquet(target)
+
+
+def _merge(
+    batch: DataFrame, number: int, target: str, day: str, settle: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Settle the batch together with the stored rows of its months.
+
+    The result is staged first, since it is made from the partitions that it
+    replaces; then just these partitions are overwritten. Settling rows twice
+    changes nothing, so a batch that died half-way is simply run again.
+    """
+    spark = batch.sparkSession
+    batch = batch.withColumn(MONTH, F.date_format(day, "yyyy-MM"))
+    months = [r[MONTH] for r in batch.select(MONTH).distinct().collect()]
+    if not months:
+        return
+    stored = _stored(spark, target)
+    if stored is not None:
+        touched = F.col(MONTH).isin([m for m in months if m is not None])
+        if None in months:
+            touched = touched | F.col(MONTH).isNull()
+        batch = stored.where(touched).unionByName(batch)
+    staged = f"{target.rstrip('/')}.staged/{number}"
+    settle(batch).write.mode("overwrite").parquet(staged)
+    (
+        spark.read.parquet(staged)
+        .hint("rebalance", MONTH)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(MONTH)
+        .parquet(target)
+    )
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _run(
+    arrived: DataFrame, target: str, checkpoint: str, day: str,
+    settle: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Work off every file that has arrived since the last run, then stop."""
+
+    def merge(batch: DataFrame, number: int) -> None:
+        _merge(batch, number, target, day, settle)
+
+    query = (
+        arrived.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def _files(
+    spark: SparkSession, source: str, schema: T.StructType, fmt: str, per_batch: int
+) -> DataFrame:
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", per_batch)
+    return reader.load(source)
 
 
 def run_daily_feed(
@@ -18,34 +94,27 @@ def run_daily_feed(
     checkpoint: str,
     schema: T.StructType,
     fmt: str = "parquet",
+    max_files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Append every file that has arrived since the last run, then stop.
+    """Merge every delivery that has arrived since the last run into the feed.
 
-    Rows keep the time and name of the file that delivered them. The file sink
-    writes each row exactly once, so a run that dies half-way is simply started
-    again; what a later delivery replaces is settled on reading, see
-    :func:`latest_delivery`. Appending never rewrites days that are already
-    stored, however long the history is.
+    Rows keep the time and name of the file that delivered them, so a day that is
+    delivered again replaces the earlier version whichever comes first.
     """
-    arrived = (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .load(source)
-        .withColumns(
-            {
-                "delivered_at": F.col("_metadata.file_modification_time"),
-                "delivered_file": F.col("_metadata.file_path"),
-            }
-        )
+    arrived = _files(spark, source, schema, fmt, max_files_per_batch).withColumns(
+        {
+            "delivered_at": F.col("_metadata.file_modification_time"),
+            "delivered_file": F.col("_metadata.file_path"),
+        }
     )
-    query = (
-        arrived.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    query.awaitTermination()
+    _run(arrived, target, checkpoint, "voucher_date", _latest)
+
+
+def _latest(
+    feed: DataFrame, keys: Sequence[str] = ("company_name", "voucher_date")
+) -> DataFrame:
+    order: list[Column] = [F.col("delivered_at").desc(), F.col("delivered_file").desc()]
+    return dedup_latest(feed, keys, order)
 
 
 def latest_delivery(
@@ -55,32 +124,12 @@ def latest_delivery(
     again replaces the earlier version, it does not add to it. This holds
     whether both arrive in one run or in two, and however many files a delivery
     is split into."""
-    order = [F.col("delivered_at").desc(), F.col("delivered_file").desc()]
-    return dedup_latest(feed, keys, order).drop("delivered_at", "delivered_file")
+    return _latest(feed, keys).drop("delivered_at", "delivered_file")
 
 
 def read_daily_feed(spark: SparkSession, target: str) -> DataFrame:
-    """The live table: current version of every delivered day."""
-    return latest_delivery(spark.read.parquet(target))
-
-
-def stream_dedup(
-    stream: DataFrame, keys: Sequence[str], time_col: str, delay: str = "2 days"
-) -> DataFrame:
-    """Drop bill lines delivered again within ``delay``.
-
-    Keeps the first line seen per key, where the batch model keeps the one with
-    the highest revenue: a stream cannot take back what it has emitted. State is
-    dropped once the watermark passes, so it is bounded by the delay. Lines more
-    than ``delay`` older than the newest line of an earlier batch are late and
-    ignored: deliver files in date order, or load history as one batch.
-    """
-    return (
-        stream.withColumn("_event_time", F.col(time_col).cast("timestamp"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(list(keys))
-        .drop("_event_time")
-    )
+    """The live table: the current version of every delivered day."""
+    return spark.read.parquet(target).drop("delivered_at", "delivered_file", MONTH)
 
 
 def run_stream_dedup(
@@ -89,22 +138,18 @@ def run_stream_dedup(
     target: str,
     checkpoint: str,
     schema: T.StructType,
-    keys: Sequence[str],
-    time_col: str,
-    delay: str = "2 days",
+    time_col: str = "sale_date",
+    settle: Callable[[DataFrame], DataFrame] = latest_sale,
     fmt: str = "parquet",
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Deduplicate every bill-line file that has arrived, then stop."""
-    reader = spark.readStream.format(fmt).schema(schema)
-    if max_files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    query = (
-        stream_dedup(reader.load(source), keys, time_col, delay)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    query.awaitTermination()
+    """Keep one line per bill, item and day of all bill-line files that arrive,
+    in any order: the one that the staging model keeps. ``settle`` may be any
+    choice of rows by keys that determine the month of ``time_col``."""
+    arrived = _files(spark, source, schema, fmt, max_files_per_batch)
+    _run(arrived, target, checkpoint, time_col, settle)
+
+
+def read_stream_dedup(spark: SparkSession, target: str) -> DataFrame:
+    """The deduplicated lines."""
+    return spark.read.parquet(target).drop(MONTH)

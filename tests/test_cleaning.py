@@ -194,6 +194,44 @@ def test_report_with_header_on_row_five(spark, tmp_path):
     ]
 
 
+def test_report_columns_by_name_and_titles_of_many_cells(spark, tmp_path):
+    names = ["company_name", "stock_no", "item_description"]
+    top = "Branch,Period,Jan\nA,B,C\n,,\n2026,x,y\n"
+    (tmp_path / "one.csv").write_text(
+        top + 'Item Description,Stock No,Extra,Company Name\n"two\nlines",s1,9,HO\nx,s2,,HO\nx,s3,1,\n'
+    )
+    (tmp_path / "two.csv").write_text(top + "Company Name,Stock No,Item Description\nA,s4,\n")
+    out = readers.read_report(spark, str(tmp_path / "*.csv"), names)
+    assert sorted(map(tuple, out.collect())) == [
+        ("A", "s4", None), ("HO", "s1", "two\nlines"), ("HO", "s2", "x"),
+    ]
+    (tmp_path / "two.csv").write_text(top + "Company Name,Item Description\nA,z\n")
+    with pytest.raises(Exception, match="no column stock_no in row 5"):
+        readers.read_report(spark, str(tmp_path / "*.csv"), names).collect()
+
+
+def test_line_breaks_in_cells_fail_or_are_read_whole(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('a,b,c\n1,"x\ny",3\n4,"say ""hi""",6\n')
+    names = ["k", "t", "n"]
+    out = readers.read_csv(spark, str(path), names, multi_line=True)
+    assert [tuple(r) for r in out.collect()] == [("1", "x\ny", "3"), ("4", 'say "hi"', "6")]
+    with pytest.raises(Exception, match="record of another width"):
+        readers.read_csv(spark, str(path), names).select("k").collect()
+    assert [r.records for r in readers.broken_records(spark, str(path), names).collect()] == [2]
+
+
+def test_width_is_checked_in_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="expected 3 columns, file has 2"):
+        readers.read_csv(spark, str(tmp_path / "a.csv"), ["x", "y", "z"])
+    (tmp_path / "b.csv").write_text("a,b,c\n1,2,3\n")
+    with pytest.raises(Exception, match="record of another width|expected 2 columns"):
+        readers.read_csv(spark, str(tmp_path), ["x", "y"]).collect()
+    both = readers.broken_records(spark, str(tmp_path), ["x", "y"]).collect()
+    assert [(r._file.rsplit("/")[-1], r.records) for r in both] == [("b.csv", 1)]
+
+
 def test_positional_names_check_the_width(frame):
     df = frame("a string, b string", {"a": "1", "b": "2"})
     assert rows.apply_positional(df, ["x", "y"]).columns == ["x", "y"]

@@ -13,6 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry
 import verify
 from stallbook.checks import binding
+from stallbook.checks.registry import ORACLES, QUERIES
 from stallbook.operators.shared import clear_shared, share
 from stallbook.plans import build
 from stallbook.plans.columns import MODEL_COLUMNS
@@ -23,7 +24,7 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables n
 PARITY = (
     "sales_dedup net_sales_monthly product_brand_scorecard financials branch_performance "
     "action_board healthy_items supplier_analysis procurement_trends clean_sales clean_ledger "
-    "report_stock_scan daily_feed_stream distributed_rank findings"
+    "report_stock_scan daily_feed_stream stream_dedup distributed_rank findings product_performance"
 ).split()
 
 
@@ -36,7 +37,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", PARITY)
@@ -111,23 +112,48 @@ def test_no_python_and_no_cross_join_in_any_model(models):
         assert "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_only_the_branch_comparison_uses_one_task(models):
-    whole = {n for n, df in models.items() if "SinglePartition" in plan(df)}
-    # ranks of results that were counted to be small, and one row per branch
-    assert whole <= {
-        "int_product_performance",
-        "mart_branch_performance",
-        "mart_product_brand_performance",
-        "mart_supplier_analysis",
-        "mart_procurement_analysis",
-    }
+def test_no_task_ranks_a_whole_model(models):
+    """The only exchange to one partition comes after a sum per range."""
+    for name, df in models.items():
+        lines = plan(df).splitlines()
+        for i, line in enumerate(lines):
+            if "SinglePartition" in line:
+                assert any("sum(_rows" in below for below in lines[i + 1 : i + 4]), name
+
+
 
 
-def test_windows_of_the_financials_share_one_exchange(spark, models):
-    from stallbook.plans import marts
+def test_plans_without_a_rank_are_made_without_a_job(spark):
+    from stallbook.plans import intermediate, marts
 
-    text = plan(marts.financials(share(models["int_daily_pnl"]), binding.CFG, binding.AS_OF))
-    assert text.count("Exchange") == 1 and text.count("Sort [") == 4
+    tables = binding.raw_tables(spark, SF_DIR)
+    spark.sparkContext.setJobGroup("plans-only", "plans of models without a rank")
+    try:
+        staged = build.build_staging(tables, binding.CFG)
+        sales, purchases = staged["stg_sales"], staged["stg_purchases"]
+        velocity = intermediate.inventory_velocity(sales, binding.CFG, binding.AS_OF)
+        intermediate.net_sales(sales, staged["stg_sales_returns"], binding.CFG)
+        intermediate.product_summary(sales, purchases)
+        daily = intermediate.daily_pnl(staged["stg_ledger"], binding.CFG)
+        intermediate.transfer_opportunities(staged["stg_stock_movement"], velocity)
+        marts.financials(daily, binding.CFG, binding.AS_OF)
+        marts.purchase_months(purchases)
+        marts.action_board(
+            staged["stg_stock_balance"], velocity, staged["stg_stock_movement"], binding.CFG
+        )
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("plans-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []
+
+
+def test_the_summary_copies_no_line_for_its_distinct_counts(spark):
+    from stallbook.plans import intermediate
+
+    tables = binding.raw_tables(spark, SF_DIR)
+    staged = build.build_staging(tables, binding.CFG)
+    out = intermediate.product_summary(staged["stg_sales"], staged["stg_purchases"])
+    assert "Expand" not in plan(out)
 
 
 def test_scans_read_only_what_a_model_needs(spark, tmp_path):

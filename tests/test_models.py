@@ -161,7 +161,7 @@ def test_product_performance(frame):
         LINE | {"brand": None},
     )
     purchases = frame(PURCHASES, BUY, BUY | {"item_rate": 40}, BUY | {"brand": None})
-    out = intermediate.product_performance(sales, purchases, CFG)
+    out = intermediate.product_performance(sales, purchases)
     rows = {(r.product, r.brand): r for r in out.collect()}
     p = rows["P", "B"]
     assert (p.avg_actual_selling_price, p.avg_cost_price, p.avg_unit_margin) == (70, 50, 20)
@@ -206,7 +206,7 @@ def test_procurement_analysis(frame):
     )
     out = {
         (r.year_month, r.product, r.brand): r
-        for r in marts.procurement_analysis(purchases, CFG, "2026-05-01").collect()
+        for r in marts.procurement_analysis(marts.purchase_months(purchases), CFG, "2026-05-01").collect()
     }
     jan = out["2026-01", "P", "B"]
     assert (jan.total_units, jan.total_spend, jan.unique_items, jan.unique_suppliers) == (20, 1200, 2, 2)

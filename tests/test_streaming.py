@@ -1,6 +1,7 @@
 from conftest import day
 from pyspark.sql import functions as F
 
+from stallbook.operators import windows
 from stallbook.streaming import feed
 
 FEED = "company_name string, voucher_date date, net_sales double"
@@ -44,16 +45,35 @@ def test_two_versions_in_one_run(spark, frame, tmp_path):
     assert [r.net_sales for r in feed.read_daily_feed(spark, target).collect()] == [3]
 
 
-def test_stream_dedup_keeps_one_line_per_key(spark, tmp_path):
+def test_late_lines_count_in_any_order_of_files(spark, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    lines = spark.range(200).select(
-        (F.col("id") % 40).alias("bill"),
-        F.expr("date_add(date'2026-01-01', cast(id % 40 as int))").alias("sale_date"),
+    lines = spark.range(400).select(
+        (F.col("id") % 80).alias("bill"),
+        F.expr("date_add(date'2026-01-01', cast(id % 80 as int))").alias("sale_date"),
         F.col("id").cast("double").alias("line_revenue"),
     )
-    lines.repartitionByRange(4, "sale_date").sortWithinPartitions("sale_date").write.parquet(source)
+    lines.repartition(8, "line_revenue").write.parquet(source)
+
+    def best(df):
+        return windows.dedup_latest(df, ["bill"], [F.col("line_revenue").desc()])
+
     feed.run_stream_dedup(
-        spark, source, target, state, lines.schema, ["bill"], "sale_date", "3 days"
+        spark, source, target, state, lines.schema, settle=best, max_files_per_batch=2
     )
-    out = spark.read.parquet(target)
-    assert out.count() == 40 and out.select("bill").distinct().count() == 40
+    out = feed.read_stream_dedup(spark, target).collect()
+    assert sorted((r.bill, r.line_revenue) for r in out) == [(i, 320.0 + i) for i in range(80)]
+    assert len(list((tmp_path / "state" / "commits").glob("[0-9]*"))) >= 4
+
+
+def test_a_batch_writes_only_the_months_that_it_touches(spark, frame, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    one = dict(company_name="A", voucher_date=day("2026-01-05"), net_sales=1)
+    for date in ("2026-01-05", "2026-02-05", None):
+        row = one | {"voucher_date": date and day(date)}
+        df = frame(FEED, row)
+        df.coalesce(1).write.mode("append").parquet(source)
+        before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*/*.parquet")}
+        feed.run_daily_feed(spark, source, target, state, df.schema)
+        after = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*/*.parquet")}
+        assert before.items() <= after.items()
+    assert feed.read_daily_feed(spark, target).count() == 3

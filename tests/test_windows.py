@@ -1,9 +1,11 @@
 import random
+from pathlib import Path
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stallbook.operators import windows
-from stallbook.operators.shared import share
+from stallbook.operators.shared import shared_root
 
 
 def ranked(spark, n=4000, seed=7):
@@ -17,49 +19,62 @@ def ranked(spark, n=4000, seed=7):
     return spark.createDataFrame(data, "id bigint, part string, v double")
 
 
-def test_bucket_rank_equals_the_window(spark):
-    df = share(ranked(spark))
-    for part in ([], ["part"]):
-        plain = df.withColumn("r", windows.rank_in(part, "v"))
-        bucketed = windows.bucket_rank(df, "r", part, "v")
-        assert sorted(map(tuple, bucketed.collect()), key=repr) == sorted(
-            map(tuple, plain.collect()), key=repr
-        )
+def plain(df, part, col):
+    w = Window.partitionBy(*part).orderBy(F.col(col).desc_nulls_last())
+    return sorted(map(tuple, df.withColumn("r", F.rank().over(w)).collect()), key=repr)
 
 
-def test_bucket_rank_of_decimals_and_of_nulls_only(spark):
-    df = share(ranked(spark, 500).withColumn("v", F.col("v").cast("decimal(28,5)")))
-    plain = {r.id: r.r for r in df.withColumn("r", windows.rank_in([], "v")).collect()}
-    assert {r.id: r.r for r in windows.bucket_rank(df, "r", [], "v").collect()} == plain
-    nothing = share(spark.range(5).withColumn("v", F.lit(None).cast("double")))
-    assert {r.r for r in windows.bucket_rank(nothing, "r", [], "v").collect()} == {1}
+def test_ranks_equal_the_window(spark):
+    df = ranked(spark)
+    for part in ([], ["part"]):
+        out = windows.add_ranks(df, {"r": (part, "v")})
+        assert sorted(map(tuple, out.collect()), key=repr) == plain(df, part, "v")
+
+
+def test_ranks_with_one_hot_value_and_with_one_hot_group(spark):
+    value = F.when(F.col("id") % 10 > 0, 7.5).otherwise((F.col("id") % 113).cast("double"))
+    group = F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7))
+    ids = spark.range(3000)
+    for df in (
+        ids.withColumn("g", F.lit("a")).withColumn("v", value),
+        ids.withColumn("g", group).withColumn("v", (F.col("id") * 7919 % 1009).cast("double")),
+    ):
+        out = windows.add_ranks(df, {"r": (["g"], "v")})
+        assert sorted(map(tuple, out.collect()), key=repr) == plain(df, ["g"], "v")
+
+
+def test_a_hot_group_is_cut_into_ranges(spark):
+    df = spark.range(4000).select(F.lit("hot").alias("g"), F.col("id").cast("double").alias("v"))
+    ranks = windows.value_ranks(df, "r", ["g"], "v")
+    assert ranks.count() == 4000
+    stored = max(
+        Path(shared_root(spark).removeprefix("file:")).glob("result-*"),
+        key=lambda p: p.stat().st_mtime_ns,
+    )
+    sizes = [r["count"] for r in spark.read.parquet(str(stored)).groupBy("_range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000
 
 
-def test_bucket_rank_has_no_single_partition(spark):
-    df = share(ranked(spark, 200))
-    plan = windows.bucket_rank(df, "r", [], "v")._jdf.queryExecution().executedPlan().toString()
-    # the only unpartitioned window runs over one row per bucket
-    single = [line for line in plan.splitlines() if "SinglePartition" in line]
-    assert len(single) <= 1
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+def test_ranks_of_decimals_and_of_nulls_only(spark):
+    df = ranked(spark, 500).withColumn("v", F.col("v").cast("decimal(28,5)"))
+    out = windows.global_rank(df, "r", "v")
+    assert sorted(map(tuple, out.collect()), key=repr) == plain(df, [], "v")
+    nothing = spark.range(5).withColumn("v", F.lit(None).cast("double"))
+    assert {r.r for r in windows.global_rank(nothing, "r", "v").collect()} == {1}
 
 
-def test_both_ways_of_add_ranks_agree(spark):
-    df = ranked(spark, 800)
-    ranks = {"all": ((), "v"), "inside": (["part"], "v")}
-    small = windows.add_ranks(df, ranks)
-    large = windows.add_ranks(df, ranks, single_task_rows=10)
-    assert sorted(map(tuple, small.collect()), key=repr) == sorted(
-        map(tuple, large.select(small.columns).collect()), key=repr
-    )
+def test_only_one_row_per_range_meets_in_one_task(spark):
+    out = windows.global_rank(ranked(spark, 200), "r", "v")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert sum("SinglePartition" in line for line in plan.splitlines()) <= 1
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
 def test_ties_share_a_rank_and_null_is_last(frame):
     df = frame("v double", {"v": 9.0}, {"v": 9.0}, {"v": 5.0}, {"v": None})
-    for limit in (100, 0):
-        out = windows.global_rank(df, "r", "v", limit).collect()
-        assert sorted(r.r for r in out) == [1, 1, 3, 4]
-        assert next(r.r for r in out if r.v is None) == 4
+    out = windows.global_rank(df, "r", "v").collect()
+    assert sorted(r.r for r in out) == [1, 1, 3, 4]
+    assert next(r.r for r in out if r.v is None) == 4
 
 
 def test_dedup_does_not_depend_on_partitions(spark):
