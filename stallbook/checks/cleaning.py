@@ -398,7 +398,7 @@ def csv_quoted_scan(spark: SparkSession, d: str) -> DataFrame:
     file = b.balance_file(spark, d).withColumn("item_description", broken)
     _land(file, "company_name", [",".join(file.columns)], path)
     df = cleaning.clean_stock_balance(
-        readers.read_csv(spark, path, BALANCE_FILE, multi_line=True), CFG
+        readers.read_csv(spark, f"{path}/*", BALANCE_FILE, multi_line=True), CFG
     )
     return df.select("company_name", "stock_no", "item_description", "hsn_code", "closing_qty")
 
@@ -411,8 +411,10 @@ def csv_width_error(spark: SparkSession, d: str) -> DataFrame:
     file = b.balance_file(spark, d).where(numbers.num_or_zero(F.col("closing_qty")) > 0)
     wide = rows.drop_null_keys(file, ["stock_no"]).withColumn("more", F.lit("x"))
     _land(wide, "company_name", [",".join(wide.columns)], path)
-    found = readers.broken_records(spark, path, BALANCE_FILE)
-    branch = F.regexp_extract(F.url_decode("_file"), "_file=(.*)-[0-9]+/", 1)
+    found = readers.broken_records(spark, f"{path}/*", BALANCE_FILE)
+    # the folder name is escaped once in the path and once more in the file's address
+    folder = F.regexp_extract(F.url_decode(F.url_decode("_file")), "_file=(.*)-[0-9]+/", 1)
+    branch = text.strip(folder)
     return found.groupBy(branch.alias("company_name")).agg(F.sum("records").alias("records"))
 
 
@@ -444,7 +446,8 @@ def exact_sums(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(sql(f"""
-select * replace ({doubles('inwards_qty outwards_qty debit_amount credit_amount amount')})
+select * replace (cast(inwards_qty as bigint) as inwards_qty,
+  cast(outwards_qty as bigint) as outwards_qty, {doubles('debit_amount credit_amount amount')})
 from ledger"""))
 def table_load(spark: SparkSession, d: str) -> DataFrame:
     """The ledger after a full-refresh load of two month-partitioned tables, whose

@@ -81,12 +81,11 @@ def _header(spark: SparkSession, path: str | list[str], multi_line: bool = False
 def broken_records(
     spark: SparkSession, path: str | list[str], names: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """Files with records of another width than ``names``, how many there are, and
-    the smallest first cell among them."""
+    """Files with records of another width than ``names``, and how many."""
     broken = _records(spark, path, names, multi_line).where(F.col(BROKEN).isNotNull())
-    return broken.groupBy("_file").agg(
-        F.count(F.lit(1)).alias("records"), F.min(names[0]).alias("first_cell")
-    )
+    # Spark wants a column of the file besides the broken records.
+    broken = broken.where(F.coalesce(F.col(names[0]), F.lit("")) >= "")
+    return broken.groupBy("_file").agg(F.count(F.lit(1)).alias("records"))
 
 
 def _whole(df: DataFrame) -> DataFrame:

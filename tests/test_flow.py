@@ -50,6 +50,28 @@ def test_parity(spark, duck, name):
     assert got == verify.table_of(names, cur.fetchall())
 
 
+@pytest.mark.parametrize(
+    "name, column",
+    [
+        ("action_board", "action_tag"),
+        ("net_sales_monthly", "net_units_sold"),
+        ("product_performance", "revenue_rank_overall"),
+        ("procurement_trends", "brand_rank"),
+        ("transfer_opportunities", "est_days_to_sell_if_transferred"),
+    ],
+)
+def test_a_seeded_fault_is_seen(spark, duck, name, column):
+    """One value of one row is changed: the comparison must not hold."""
+    df = entry.queries()[name](spark, SF_DIR)
+    got = [r.asDict() for r in df.collect()]
+    kind = type(next(r[column] for r in got if r[column] is not None))
+    got[len(got) // 2][column] = "Review!" if kind is str else kind(987654)
+    cur = duck.execute(entry.oracle_sql()[name])
+    names = [c[0] for c in cur.description]
+    wrong = verify.table_of(df.columns, [tuple(r[c] for c in df.columns) for r in got])
+    assert wrong != verify.table_of(names, cur.fetchall())
+
+
 @pytest.fixture(scope="module")
 def models(spark):
     return build.build_all(binding.raw_tables(spark, SF_DIR), binding.CFG, binding.AS_OF)
