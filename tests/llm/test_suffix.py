@@ -53,7 +53,7 @@ def made_texts(length, seed):
     return texts
 
 
-@pytest.mark.parametrize("length, most_runs", [(64, 512), (64, 2), (400, 512)])
+@pytest.mark.parametrize("length, most_runs", [(64, 512), (64, 2), (400, 512), (400, 1)])
 def test_equals_brute_force(docs_of, length, most_runs):
     texts = made_texts(length, length + most_runs)
     want = brute_force(texts, length)
