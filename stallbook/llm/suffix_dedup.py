@@ -8,6 +8,7 @@ a text that share an anchor stand next to each other and form a run; runs meet
 by the hash of their anchor. Runs with the same bytes count as one with a number
 of copies. Where runs of an anchor differ, their suffixes are sorted deep-shallow:
 by multikey sort down to 32 bytes, then by blind tries for those that still agree.
+Anchors with more runs than one task sorts are cut into finer pieces first.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from stallbook.operators.shared import share
 LENGTH = 400
 GRAM = 32
 SHALLOW = 32
-#: Different runs of an anchor that one task sorts; the windows of anchors with
-#: more are dealt out one by one.
-MOST_RUNS = 512
+#: Different runs of an anchor that one task sorts (2 MB); runs of anchors with
+#: more are cut up and dealt out.
+MOST_RUNS = 2048
+#: Windows of a run that are cut off together.
+BIN = 16
 #: Long texts are read in pieces, so positions fit in 24 bits.
 PIECE = 8_000_000
 FACTOR = 0x9E3779B97F4A7C15 | 1
@@ -237,6 +240,93 @@ def all_runs(keyed: DataFrame, length: int) -> DataFrame:
     return keyed.select("key", "text").mapInArrow(read, RUN)
 
 
+def bins_of(raw: bytes, length: int) -> list[tuple[int, int, int, int]]:
+    """(first and last window, start of the core, its distance to the anchor) of
+    the bins of a run. Bins are laid by the windows' distance to the anchor, so
+    equal windows of two runs are in equal bins; a bin's core are the
+    ``length - BIN + 1`` bytes that all its windows hold."""
+    h = gram_hashes(np.frombuffer(raw[:length], np.uint8))
+    places = np.arange(len(h), dtype=np.uint64)
+    anchor = int(((h & ~np.uint64((1 << 24) - 1)) | places).argmin())
+    windows = len(raw) - length + 1
+    out = []
+    for k in range((anchor - windows + 1) // BIN, anchor // BIN + 1):
+        first = max(anchor - BIN * k - BIN + 1, 0)
+        last = min(anchor - BIN * k, windows - 1)
+        out.append((first, last, anchor - BIN * k, BIN * k))
+    return out
+
+
+def repeated_in_bins(hot: DataFrame, length: int) -> DataFrame:
+    """(anchor, region, from, to): repeated windows of runs whose anchor is too
+    frequent for one task. Runs are cut into bins. Bins without another of the
+    same core repeat nothing, bins with the same bytes repeat as a whole and count
+    as one; only where bins differ around a common core, at the ends of a
+    passage, are windows dealt out one by one, by their bytes."""
+
+    def digest(data: bytes) -> bytes:
+        return hashlib.blake2b(data, digest_size=16).digest()
+
+    def batch_of(rows: list[tuple], kinds: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * len(kinds)
+        arrays = [pa.array(c, k) for c, (_, k) in zip(columns, kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in kinds])
+
+    run = [("anchor", pa.int64()), ("region", pa.int64())]
+    spans = [*run, ("from", pa.int64()), ("to", pa.int64())]
+
+    def cut(batches):
+        kinds = [*spans, ("core", pa.binary()), ("piece", pa.binary())]
+        for batch in batches:
+            rows = []
+            for anchor, region, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                for first, last, start, away in bins_of(raw, length):
+                    core = digest(raw[start : start + length - BIN + 1] + b"%d" % away)
+                    piece = digest(raw[first : last + length] + b"%d %d" % (start - first, start - last))
+                    rows.append((anchor, region, first, last, core, piece))
+            yield batch_of(rows, kinds)
+
+    bins = share(
+        hot.mapInArrow(
+            cut, "anchor long, region long, from long, to long, core binary, piece binary"
+        )
+    )
+    by_piece = share(
+        bins.groupBy("core", "piece").agg(
+            F.count("*").alias("n"), F.min(F.struct("anchor", "region", "from", "to")).alias("at")
+        )
+    )
+    whole = bins.join(by_piece.where("n > 1").select("core", "piece"), ["core", "piece"])
+    differing = by_piece.groupBy("core").count().where("count > 1").select("core")
+    cuts = by_piece.join(differing, "core").select("core", "piece", "n", "at.*")
+
+    def windows(batches):
+        kinds = [*run, ("core", pa.binary()), ("single", pa.bool_()), ("from", pa.int64()), ("code", pa.binary())]
+        for batch in batches:
+            rows = []
+            for anchor, region, raw, core, n, first, last in zip(*(c.to_pylist() for c in batch.columns)):
+                rows += [
+                    (anchor, region, core, n == 1, i, digest(raw[i : i + length]))
+                    for i in range(first, last + 1)
+                ]
+            yield batch_of(rows, kinds)
+
+    single = (
+        cuts.join(hot, ["anchor", "region"])
+        .select("anchor", "region", "bytes", "core", "n", "from", "to")
+        .mapInArrow(
+            windows,
+            "anchor long, region long, core binary, single boolean, from long, code binary",
+        )
+    )
+    single = share(single)
+    twice = single.groupBy("core", "code").count().where("count > 1").select("core", "code")
+    alone = single.where("single").join(twice, ["core", "code"])
+    return whole.select("anchor", "region", "from", "to").union(
+        alone.select("anchor", "region", "from", F.col("from").alias("to"))
+    )
+
+
 def repeated_windows(keyed: DataFrame, length: int, most_runs: int) -> DataFrame:
     """(key, first, last): window starts of the text with that key that occur
     elsewhere, as ranges. Equal texts have equal keys and are read once each."""
@@ -307,29 +397,8 @@ def repeated_windows(keyed: DataFrame, length: int, most_runs: int) -> DataFrame
         small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sort, found_kind)
     )
 
-    def windows(batches):
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2))):
-                raw = row[2]
-                n = len(raw) - length + 1
-                codes = [
-                    hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in range(n)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row[0]] * n, pa.int64()),
-                        pa.array([row[1]] * n, pa.int64()),
-                        pa.array(range(n), pa.int64()),
-                        pa.array(codes, pa.binary()),
-                    ],
-                    names=["anchor", "region", "from", "code"],
-                )
-
     hot = regions.where(F.col("regions") > most_runs).select("anchor", "region", "bytes")
-    single = hot.mapInArrow(windows, "anchor long, region long, from long, code binary")
-    twice = single.groupBy("code").count().where("count > 1").select("code")
-    alone = single.join(twice, "code").select("anchor", "region", "from", F.col("from").alias("to"))
-    found = share(sorted_out.union(alone))
+    found = share(sorted_out.union(repeated_in_bins(hot, length)))
 
     # Runs with copies repeat as a whole, others where the sorting found it.
     known = runs.join(by_region.where("n > 1").select("anchor", "region"), ["anchor", "region"])
