@@ -197,10 +197,18 @@ def raw_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def movement_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces in (purchases) and out (sales) per branch and SKU."""
+def movement_totals(
+    spark: SparkSession,
+    sf_dir: str,
+    sales: DataFrame | None = None,
+    purchases: DataFrame | None = None,
+) -> DataFrame:
+    """Pieces in (purchases) and out (sales) per branch and SKU; both are derived
+    here unless the caller has them."""
+    sales = raw_sales(spark, sf_dir) if sales is None else sales
+    purchases = raw_purchase(spark, sf_dir) if purchases is None else purchases
     item = ["company_name", "stock_no", "item_description", "product", "brand", "size"]
-    moved_in = raw_purchase(spark, sf_dir).select(
+    moved_in = purchases.select(
         *item,
         "retail_price",
         F.col("item_rate").alias("cost_price"),
@@ -211,7 +219,7 @@ def movement_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("date").alias("sold"),
     )
     moved_out = (
-        raw_sales(spark, sf_dir)
+        sales
         .filter(F.col("sales_qty") > 0)
         .select(
             *item,
@@ -497,11 +505,12 @@ def balance_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Every raw table by its catalog name. The ledger comes from its file; the
     four stock tables come from one stored movement table."""
-    totals = share(movement_totals(spark, sf_dir))
+    sales, bought = share(raw_sales(spark, sf_dir)), share(raw_purchase(spark, sf_dir))
+    totals = share(movement_totals(spark, sf_dir, sales, bought))
     return {
-        "sales": raw_sales(spark, sf_dir),
+        "sales": sales,
         "sales_returns": raw_sales_returns(spark, sf_dir),
-        "purchase": raw_purchase(spark, sf_dir),
+        "purchase": bought,
         "stock_movement": raw_stock_movement(spark, sf_dir, totals),
         "stock_balance": raw_stock_balance(spark, sf_dir, totals),
         "dead_stock": raw_dead_stock(spark, sf_dir, totals),

@@ -248,7 +248,7 @@ def basket_size(sales: DataFrame) -> DataFrame:
 
 
 def b2b_share(sales: DataFrame) -> DataFrame:
-    """B2B part of revenue, lines and bills in percent."""
+    """B2B part of revenue and of bills in percent."""
     bills = sales.groupBy("company_name", "voucher_no").agg(
         exact_sum(F.col("line_revenue")).alias("revenue"),
         exact_sum(where(F.col("is_b2b"), F.col("line_revenue"))).alias("b2b_revenue"),

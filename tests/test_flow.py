@@ -13,7 +13,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry
 import verify
 from stallbook.checks import binding
+from stallbook.checks import models as checked_models
 from stallbook.checks.registry import ORACLES, QUERIES
+from stallbook.operators import shared
 from stallbook.operators.shared import clear_shared, share
 from stallbook.plans import build
 from stallbook.plans.columns import MODEL_COLUMNS
@@ -178,6 +180,26 @@ def test_the_summary_copies_no_line_for_its_distinct_counts(spark):
     assert "Expand" not in plan(out)
 
 
+@pytest.mark.parametrize("name", ["action_board", "transfer_opportunities"])
+def test_order_lines_are_read_twice_at_most(spark, name):
+    """Once for sales and once for purchases, over all stored results."""
+    shared.seen = []
+    original = shared.share
+
+    def counted(df):
+        shared.seen.append(plan(df))
+        return original(df)
+
+    for module in (checked_models, binding):
+        module.share = counted
+    try:
+        shared.seen.append(plan(QUERIES[name](spark, SF_DIR)))
+    finally:
+        for module in (checked_models, binding):
+            module.share = original
+    assert sum(len(re.findall(r"FileScan.*lineitem", p)) for p in shared.seen) <= 2
+
+
 def test_scans_read_only_what_a_model_needs(spark, tmp_path):
     from stallbook.plans import staging
 
