@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.llm import decontaminate, jaccard, packing, quality, queries, suffix_dedup
-from stallbook.llm.common import table
+from stallbook.llm.common import small_batches, table
 from stallbook.operators.shared import share
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -55,12 +55,23 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(counted)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality", quality_filter),
-    ("near_duplicates", near_duplicates),
-    ("repeated_passages", repeated_passages),
-    ("decontamination", decontamination),
-    ("packing", pack),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", in_small_batches(quality_filter)),
+    ("near_duplicates", in_small_batches(near_duplicates)),
+    ("repeated_passages", in_small_batches(repeated_passages)),
+    ("decontamination", in_small_batches(decontamination)),
+    ("packing", in_small_batches(pack)),
 ]
 
 #: SQL can express neither the classifier nor the packing; the stages are tested
