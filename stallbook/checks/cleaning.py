@@ -467,9 +467,10 @@ select company_name, stock_no, sale_date, {dbl('line_revenue')} as line_revenue
 def catalog_table(spark: SparkSession, d: str) -> DataFrame:
     """Staged sales loaded twice into a bucketed catalog table of a namespace that
     is ensured twice, read by SQL."""
-    name = "stallbook_check"
+    folder = scratch(spark, "catalog")
+    name = f"check_{folder[-12:]}"
     for _ in range(2):
-        writers.ensure_namespace(spark, name)
+        writers.ensure_namespace(spark, name, folder)
         lines = stg_sales(b.raw_sales(spark, d), CFG).select(
             "company_name", "stock_no", "sale_date", "line_revenue"
         )

@@ -11,8 +11,11 @@ from stallbook.operators import rows
 from stallbook.schemas import schema_for
 
 
-def ensure_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the namespace unless it is there; without a location its tables lie
+    in the warehouse folder."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
 
 
 def write_clean(df: DataFrame, path: str, fmt: str = "parquet") -> None:
