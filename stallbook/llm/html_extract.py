@@ -72,10 +72,14 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
-OUTSIDE, OUTER, NEUTRAL, ARTICLE = -2, -1, 0, 1
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-#: Log-odds of a block in a marked part, and weights of the others.
-MARKED_ARTICLE, MARKED_OUTSIDE = 5.0, -7.0
+#: SIDE is an OUTER part inside an article, HEADER a <header> inside one.
+OUTSIDE, SIDE, OUTER, NEUTRAL, ARTICLE, TAGGED, HEADER = -3, -2, -1, 0, 1, 2, 3
+
+#: Log-odds of a block in a marked part, and weights of the others. Smoothness
+#: alone cannot keep a block of a side part: its edges add up to less.
+MARKED_ARTICLE, MARKED_SIDE, MARKED_OUTSIDE = 5.0, -5.0, -7.0
 NEAR, TREE = 1.5, 0.75
 
 
@@ -83,7 +87,7 @@ def mark(tag: str, attributes: str) -> int:
     """What an element says about the text in it."""
     if tag in OUTSIDE_TAGS:
         return OUTSIDE
-    found = ARTICLE if tag in ARTICLE_TAGS else OUTER if tag == "header" else NEUTRAL
+    found = TAGGED if tag in ARTICLE_TAGS else HEADER if tag == "header" else NEUTRAL
     if not attributes.strip() or tag in ("html", "body"):
         return found
     words: set[str] = set()
@@ -96,18 +100,20 @@ def mark(tag: str, attributes: str) -> int:
             if role in OUTSIDE_ROLES:
                 return OUTSIDE
             if role in ARTICLE_ROLES:
-                found = ARTICLE
+                found = TAGGED
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return OUTSIDE
         elif name == "style" and HIDDEN.search(value):
             return OUTSIDE
     if words & OUTSIDE_WORDS:
         return OUTSIDE
-    if words & OUTER_WORDS and found != ARTICLE and not words & ARTICLE_WORDS:
+    if found == HEADER and not words & OUTER_WORDS - {"header"}:
+        return HEADER
+    if words & OUTER_WORDS and found != TAGGED and not words & ARTICLE_WORDS:
         return OUTER
     if words & ARTICLE_WORDS and found == NEUTRAL:
         return ARTICLE
-    return found
+    return OUTER if found == HEADER else found
 
 
 class Block:
@@ -121,11 +127,20 @@ class Block:
 
 def inherited(outer: int, own: int) -> int:
     """A marked part inside another: nothing inside an outside part is an
-    article again, an article inside a header or side column is."""
+    article again, an article inside a header or side column is; inside a side
+    part of an article only one with an article's tag or role is."""
     if outer == OUTSIDE or own == OUTSIDE:
         return OUTSIDE
-    if own == OUTER and outer == ARTICLE:
-        return ARTICLE
+    if outer == SIDE:
+        return own if own == TAGGED else SIDE
+    if outer >= ARTICLE:
+        if own == OUTER:
+            return SIDE
+        if outer == HEADER:
+            return own if own == TAGGED else HEADER
+        return max(outer, own)
+    if own == HEADER:
+        return OUTER
     return own if own != NEUTRAL else outer
 
 
@@ -133,6 +148,7 @@ def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. Elements left open end with their parent."""
     # One entry per open block element: tag, number, mark.
     stack: list[tuple[str, int, int]] = [("", 0, NEUTRAL)]
+    headed: set[int] = set()  # headers that hold a heading
     blocks: list[Block] = []
     parts: list[str] = []
     links = in_link = silent = number = 0
@@ -212,16 +228,34 @@ def blocks_of(page: str) -> list[Block]:
             continue
         stack.append((tag, number, own))
         silent += tag in SILENT
+        if tag in HEADINGS and own == HEADER:
+            headed.update(n for _, n, m in stack if m == HEADER)
     flush()
+    settle(blocks, headed)
     return blocks
 
 
+def settle(blocks: list[Block], headed: set[int]) -> None:
+    """Marks that hang on the rest of the page. A header with the heading of its
+    article belongs to it, another one is a side part. If all that an article
+    has stands in side parts, they are no more than outer parts."""
+    for b in blocks:
+        if b.mark == HEADER:
+            b.mark = TAGGED if headed.intersection(b.path) else SIDE
+    if not any(b.mark >= ARTICLE for b in blocks):
+        for b in blocks:
+            if b.mark == SIDE:
+                b.mark = OUTER
+
+
 def log_odds(block: Block) -> float:
     """How much likelier a block is content, from the parts that it stands in
     or else from its length, links, punctuation and kind."""
     if block.mark == OUTSIDE:
         return MARKED_OUTSIDE
-    if block.mark == ARTICLE:
+    if block.mark == SIDE:
+        return MARKED_SIDE
+    if block.mark >= ARTICLE:
         return MARKED_ARTICLE
     words = block.text.count(" ") + 1
     odds = -1.1 + 0.12 * min(words, 40) - 5.0 * block.links / len(block.text)

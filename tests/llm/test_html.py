@@ -87,3 +87,34 @@ def test_rows_and_clashing_columns(spark):
     got = sorted((r.page_id or 0, r.text, r.n_chars) for r in html_extract.extract(pages).collect())
     assert got == [(0, "", 0), (1, "a b", 3), (1, "a b", 3)]
     assert html_extract.extract(pages.where("false")).count() == 0
+
+
+LONG = "A side text of many words that could as well be a paragraph of the article, if it did not stand there. " * 2
+
+
+@pytest.mark.parametrize("part", ["sidebar", "notice", "banner", "alert", "widget", "masthead", "disclaimer"])
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<main><h1>Title</h1><p>First text.</p>{}<p>Second text.</p></main>",
+        "<div id=content><div class=post><h1>Title</h1><p>First text.</p><p>Second text.</p></div>{}</div>",
+        "<article><h1>Title</h1><p>First text.</p>{}<p>Second text.</p></article>",
+    ],
+)
+def test_side_parts_inside_an_article_go(page, part):
+    for side in (f"<p>{LONG}</p>", "<p>Short.</p>", f"<div class='{part}-content'><p>{LONG}</p><p>{LONG}</p></div>"):
+        got = main_text(page.format(f"<div class={part}>{side}</div>"))
+        assert got == "Title First text. Second text."
+
+
+def test_only_a_header_with_the_heading_is_of_the_article():
+    page = "<article><header{}>{}<p>By somebody.</p></header><p>Text.</p></article>"
+    assert main_text(page.format("", "<h2>Title</h2>")) == "Title By somebody. Text."
+    assert main_text(page.format(" class=header", "<h2>Title</h2>")) == "Title By somebody. Text."
+    assert main_text(page.format("", "")) == "Text."
+    assert main_text(page.format(" class=masthead", "<h2>Title</h2>")) == "Text."
+
+
+def test_an_article_that_stands_in_side_parts_alone_is_kept():
+    page = f"<main><div class='text-widget'><p>{LONG}</p></div></main>"
+    assert main_text(page) == LONG.strip()
