@@ -43,7 +43,7 @@ OUTSIDE_ROLES = frozenset(
     "menubar toolbar".split()
 )
 ARTICLE_ROLES = frozenset(["main", "article"])
-#: Words in class and id of parts that hold no article, whatever stands in them.
+#: Words in class and id of parts that hold no article if the page has one elsewhere.
 OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo "
     "promotion cookie cookies consent gdpr comment comments disqus reply replies respond "
@@ -81,48 +81,70 @@ OUTSIDE, SIDE, OUTER, NEUTRAL, ARTICLE, TAGGED, HEADER = -3, -2, -1, 0, 1, 2, 3
 #: alone cannot keep a block of a side part: its edges add up to less.
 MARKED_ARTICLE, MARKED_SIDE, MARKED_OUTSIDE = 5.0, -5.0, -7.0
 NEAR, TREE = 1.5, 0.75
+#: Log-odds that speak against a part named by an outside word: text outside of
+#: it is the page's content if its blocks have as much, else the part is weighed.
+#: Each of its blocks that no article mark vouches for then has so much less; for
+#: that comparison blocks that one vouches for have so much more.
+NAMED, IN_NAMED, VOUCHED = 4.0, 0.5, 1.0
 
 
-def mark(tag: str, attributes: str) -> int:
-    """What an element says about the text in it."""
+def mark(tag: str, attributes: str, in_article: bool = False) -> tuple[int, int]:
+    """What an element says about the text in it, and 1 if an outside word names
+    it, -1 if it is the main part whatever words stand around it, else 0.
+    ``in_article``: an <article> is open around it."""
     if tag in OUTSIDE_TAGS:
-        return OUTSIDE
+        return OUTSIDE, 0
     found = TAGGED if tag in ARTICLE_TAGS else HEADER if tag == "header" else NEUTRAL
+    main = tag == "main"
     if not attributes.strip() or tag in ("html", "body"):
-        return found
-    words: set[str] = set()
+        return found, -main
+    names: list[set[str]] = []
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "")
         if name in ("class", "id"):
-            words.update(WORD.findall(CAMEL.sub(" ", value).lower()))
+            names += [set(WORD.findall(CAMEL.sub(" ", v).lower())) for v in value.split()]
         elif name == "role":
             role = value.strip().lower()
             if role in OUTSIDE_ROLES:
-                return OUTSIDE
+                return OUTSIDE, 0
             if role in ARTICLE_ROLES:
-                found = TAGGED
+                found, main = TAGGED, main or role == "main"
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return OUTSIDE
+            return OUTSIDE, 0
         elif name == "style" and HIDDEN.search(value):
-            return OUTSIDE
+            return OUTSIDE, 0
+    if main:
+        return found, -1
+    words: set[str] = set().union(*names)
     if words & OUTSIDE_WORDS:
-        return OUTSIDE
+        # "post comments-open" is a post in some state, "post-comments" is not.
+        outside = [n for n in names if n & OUTSIDE_WORDS]
+        state = all(n - OUTSIDE_WORDS - ARTICLE_WORDS for n in outside) and any(
+            n and n <= ARTICLE_WORDS for n in names
+        )
+        if found == TAGGED:
+            # An article inside another may well be a comment on it.
+            return found, int(in_article and not state)
+        if not state:
+            return NEUTRAL, 1
     if found == HEADER and not words & OUTER_WORDS - {"header"}:
-        return HEADER
+        return HEADER, 0
     if words & OUTER_WORDS and found != TAGGED and not words & ARTICLE_WORDS:
-        return OUTER
+        return OUTER, 0
     if words & ARTICLE_WORDS and found == NEUTRAL:
-        return ARTICLE
-    return OUTER if found == HEADER else found
+        return ARTICLE, 0
+    return OUTER if found == HEADER else found, 0
 
 
 class Block:
-    """A run of text between block boundaries."""
+    """A run of text between block boundaries. ``named``: so many parts that it
+    stands in are named by an outside word."""
 
-    __slots__ = ("text", "links", "path", "mark", "tag")
+    __slots__ = ("text", "links", "path", "mark", "tag", "named")
 
-    def __init__(self, text: str, links: int, path: tuple, mark: int, tag: str):
+    def __init__(self, text: str, links: int, path: tuple, mark: int, tag: str, named: int):
         self.text, self.links, self.path, self.mark, self.tag = text, links, path, mark, tag
+        self.named = named
 
 
 def inherited(outer: int, own: int) -> int:
@@ -146,8 +168,8 @@ def inherited(outer: int, own: int) -> int:
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. Elements left open end with their parent."""
-    # One entry per open block element: tag, number, mark.
-    stack: list[tuple[str, int, int]] = [("", 0, NEUTRAL)]
+    # One entry per open block element: tag, number, mark, parts named around it.
+    stack: list[tuple[str, int, int, int]] = [("", 0, NEUTRAL, 0)]
     headed: set[int] = set()  # headers that hold a heading
     blocks: list[Block] = []
     parts: list[str] = []
@@ -157,8 +179,9 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal links
         text = SPACE.sub(" ", "".join(parts)).strip(" ")
         if text:
-            path = tuple(n for _, n, _ in stack)
-            blocks.append(Block(text, links, path, stack[-1][2], stack[-1][0]))
+            path = tuple(n for _, n, *_ in stack)
+            within, _, own, named = stack[-1]
+            blocks.append(Block(text, links, path, own, within, named))
         parts.clear()
         links = 0
 
@@ -188,7 +211,7 @@ def blocks_of(page: str) -> list[Block]:
                 depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
                 if depth:
                     flush()
-                    for t, _, _ in stack[depth:]:
+                    for t, *_ in stack[depth:]:
                         silent -= t in SILENT
                     del stack[depth:]
                 elif tag == "p":
@@ -216,20 +239,23 @@ def blocks_of(page: str) -> list[Block]:
                 (d for d in range(1, len(stack)) if stack[d][0] in ("head", "nav", "footer")),
                 len(stack),
             )
-            for t, _, _ in stack[cut:]:
+            for t, *_ in stack[cut:]:
                 silent -= t in SILENT
             del stack[cut:]
         ends = SELF_CLOSING.get(tag, ())
         if stack[-1][0] in ends or stack[-1][0] == "p" and tag not in SILENT:
             stack.pop()
         number += 1
-        own = inherited(stack[-1][2], mark(tag, attributes))
+        in_article = tag == "article" and any(t == "article" for t, *_ in stack)
+        own, by_word = mark(tag, attributes, in_article)
+        own = inherited(stack[-1][2], own)
+        named = 0 if by_word < 0 else stack[-1][3] + by_word
         if attributes.endswith("/") and tag in SILENT:
             continue
-        stack.append((tag, number, own))
+        stack.append((tag, number, own, named))
         silent += tag in SILENT
         if tag in HEADINGS and own == HEADER:
-            headed.update(n for _, n, m in stack if m == HEADER)
+            headed.update(n for _, n, m, _ in stack if m == HEADER)
     flush()
     settle(blocks, headed)
     return blocks
@@ -237,26 +263,56 @@ def blocks_of(page: str) -> list[Block]:
 
 def settle(blocks: list[Block], headed: set[int]) -> None:
     """Marks that hang on the rest of the page. A header with the heading of its
-    article belongs to it, another one is a side part. If all that an article
-    has stands in side parts, they are no more than outer parts."""
+    article belongs to it, another one is a side part. Parts named by outside
+    words are outside, but those around the whole content are weighed. If all
+    that an article has stands in side parts, they are no more than outer parts."""
     for b in blocks:
         if b.mark == HEADER:
             b.mark = TAGGED if headed.intersection(b.path) else SIDE
+    if any(b.named for b in blocks):
+        level = content_level(blocks)
+        for b in blocks:
+            if b.named > level:
+                b.mark = OUTSIDE
     if not any(b.mark >= ARTICLE for b in blocks):
         for b in blocks:
             if b.mark == SIDE:
                 b.mark = OUTER
 
 
+def content_level(blocks: list[Block]) -> int:
+    """How many parts named by outside words stand around the page's content: the
+    fewest with an article by tag or role, or with blocks whose odds outweigh
+    such a word; unmarked blocks do not when fewer words leave an article or a
+    page heading."""
+    marked = False
+    for level in sorted({b.named for b in blocks if b.mark != OUTSIDE}):
+        here = [b for b in blocks if b.named == level and b.mark != OUTSIDE]
+        if any(b.mark == TAGGED for b in here):
+            return level
+        article = any(b.mark >= ARTICLE for b in here)
+        if article or not marked:
+            odds = (plain_odds(b) + (VOUCHED if b.mark >= ARTICLE else 0.0) for b in here)
+            if sum(max(o, 0.0) for o in odds) >= NAMED:
+                return level
+        marked |= article or any(b.tag == "h1" and b.mark == NEUTRAL for b in here)
+    return 0
+
+
 def log_odds(block: Block) -> float:
     """How much likelier a block is content, from the parts that it stands in
-    or else from its length, links, punctuation and kind."""
+    or else from what it is like."""
     if block.mark == OUTSIDE:
         return MARKED_OUTSIDE
     if block.mark == SIDE:
         return MARKED_SIDE
     if block.mark >= ARTICLE:
         return MARKED_ARTICLE
+    return plain_odds(block)
+
+
+def plain_odds(block: Block) -> float:
+    """The odds from a block's length, links, punctuation and kind."""
     words = block.text.count(" ") + 1
     odds = -1.1 + 0.12 * min(words, 40) - 5.0 * block.links / len(block.text)
     odds += 0.8 if block.text[-1] in ".!?…。\"'”" else -0.3
@@ -268,7 +324,9 @@ def log_odds(block: Block) -> float:
         odds += -0.6 if block.links else 0.3
     if "©" in block.text and words < 40:
         odds -= 3.0
-    return odds - (3.0 if block.mark == OUTER else 0.0)
+    if block.mark < ARTICLE and block.named:
+        odds -= IN_NAMED
+    return odds - (3.0 if block.mark in (OUTER, SIDE) else 0.0)
 
 
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:

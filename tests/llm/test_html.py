@@ -118,3 +118,41 @@ def test_only_a_header_with_the_heading_is_of_the_article():
 def test_an_article_that_stands_in_side_parts_alone_is_kept():
     page = f"<main><div class='text-widget'><p>{LONG}</p></div></main>"
     assert main_text(page) == LONG.strip()
+
+
+BODY = "<h1>Title</h1><p>First text.</p><p>Second text.</p>"
+TEXT = "Title First text. Second text."
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<article class='post comments-open'>", "<main class='content nav-visible'>",
+        "<article class='share-enabled'>", "<div role=main class='menu'>",
+        "<main><article class='post comments-open'>", "<div class='post comments-open'>",
+        "<div id=page class='menu-closed'><article>", "<div id=page class='menu-closed'><main>",
+        "<div class='skip-links search-open'><div class='nav-open'><div class=content>" + f"<p>{LONG}</p>",
+        "<div class='content'>Welcome</div><div id=page class='menu-closed'><article>",
+        f"<div class=row><p>{LONG}</p></div><div id=page class='menu-closed'><main>",
+    ],
+)
+def test_outside_words_of_a_state_do_not_lose_the_article(start):
+    page = f"""<body>{start}{BODY}<div class="share">Tell it to all the people that you know.</div>
+    <div id="comments"><article class="comment-body"><p>{LONG}</p></article></div>"""
+    assert main_text(page).endswith(TEXT)
+
+
+def test_a_wrapper_with_an_outside_word_is_weighed():
+    text = f"<h1>Title</h1><p>{LONG}</p><p>Short one.</p><p>{LONG}</p>"
+    want = f"Title {LONG}Short one. {LONG}".strip()
+    menu = "<ul class=menu><li><a href=a>Home</a><li><a href=b>News</a></ul>"
+    comments = f"<div class=comments><p>{LONG}</p><article><p>{LONG}</p></article></div>"
+    assert main_text(f"<div id=page class='menu-closed'>{menu}{text}</div>") == want
+    assert main_text(f"{menu}<div class=page>{text}</div>{comments}") == want
+    assert main_text(f"<h1>Title</h1><p>Short one.</p><div class=comments><p>{LONG}</p></div>").find("side") < 0
+    assert main_text(f"<div id=page class='menu-closed'>{menu}</div>") == ""
+
+
+def test_articles_inside_an_article_are_comments_if_named_so():
+    page = f"<article class=post>{BODY}<article class='comment-body'><p>{LONG}</p></article></article>"
+    assert main_text(page) == TEXT
