@@ -44,7 +44,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of benchmark items are cut out of the texts; a document that
     holds no other words goes."""
-    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
     kept = found.where((F.size("hit_words") == 0) | (F.size("hit_words") < F.col("n_words")))
     return with_length(decontaminate.without_spans(kept))
 

@@ -40,11 +40,16 @@ def rolling(ids: np.ndarray, size: int) -> np.ndarray:
     return code
 
 
-def window_tables(pieces: list[tuple[str, bytes]], window: int) -> tuple[dict, dict]:
+def in_order(items) -> list[str | None]:
+    """Sorted ids, what has none at the end."""
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
+def window_tables(pieces: list[tuple[str | None, bytes]], window: int) -> tuple[dict, dict]:
     """Word ids, and by window size: sorted codes, the windows in that order, and
-    the items of each window. ``pieces``: item id and its words."""
+    the items of each window. ``pieces``: item id or null, and its words."""
     vocabulary: dict[bytes, int] = {}
-    windows: dict[tuple[int, ...], set[str]] = {}
+    windows: dict[tuple[int, ...], set[str | None]] = {}
     for item, joined in pieces:
         ids = [vocabulary.setdefault(w, len(vocabulary)) for w in joined.split()]
         size = min(window, len(ids))
@@ -56,7 +61,7 @@ def window_tables(pieces: list[tuple[str, bytes]], window: int) -> tuple[dict, d
         table = np.array(rows, np.int64)
         codes = np.concatenate([rolling(r, size) for r in table])
         order = np.argsort(codes, kind="stable")
-        tables[size] = codes[order], table[order], [sorted(windows[rows[i]]) for i in order]
+        tables[size] = codes[order], table[order], [in_order(windows[rows[i]]) for i in order]
     return vocabulary, tables
 
 
@@ -98,7 +103,7 @@ def find(texts: list[bytes | None], vocabulary: dict, tables: dict) -> list[list
             ids.extend([vocabulary.get(w, -1) for w in words])
             ids.append(-1)
         edges = np.array(starts)
-        in_doc: dict[int, set[str]] = {}
+        in_doc: dict[int, set[str | None]] = {}
         hit = np.zeros(len(ids), bool)
         for at, row, size in hits(np.array(ids, np.int64), tables):
             docs = np.searchsorted(edges, at, "right") - 1
@@ -110,12 +115,14 @@ def find(texts: list[bytes | None], vocabulary: dict, tables: dict) -> list[list
         docs = np.searchsorted(edges, where, "right") - 1
         parts = np.split(where, np.searchsorted(docs, np.arange(1, len(starts))))
         for d, part in enumerate(parts):
-            items.append(sorted(in_doc.get(d, ())))
+            items.append(in_order(in_doc.get(d, ())))
             hit_words.append(part - starts[d])
     return [n_words, items, hit_words]
 
 
-def pieces_of(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
+def pieces_of(
+    benchmark: DataFrame, item_id: str, text: str, window: int, unnamed: bool
+) -> DataFrame:
     """(item, piece, words, n): items in pieces that overlap by a window less a
     word, so that every window lies in a piece."""
 
@@ -127,7 +134,7 @@ def pieces_of(benchmark: DataFrame, item_id: str, text: str, window: int) -> Dat
                 words = word_list(raw)
                 for k, i in enumerate(range(0, max(len(words) - window + 1, 1), PIECE_WORDS)):
                     part = words[i : i + PIECE_WORDS + window - 1]
-                    if part and item is not None:
+                    if part and (unnamed or item is not None):
                         rows.append((item, k, b" ".join(part), len(part)))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -150,6 +157,7 @@ def scan(
     item_text: str = "text",
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
+    unnamed: bool = False,
 ) -> DataFrame:
     """Every row of ``docs`` with ``n_words``, ``items`` (sorted ids of the items
     that have a window in it) and ``hit_words`` (positions of the words inside
@@ -159,12 +167,13 @@ def scan(
     about ``block_words`` words (in pieces of at most ``PIECE_WORDS`` and a
     window); a larger benchmark is worked off in blocks, each against all
     documents, so no item is left out. Null or empty texts have no words and no
-    hits; null or repeated item ids: the former are skipped, the latter count
-    once. Texts are read whole; rows with equal ids are scanned one by one.
+    hits. With ``unnamed``, as the query and the pipeline have it, items without
+    an id hit like all others and are together one null at the end of ``items``;
+    else they are skipped. Repeated item ids count once. Texts are read whole; rows with equal ids are scanned one by one.
     Empty tables give no hits. Input columns with these names are replaced.
     """
     spark = docs.sparkSession
-    pieces = share(pieces_of(benchmark, item_id, item_text, window))
+    pieces = share(pieces_of(benchmark, item_id, item_text, window, unnamed))
     total = pieces.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     out = docs

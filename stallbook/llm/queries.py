@@ -41,7 +41,7 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
     n_hit = F.size("hit_words").cast("long")
     return found.select(
         "doc_id",

@@ -60,3 +60,36 @@ def test_empty_tables_clashing_names_and_a_long_text(docs_of, spark):
     clash = docs_of("q " * 50_000 + "X-y").withColumnRenamed("source", "items")
     got = decontaminate.scan(clash, bench).first()
     assert (got.n_words, got["items"], got.hit_words) == (50_002, ["1"], [50_000, 50_001])
+
+
+@pytest.mark.parametrize("block_words", [10**6, 10])
+def test_items_without_an_id_hit_like_others(docs_of, spark, block_words):
+    item = "one two three four five six seven eight nine ten eleven"
+    items = [(None, item), (None, "odd pair"), (7, "seven eight"), (8, "x y")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of(f"a {item} b", "an odd pair", "x y odd pair", "none", "x y")
+    scanned = decontaminate.scan(docs, table, block_words=block_words, unnamed=True)
+    for r in scanned.collect():
+        n, _, hit = brute_force(r.text, items)
+        assert (r.n_words, list(r.hit_words)) == (n, hit)
+    assert {r.doc_id: list(r["items"]) for r in scanned.collect()} == {
+        1: ["7", None], 2: [None], 3: ["8", None], 4: [], 5: ["8"],
+    }
+    left = {r.doc_id: r.text for r in decontaminate.without_spans(scanned).collect()}
+    assert left[1] == "a  b" and left[2] == "an "
+
+
+def test_query_and_pipeline_take_items_without_an_id(docs_of, spark, tmp_path):
+    import corpus_pipeline
+    from stallbook.llm import queries
+
+    table = spark.createDataFrame([(None, "odd pair"), (8, "x y")], "item_id long, text string")
+    table.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = docs_of("an odd pair", "x y odd pair", "none")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.QUERIES["op2_decontamination"](spark, str(tmp_path)).collect()}
+    assert [(got[i].n_hit, got[i].n_items, got[i].contaminated) for i in (1, 2, 3)] == [
+        (2, 1, True), (4, 2, True), (0, 0, False),
+    ]
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in left} == {1: "an ", 3: "none"}
