@@ -69,7 +69,8 @@ def annotate(df: DataFrame, inputs: list[str], fn: Callable, schema: pa.Schema)
     from pyspark.sql.pandas.types import from_arrow_schema
 
     made = F.arrow_udf(run, returnType=from_arrow_schema(schema))
-    kept = [c for c in df.columns if c not in names]
+    replaced = {n.lower() for n in names}
+    kept = [c for c in df.columns if c.lower() not in replaced]
     out = df.select(*[F.col(f"`{c}`") for c in kept], made(*inputs).alias("__made"))
     return out.select(*[F.col(f"`{c}`") for c in kept], *[f"__made.{n}" for n in names])
 

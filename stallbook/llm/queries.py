@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import decontaminate, embed_dedup, html_extract, jaccard, langid, licences, lm, packing, quality, suffix_dedup
+from stallbook.llm import (
+    alignment,
+    decontaminate,
+    embed_dedup,
+    html_extract,
+    jaccard,
+    langid,
+    licences,
+    lm,
+    packing,
+    quality,
+    sharding,
+    suffix_dedup,
+    whitening,
+)
 from stallbook.llm.common import held_out, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +182,50 @@ FROM v LEFT JOIN low ON low.a = vec_id LEFT JOIN n ON n.a = vec_id
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licences.scan(docs).drop("text")
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    sized = docs.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    dealt = sharding.shuffle_into_shards(sized, shards=16, seed=11)
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    white = whitening.whiten(vectors, "embedding", components=4)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return white.select(
+        "vec_id", "deviation", "fit_rows", "identity_error", each
+    ).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.col("fit_rows").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"),
+        "identity_error",
+    )
