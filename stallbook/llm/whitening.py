@@ -108,6 +108,8 @@ def refine(matrix: Pair, start: np.ndarray) -> tuple[Pair, Pair]:
         sized = product(turned, product(matrix, x))
         r = (one - gram[0]) - gram[1]
         s = sized[0] + sized[1]
+        # exactly symmetric, so what turns the vectors cannot stretch them
+        r, s = (r + r.T) / 2, (s + s.T) / 2
         inner = np.diag(r)
         value = np.diag(sized[0]).copy()
         rest = np.diag(sized[1]) + value * inner / (1.0 - inner)
