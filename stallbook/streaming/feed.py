@@ -1,8 +1,10 @@
 """Daily feed of branch totals, and bill-line deduplication, on file streams.
 
-Both keep a table of current rows, partitioned by month. A batch is merged with
-the stored rows of the months that it touches, and only these are written anew,
-so late files count like others and reading needs no shuffle.
+Both keep a table of current rows by month (``sources.snapshots``). A batch is
+merged with the stored rows of the months that it touches, and only these are
+written anew, so late files count like others and reading needs no shuffle. Each
+batch is one commit: readers see all of it or nothing, and a driver or executor
+may die at any point.
 """
 
 from __future__ import annotations
@@ -15,51 +17,29 @@ from pyspark.sql import types as T
 
 from stallbook.operators.windows import dedup_latest
 from stallbook.plans.staging import latest_sale
+from stallbook.sources import snapshots
 
-MONTH = "_month"
 #: Files of one batch: a long backlog is worked off in several.
 FILES_PER_BATCH = 64
 
 
-def _stored(spark: SparkSession, target: str) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.parquet(target)
+def _merge(batch: DataFrame, target: str, day: str, settle: Callable[[DataFrame], DataFrame]) -> None:
+    """Settle the batch together with the stored rows of its months, and commit
+    these months.
 
-
-def _merge(
-    batch: DataFrame, number: int, target: str, day: str, settle: Callable[[DataFrame], DataFrame]
-) -> None:
-    """Settle the batch together with the stored rows of its months.
-
-    The result is staged first, since it is made from the partitions that it
-    replaces; then just these partitions are overwritten. Settling rows twice
-    changes nothing, so a batch that died half-way is simply run again.
+    Until the commit the table is what it was, and what it was is not touched: a
+    batch that died anywhere, also after its commit, is simply run again, since
+    settling rows twice changes nothing.
     """
     spark = batch.sparkSession
-    batch = batch.withColumn(MONTH, F.date_format(day, "yyyy-MM"))
-    months = [r[MONTH] for r in batch.select(MONTH).distinct().collect()]
+    months = [r[0] for r in batch.select(snapshots.month_of(day)).distinct().collect()]
     if not months:
         return
-    stored = _stored(spark, target)
-    if stored is not None:
-        touched = F.col(MONTH).isin([m for m in months if m is not None])
-        if None in months:
-            touched = touched | F.col(MONTH).isNull()
-        batch = stored.where(touched).unionByName(batch)
-    staged = f"{target.rstrip('/')}.staged/{number}"
-    settle(batch).write.mode("overwrite").parquet(staged)
-    (
-        spark.read.parquet(staged)
-        .hint("rebalance", MONTH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(target)
-    )
-    path = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    base = snapshots.current(spark, target)
+    if base is not None:
+        batch = snapshots.read(spark, target, base, months).unionByName(batch)
+    snapshots.write(settle(batch), target, day, base)
+    snapshots.clean(spark, target)
 
 
 def _run(
@@ -69,7 +49,7 @@ def _run(
     """Work off every file that has arrived since the last run, then stop."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        _merge(batch, number, target, day, settle)
+        _merge(batch, target, day, settle)
 
     query = (
         arrived.writeStream.foreachBatch(merge)
@@ -129,7 +109,7 @@ def latest_delivery(
 
 def read_daily_feed(spark: SparkSession, target: str) -> DataFrame:
     """The live table: the current version of every delivered day."""
-    return spark.read.parquet(target).drop("delivered_at", "delivered_file", MONTH)
+    return snapshots.read(spark, target).drop("delivered_at", "delivered_file")
 
 
 def run_stream_dedup(
@@ -152,4 +132,4 @@ def run_stream_dedup(
 
 def read_stream_dedup(spark: SparkSession, target: str) -> DataFrame:
     """The deduplicated lines."""
-    return spark.read.parquet(target).drop(MONTH)
+    return snapshots.read(spark, target)

@@ -1,7 +1,9 @@
+import pytest
 from conftest import day
 from pyspark.sql import functions as F
 
 from stallbook.operators import windows
+from stallbook.sources import snapshots
 from stallbook.streaming import feed
 
 FEED = "company_name string, voucher_date date, net_sales double"
@@ -72,8 +74,79 @@ def test_a_batch_writes_only_the_months_that_it_touches(spark, frame, tmp_path):
         row = one | {"voucher_date": date and day(date)}
         df = frame(FEED, row)
         df.coalesce(1).write.mode("append").parquet(source)
-        before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*/*.parquet")}
+        before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out" / "data").rglob("*.parquet")}
         feed.run_daily_feed(spark, source, target, state, df.schema)
-        after = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*/*.parquet")}
-        assert before.items() <= after.items()
+        after = {p: p.stat().st_mtime_ns for p in (tmp_path / "out" / "data").rglob("*.parquet")}
+        assert before.items() <= after.items() and len(after) == len(before) + 1
     assert feed.read_daily_feed(spark, target).count() == 3
+
+
+class Died(Exception):
+    pass
+
+
+def _days(frame, month, value):
+    dates = [day(f"2026-0{month}-{d:02d}") for d in (3, 9, 27)]
+    return frame(FEED, *[dict(company_name="A", voucher_date=d, net_sales=value) for d in dates])
+
+
+@pytest.mark.parametrize("where", ["in the write", "before the commit", "after the commit"])
+def test_a_batch_that_dies_loses_no_row(spark, frame, tmp_path, monkeypatch, where):
+    """The second batch replaces January, adds to February, and dies on the way."""
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def deliver(df):
+        df.coalesce(1).write.mode("append").parquet(source)
+        return df.schema
+
+    def run():
+        feed.run_daily_feed(spark, source, target, state, schema)
+
+    def rows():
+        found = feed.read_daily_feed(spark, target).collect()
+        return sorted((r.voucher_date.month, r.voucher_date.day, r.net_sales) for r in found)
+
+    schema = deliver(_days(frame, 1, 1).union(_days(frame, 2, 1)))
+    run()
+    first = rows()
+    deliver(_days(frame, 1, 2).union(frame(FEED, dict(company_name="A", voucher_date=day("2026-02-28"), net_sales=2))))
+    with monkeypatch.context() as m:
+        if where == "in the write":
+            # half of the months are written, then a task fails for good
+            settle = feed._latest
+            late = F.month("voucher_date") == 2
+            fails = F.when(late, F.raise_error(F.lit("died")).cast("double")).otherwise(F.col("net_sales"))
+            m.setattr(feed, "_latest", lambda df: settle(df).withColumn("net_sales", fails))
+        elif where == "before the commit":
+            def dead(*_):
+                raise Died
+
+            m.setattr(snapshots.files, "write_small", dead)
+        else:
+            def dead(*_):
+                raise Died
+
+            m.setattr(snapshots, "clean", dead)
+        with pytest.raises(Exception, match="(?i)died"):
+            run()
+    if where != "after the commit":
+        assert rows() == first
+    run()
+    january = [(1, d, 2.0) for d in (3, 9, 27)]
+    assert rows() == january + [(2, d, 1.0) for d in (3, 9, 27)] + [(2, 28, 2.0)]
+
+
+def test_readers_keep_the_state_that_they_began_on(spark, frame, tmp_path):
+    root = str(tmp_path / "t")
+    state, held = None, []
+    for value in range(4):
+        state = snapshots.write(_days(frame, 1, value), root, "voucher_date", state)
+        held.append(snapshots.read(spark, root))
+        snapshots.clean(spark, root)
+        for df, expected in zip(held[-2:], range(max(0, value - 1), value + 1)):
+            assert {r.net_sales for r in df.collect()} == {float(expected)}
+    assert len(list((tmp_path / "t" / "commits").glob("[0-9]*"))) == 2
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
+    assert snapshots.read(spark, root, months=["2025-01"]).count() == 0
+    with pytest.raises(ValueError, match="nothing was committed"):
+        snapshots.read(spark, str(tmp_path / "none"))
