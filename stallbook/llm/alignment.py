@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from stallbook.llm.common import annotate, raw_texts
 from stallbook.operators.shared import share
@@ -39,17 +40,17 @@ TOKENIZERS = "/opt/tokenizers"
 #: Pairs whose counts are sent to every task (17 bytes each); others are joined.
 FREQUENT = 2**18
 #: A task forgets its segments beyond so many, or so many links of them.
-REMEMBERED, LINKS_HELD = 400_000, 2**22
+REMEMBERED, LINKS_HELD = 150_000, 2**21
 #: Characters of parts that are encoded by one call.
 RUN = 4096
 #: Characters of a text that are encoded at a time, at the next safe cut.
-STRETCH = 2**20
+STRETCH = 2**18
 #: Distinct pairs that a task adds up before it hands them on.
 PAIRS_HELD = 2**21
 
 # Some libraries take these for white space too, so no safe neighbours of a cut.
 _VISIBLE = r"[^\s\u180e\u200b\u2060\ufeff]"
-VISIBLE = re.compile(_VISIBLE)
+SPACES = {c for c in map(chr, range(0x10000)) if not re.match(_VISIBLE, c)}
 SAFE_CUT = re.compile(f"(?<={_VISIBLE}) (?={_VISIBLE})")
 
 
@@ -221,7 +222,7 @@ class Aligner:
         fewer and longer calls. Parts with white space at an end stand alone."""
         runs, size = [], RUN
         for p in parts:
-            plain = self.can_cut and VISIBLE.match(p) and VISIBLE.match(p[-1])
+            plain = self.can_cut and not (p[0] in SPACES or p[-1] in SPACES)
             if plain and size < RUN:
                 runs[-1].append(p)
             else:
@@ -442,16 +443,26 @@ def encode(df: DataFrame, text: str = "text", pair: Pair | None = None) -> DataF
     tokens. A long text is encoded in stretches, unless it has no place to cut.
     """
     shared = df.sparkSession.sparkContext.broadcast(pair or Pair.load())
+    names = TOKENS.names
 
-    def run(column: pa.Array) -> list:
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         aligner = _aligner(shared)
-        total, groups, key, time = aligner.texts(raw_texts(column))
         space = len(aligner.a_bytes) * aligner.size_b
-        starts = pa.array(np.searchsorted(key, np.arange(len(groups) + 1) * space), pa.int32())
-        lists = [pa.ListArray.from_arrays(starts, pa.array(x)) for x in (key % space, time)]
-        return [*[pa.array(c) for c in total.T], groups, *lists]
-
-    return annotate(df, [text], run, TOKENS)
+        for column in columns:
+            total, groups, key, time = aligner.texts(raw_texts(column))
+            starts = pa.array(np.searchsorted(key, np.arange(len(groups) + 1) * space), pa.int32())
+            lists = [pa.ListArray.from_arrays(starts, pa.array(x)) for x in (key % space, time)]
+            arrays = [*[pa.array(c) for c in total.T], pa.array(groups, pa.string()), *lists]
+            yield pa.StructArray.from_arrays(arrays, names=names)
+        # the worker goes on to other tasks
+        aligner.segments = Segments()
+
+    run.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    replaced = {n.lower() for n in names}
+    kept = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c.lower() not in replaced]
+    made = F.arrow_udf(run, returnType=from_arrow_schema(TOKENS))
+    out = df.select(*kept, made(F.col(f"`{text}`")).alias("__made"))
+    return out.select(*kept, *[f"__made.{n}" for n in names])
 
 
 def _size_b(pair: Pair) -> int:
