@@ -45,13 +45,16 @@ SALES_CALENDAR = """
   cast(week(txn_date) as bigint) as sale_week, dayname(txn_date) as sale_dow"""
 
 
-@query(sql(f"""
+CLEAN_SALES = sql(f"""
 select company_name, case when is_b2b then 'B2B SALE' else 'SALES' end as voucher_type,
   voucher_no, customer_ref, stock_no, item_description, upper(product) as product,
   upper(brand) as brand, style, cast(null as varchar) as shade, size,
   cast(retail_price as double) as retail_price, cast(qty as double) as sales_qty,
   'PCS' as base_uom, {NET} as net_amount, {SALES_CALENDAR}, {SALES_MONEY}
-{SALES_LINES}"""))
+{SALES_LINES}""")
+
+
+@query(CLEAN_SALES)
 def clean_sales(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.clean_sales(b.sales_file(spark, d), CFG)
 
@@ -259,21 +262,12 @@ def mapped_values(spark: SparkSession, d: str) -> DataFrame:
 # --- sources and sinks -----------------------------------------------------
 
 
-@query(sql(f"""
-select company_name, voucher_type, count(*) as lines, sum(net_cents) / 100 as line_revenue
-from (
-  select company_name, case when is_b2b then 'B2B SALE' else 'SALES' end as voucher_type,
-    cast({even(NET, 2)} * 100 as bigint) as net_cents {SALES_LINES})
-group by all"""))
+@query(CLEAN_SALES)
 def csv_sales_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Write the sales export as CSV, scan it by position, clean and sum it."""
+    """Write the sales export as CSV, scan it by position and clean it."""
     path = scratch(spark, "sales-csv")
     writers.write_clean(b.sales_file(spark, d), path, "csv")
-    df = cleaning.clean_sales(readers.read_csv(spark, path, SALES_FILE), CFG)
-    return df.groupBy("company_name", "voucher_type").agg(
-        F.count(F.lit(1)).alias("lines"),
-        exact_sum(F.col("line_revenue")).alias("line_revenue"),
-    )
+    return cleaning.clean_sales(readers.read_csv(spark, path, SALES_FILE), CFG)
 
 
 @query(sql("""
@@ -292,18 +286,13 @@ def csv_ledger_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(sql("""
-select company_name, count(*) as items, count(distinct hsn_code) as codes,
-  cast(sum(closing_qty) as double) as pieces
-from raw_stock_balance group by company_name"""))
+select company_name, stock_no, item_description, hsn_code,
+  cast(closing_qty as double) as closing_qty from raw_stock_balance"""))
 def csv_balance_scan(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "balance-csv")
     writers.write_clean(b.balance_file(spark, d), path, "csv")
     df = cleaning.clean_stock_balance(readers.read_csv(spark, path, BALANCE_FILE), CFG)
-    return df.groupBy("company_name").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.count_distinct("hsn_code").alias("codes"),
-        F.sum("closing_qty").alias("pieces"),
-    )
+    return df.select("company_name", "stock_no", "item_description", "hsn_code", "closing_qty")
 
 
 def _cell(name: str) -> Column:
@@ -343,21 +332,17 @@ def _report(df: DataFrame, names: list[str], path: str) -> None:
     _land(df.withColumn("Page", F.lit("1")).select(*order), "company_name", [*TITLES, head], path)
 
 
-@query(sql("""
-select company_name, supplier_name, count(*) as lines, cast(sum(purchase_qty) as bigint) as qty,
-  cast(sum(item_net_amount) as double) as spend, min(voucher_date) as first_date
-from raw_purchase group by all"""))
+@query(sql(f"""
+select * exclude (tax_rate) replace (
+  {doubles('retail_price item_rate item_net_amount tax_amount net_amount')})
+from raw_purchase"""))
 def report_purchase_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Land the purchase report with title lines, scan, clean and stage it."""
+    """Land the purchase report with title lines, scan it in pieces, clean and
+    stage it."""
     path = scratch(spark, "purchase-report")
     _report(b.raw_purchase(spark, d), PURCHASE_REPORT, path)
-    df = cleaning.clean_purchase(readers.read_report(spark, path, PURCHASE_REPORT))
-    return stg_purchases(df, CFG).groupBy("company_name", "supplier_name").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("purchase_qty").alias("qty"),
-        exact_sum(F.col("item_net_amount")).alias("spend"),
-        F.min("voucher_date").alias("first_date"),
-    )
+    raw = readers.read_report(spark, path, PURCHASE_REPORT, split_bytes=2**18)
+    return stg_purchases(cleaning.clean_purchase(raw), CFG)
 
 
 @query(sql(f"""
@@ -392,14 +377,14 @@ def report_stock_scan(spark: SparkSession, d: str) -> DataFrame:
 select company_name, stock_no, item_description || chr(10) || 'second "line"' as item_description,
   hsn_code, cast(closing_qty as double) as closing_qty from raw_stock_balance"""))
 def csv_quoted_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Stock files of a foreign program with line breaks and quotes in cells."""
+    """A stock file of a foreign program with line breaks and quotes in cells, read
+    by many tasks: splits begin anywhere, also inside cells."""
     path = scratch(spark, "quoted-csv")
     broken = F.concat(F.col("item_description"), F.lit('\nsecond "line"'))
     file = b.balance_file(spark, d).withColumn("item_description", broken)
     _land(file, "company_name", [",".join(file.columns)], path)
-    df = cleaning.clean_stock_balance(
-        readers.read_csv(spark, f"{path}/*", BALANCE_FILE, multi_line=True), CFG
-    )
+    raw = readers.read_csv(spark, f"{path}/*", BALANCE_FILE, multi_line=True, split_bytes=2**15)
+    df = cleaning.clean_stock_balance(raw, CFG)
     return df.select("company_name", "stock_no", "item_description", "hsn_code", "closing_qty")
 
 

@@ -1,3 +1,5 @@
+import csv
+import random
 import datetime as dt
 
 import pytest
@@ -15,7 +17,7 @@ from stallbook.schemas import (
     SALES_FILE,
     schema_for,
 )
-from stallbook.sources import metrics, readers, writers
+from stallbook.sources import metrics, readers, records, writers
 from stallbook.sources.catalog import Tables
 
 CFG = RetailConfig()
@@ -188,8 +190,8 @@ def test_report_with_header_on_row_five(spark, tmp_path):
         dict(stock_no="total", purchase_qty="9", item_rate="1", item_description="y"),
         header=header, preamble=["Purchase Report" + commas, "HO" + commas, commas, "2026" + commas],
     )
-    out = cleaning.clean_purchase(readers.read_report(spark, path, PURCHASE_REPORT)).collect()
-    assert [(r.stock_no, r.voucher_date, r.purchase_qty) for r in out] == [
+    out = cleaning.clean_purchase(readers.read_report(spark, path, PURCHASE_REPORT))
+    assert [(r.stock_no, r.voucher_date, r.purchase_qty) for r in out.orderBy("stock_no").collect()] == [
         ("s1", dt.date(2026, 2, 5), 2.5), ("s2", None, 2.5),
     ]
 
@@ -276,3 +278,78 @@ def test_catalog_table_is_replaced(spark, frame):
         writers.load_table(df, "retail_test.t", bucket_by=(2, ["k"]))
     assert spark.table("retail_test.t").count() == 2
     spark.sql("drop database retail_test cascade")
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_quoted_line_breaks_at_split_borders(spark, tmp_path):
+    """Equal to a reader that takes each file as a whole, whatever cells cross."""
+    rng = random.Random(11)
+    cells = ["", "x", "a,b", 'say "hi"', "two\nlines", "\n", 'q"\n"', "long " * 40, "l\n" * 60, " s ", "é日\n本"]
+    expected = []
+    for f in range(3):
+        rows = [[f"{f}-{i}", rng.choice(cells), rng.choice(cells)] for i in range(120)]
+        with open(tmp_path / f"f {f}%.csv", "w", newline="") as out:
+            writer = csv.writer(out, lineterminator="\r\n" if f == 1 else "\n")
+            writer.writerows([["k", "t", "n"], *rows])
+            out.write("" if f else "\n\n")
+        with open(tmp_path / f"f {f}%.csv", newline="") as back:
+            expected += [tuple(c or None for c in r) for r in list(csv.reader(back))[1:] if r]
+    df = readers.read_csv(spark, str(tmp_path / "*.csv"), ["k", "t", "n"], True, split_bytes=64)
+    key = lambda r: tuple(c or "" for c in r)
+    assert records._lines(spark, str(tmp_path / "*.csv"), 64).rdd.getNumPartitions() > 20
+    # another size of splits in the session, set between the passes, changes nothing
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "777")
+    try:
+        assert sorted(map(tuple, df.collect()), key=key) == sorted(expected, key=key)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_quote_that_is_never_closed_fails(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('a,b\n1,"x\ny,2\n3,4\n')
+    assert [r.value for r in records.records(spark, str(path)).collect()] == ['1,"x\ny,2\n3,4\n'.strip()]
+    with pytest.raises(Exception, match="record of another width"):
+        readers.read_csv(spark, str(path), ["k", "t"], multi_line=True).collect()
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_every_file_has_its_own_header(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b c.csv").write_text(" Y ,X\n3,4\n")
+    df = readers.read_csv_by_header(spark, str(tmp_path), multi_line=multi_line)
+    assert df.columns == ["x", "y"] and _rows(df) == [("1", "2"), ("4", "3")]
+    (tmp_path / "d.csv").write_text("x,z\n5,6\n")
+    with pytest.raises(ValueError, match="d.csv: has columns"):
+        readers.read_csv_by_header(spark, str(tmp_path), multi_line=multi_line)
+    with pytest.raises(ValueError, match="expected 3 columns, file has 2"):
+        readers.read_csv(spark, str(tmp_path), ["p", "q", "r"], multi_line=multi_line)
+
+
+def test_reports_of_any_width_split_over_tasks(spark, tmp_path):
+    names = ["company_name", "stock_no"]
+    for f, width in (("one", 200), ("two", 150)):
+        header = [f"Col {i}" for i in range(width)]
+        header[width - 3], header[width - 1] = "Stock No", "Company Name"
+        if f == "two":
+            header.reverse()
+        place = {h: i for i, h in enumerate(header)}
+        lines = [["T"], [], ["P", "x"], header]
+        for i in range(30):
+            row = [f"{i}\nz" if j % 50 == 0 else "" for j in range(width)]
+            row[place["Company Name"]], row[place["Stock No"]] = f, f"s{i}"
+            lines.append(row)
+        with open(tmp_path / f"{f}.csv", "w", newline="") as out:
+            csv.writer(out, lineterminator="\n").writerows(lines)
+    # a header has to fit into the first split
+    df = readers.read_report(spark, str(tmp_path / "*.csv"), names, header_row=3, split_bytes=4096)
+    assert _rows(df) == sorted((f, f"s{i}") for f in ("one", "two") for i in range(30))
+
+
+def test_a_header_beyond_the_first_split_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("T\n" + "x" * 100 + "\n" + "y" * 100 + "\nk\n1\n")
+    with pytest.raises(Exception, match="end beyond the first split"):
+        readers.read_report(spark, str(tmp_path / "a.csv"), ["k"], anchor="k", header_row=4, split_bytes=64).collect()
