@@ -40,7 +40,7 @@ TOKENIZERS = "/opt/tokenizers"
 #: Pairs whose counts are sent to every task (17 bytes each); others are joined.
 FREQUENT = 2**18
 #: A task forgets its segments beyond so many, or so many links of them.
-REMEMBERED, LINKS_HELD = 150_000, 2**21
+REMEMBERED, LINKS_HELD = 300_000, 2**22
 #: Characters of parts that are encoded by one call.
 RUN = 4096
 #: Characters of a text that are encoded at a time, at the next safe cut.
@@ -80,24 +80,24 @@ class Pair:
         return Pair(Path(folder, a).read_bytes(), Path(folder, b).read_bytes())
 
 
-def token_ends(starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Where each token ends, in bytes. A span that ends no later than the next
-    one starts is a cut already. Tokens between two such cuts share their bytes
-    in the order and with the lengths of their decoded bytes; spans that
-    contradict these lengths are no cuts."""
+def token_ends(ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Where each token ends, in bytes, from the ends of the libraries' spans and
+    the lengths of the decoded tokens. A span's end is a cut if all tokens up to
+    it hold as many bytes. Others (several tokens of one character have the same
+    span) lie behind the cut before them by their own lengths."""
     by_length = np.cumsum(lengths)
-    if not len(ends):
-        return by_length
-    firm = np.append(ends[:-1] <= starts[1:], True)
+    firm = ends == by_length
+    if firm.all():
+        return ends
     at = np.flatnonzero(firm)
-    coarse = ends[at]
-    if np.array_equal(coarse, by_length[at]):
-        run = np.searchsorted(at, np.arange(len(ends)))  # the cut that closes a token's run
-        before = np.concatenate([[0], coarse])[run]
-        first = np.concatenate([[0], at + 1])[run]
-        inside = by_length - np.concatenate([[0], by_length])[first]
-        return np.where(firm, ends, before + inside)
-    return by_length
+    run = np.searchsorted(at, np.arange(len(ends)))  # how many cuts lie before a token
+    before = np.concatenate([[0], ends[at]])[run]
+    first = np.concatenate([[0], by_length[at]])[run]
+    return np.where(firm, ends, before + by_length - first)
+
+
+def _flattened(lists: list[list[int]], count: np.ndarray) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, count.sum())
 
 
 def expanded(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -113,9 +113,11 @@ class Tokens:
     runs: list[list[str]]
     raws: list[bytes]
     a_ids: list[list[int]]
-    a_spans: list[list[tuple[int, int]]]
-    #: id, first and last byte
-    b_pieces: list[list[tuple[int, int, int]]]
+    #: in characters
+    a_ends: list[list[int]]
+    b_ids: list[list[int]]
+    #: in bytes, without the space before the text
+    b_ends: list[list[int]]
 
 
 @dataclasses.dataclass
@@ -237,20 +239,22 @@ class Aligner:
         texts = [" ".join(r) for r in runs]
         a = self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False)
         b = self.b.encode(texts, return_type="proto", num_threads=1)
-        good = Tokens([], [], [], [], [])
+        good = Tokens([], [], [], [], [], [])
         alone: list[str] = []
         other: list[tuple[str, bytes]] = []
         for run, text, x, y in zip(runs, texts, a, b):
             raw, a_ids = b" " + text.encode(), x.ids
-            pieces = [(p.id, p.begin, p.end) for p in y.pieces]
-            held = b"".join([self.b_bytes[p[0]] for p in pieces])
+            pieces = y.pieces
+            b_ids = [p.id for p in pieces]
+            held = b"".join([self.b_bytes[i] for i in b_ids])
             fits = b"".join([self.a_bytes[i] for i in a_ids]) == raw
             if fits and held == raw:
                 good.runs.append(run)
                 good.raws.append(raw)
                 good.a_ids.append(a_ids)
-                good.a_spans.append(x.offsets)
-                good.b_pieces.append(pieces)
+                good.a_ends.append([e for _, e in x.offsets])
+                good.b_ids.append(b_ids)
+                good.b_ends.append([p.end for p in pieces])
             elif len(run) > 1:
                 alone.extend(run)
             else:
@@ -280,19 +284,13 @@ class Aligner:
         characters = np.cumsum(heads)[starts] - 1  # characters before each run
 
         count = np.array([len(x) for x in tokens.a_ids])
-        a_ids = np.fromiter(chain.from_iterable(tokens.a_ids), np.int64, count.sum())
-        flat = chain.from_iterable(chain.from_iterable(tokens.a_spans))
-        spans = np.fromiter(flat, np.int64, 2 * count.sum()).reshape(-1, 2)
-        spans = place[spans + np.repeat(characters, count)[:, None]]
-        a_ends = token_ends(spans[:, 0], spans[:, 1], self.a_lengths[a_ids])
-        count = np.array([len(x) for x in tokens.b_pieces])
-        flat = chain.from_iterable(chain.from_iterable(tokens.b_pieces))
-        pieces = np.fromiter(flat, np.int64, 3 * count.sum()).reshape(-1, 3)
-        b_ids = pieces[:, 0]
-        # B's spans leave out the space before the text: it belongs to the first token
-        spans = pieces[:, 1:] + 1 + np.repeat(starts, count)[:, None]
-        spans[np.cumsum(count) - count, 0] = starts
-        b_ends = token_ends(spans[:, 0], spans[:, 1], self.b_lengths[b_ids])
+        a_ids = _flattened(tokens.a_ids, count)
+        a_ends = place[_flattened(tokens.a_ends, count) + np.repeat(characters, count)]
+        a_ends = token_ends(a_ends, self.a_lengths[a_ids])
+        count = np.array([len(x) for x in tokens.b_ids])
+        b_ids = _flattened(tokens.b_ids, count)
+        b_ends = _flattened(tokens.b_ends, count) + 1 + np.repeat(starts, count)
+        b_ends = token_ends(b_ends, self.b_lengths[b_ids])
 
         cuts = np.union1d(a_ends, b_ends)
         of_a, of_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
