@@ -31,8 +31,9 @@ SHALLOW = 32
 MOST_RUNS = 2048
 #: Windows of a run that are cut off together.
 BIN = 16
-#: Long texts are read in pieces, so positions fit in 24 bits.
-PIECE = 8_000_000
+#: Bytes of text whose runs are found at a time, in about 70 times as much
+#: memory; longer texts are read in overlapping pieces. Positions fit in 24 bits.
+PIECE = 2**19
 FACTOR = 0x9E3779B97F4A7C15 | 1
 
 
@@ -209,7 +210,7 @@ def all_runs(keyed: DataFrame, length: int) -> DataFrame:
                     pieces.append(raw[a : a + PIECE + length - 1])
                     owner.append(d)
                     base.append(a)
-            for i, j in text_slices(pieces):
+            for i, j in text_slices(pieces, PIECE):
                 part = pieces[i:j]
                 rows: list[list] = []
                 text, first, last, anchor, h = runs_of(part, length)
