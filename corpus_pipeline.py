@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from stallbook.llm import decontaminate, jaccard, packing, quality, queries, suffix_dedup
 from stallbook.llm.common import small_batches, table
-from stallbook.operators.shared import share
+from stallbook.operators.shared import scratch, shared_results
+from stallbook.sources import files
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEEP_SCORE = 0.7
@@ -80,8 +81,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = share(stage(spark, docs, sf_dir))
+    """The rows of the last stage over ``documents``. What a stage shares goes when
+    its result is written, and that result when the next one's is; the last
+    stage's input stays until ``operators.shared.clear_shared``."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = scratch(spark, f"stage-{name}")
+        with shared_results(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before is not None:
+            files.delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
