@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,3 +30,11 @@ def pair_join(left: DataFrame, right: DataFrame, equal: Column, residual: Column
     Both stand in one condition, so Spark hashes on the equality and checks the
     rest while matching; it is never a cross join."""
     return left.join(right, on=equal & residual, how="inner")
+
+
+def match_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two summaries of the same groups side by side; null keys are groups too."""
+    a, b = left.alias("a"), right.alias("b")
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    added = [F.col(f"b.{c}") for c in right.columns if c not in keys]
+    return a.join(b, same).select("a.*", *added)

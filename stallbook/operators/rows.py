@@ -140,3 +140,11 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"))
         .orderBy(F.desc("rows"), F.col(col).asc_nulls_first())
     )
+
+
+def distinct_count(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """``count(distinct column)`` by ``keys``, from (keys, column) pairs. Two such
+    counts in one aggregate would copy every row for each of them, with all sums
+    that stand beside; pairs are narrow, and copies go before the shuffle."""
+    pairs = df.select(*keys, column).distinct()
+    return pairs.groupBy(*keys).agg(F.count(column).alias(name))

@@ -47,13 +47,13 @@ def build_all(
     as_of: dt.date | str | None = None,
 ) -> dict[str, DataFrame]:
     """All 20 models by name. Results that several models read are computed once
-    and kept in the checkpoint folder: the deduplicated sales, the item velocity,
+    and kept in the checkpoint folder: the deduplicated sales, the purchases, the item velocity,
     the product summary, the purchase months and the daily financials. Ranked
     models store the values that they rank. All other models are lazy."""
     cfg = cfg or RetailConfig()
     out = build_staging(tables, cfg)
     sales = out["stg_sales"] = share(out["stg_sales"])
-    purchases = out["stg_purchases"]
+    purchases = out["stg_purchases"] = share(out["stg_purchases"])
 
     out["stg_healthy_items"] = staging.healthy_items(
         purchases, out["stg_dead_stock"], out["stg_stockouts"], cfg

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.config import EXPENSE_COLUMNS, RetailConfig
@@ -19,35 +19,78 @@ from stallbook.functions.numbers import (
     sum_if,
     where,
 )
-from stallbook.operators.joins import left_join, pair_join
+from stallbook.operators.joins import left_join, match_groups, pair_join
+from stallbook.operators.rows import distinct_count
 from stallbook.operators.windows import add_ranks
 
 ITEM = ("company_name", "stock_no", "item_description", "product", "brand")
 
 
-def inventory_velocity(
-    sales: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
-) -> DataFrame:
-    """How fast each item sells at each branch, from deduplicated bill lines.
-
-    The grain includes description, product and brand: an SKU billed under two
-    descriptions has two rows.
-    """
+def _item_sums() -> list[Column]:
     b2b = F.col("is_b2b")
-    per_item = sales.groupBy(*ITEM).agg(
+    return [
         F.sum("sales_qty").alias("total_units_sold"),
         exact_sum(F.col("line_revenue")).alias("total_revenue"),
         exact_sum(F.col("full_mrp_value")).alias("total_mrp_value"),
         exact_sum(F.col("discount_given")).alias("total_discount"),
         F.min("sale_date").alias("first_sale_date"),
         F.max("sale_date").alias("last_sale_date"),
-        F.count_distinct("sale_date").alias("days_with_sales"),
-        F.count_distinct("voucher_no").alias("num_bills"),
         sum_if(b2b, F.col("sales_qty")).alias("b2b_units"),
         exact_sum(where(b2b, F.col("line_revenue"))).alias("b2b_revenue"),
         sum_if(~b2b, F.col("sales_qty")).alias("retail_units"),
         exact_sum(where(~b2b, F.col("line_revenue"))).alias("retail_revenue"),
+    ]
+
+
+def inventory_velocity(
+    sales: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
+) -> DataFrame:
+    """How fast each item sells at each branch, from deduplicated bill lines.
+
+    The grain includes description, product and brand: an SKU billed under two
+    descriptions has two rows. ``sales`` is read twice, once for its days, and
+    should be a stored result.
+    """
+    per_item = sales.groupBy(*ITEM).agg(
+        *_item_sums(), F.count_distinct("voucher_no").alias("num_bills")
     )
+    days = distinct_count(sales, ITEM, "sale_date", "days_with_sales")
+    return velocity_of(match_groups(per_item, days, ITEM), cfg, as_of)
+
+
+def velocity_months(sales: DataFrame) -> DataFrame:
+    """What :func:`inventory_velocity` needs of a month, per item: sums, first and
+    last day, and the number of days, which add up over months. ``month`` is the
+    first of the month."""
+    dated = sales.withColumn("month", F.trunc("sale_date", "month"))
+    keys = [*ITEM, "month"]
+    days = distinct_count(dated, keys, "sale_date", "days_with_sales")
+    return match_groups(dated.groupBy(*keys).agg(*_item_sums()), days, keys)
+
+
+def bill_months(sales: DataFrame) -> DataFrame:
+    """The bills of a month, per item: (item, bill) pairs, since a bill number may
+    come again in another month."""
+    month = F.trunc("sale_date", "month").alias("month")
+    return sales.select(*ITEM, month, "voucher_no").distinct()
+
+
+def velocity_from_months(
+    months: DataFrame, bills: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
+) -> DataFrame:
+    """The same rows as :func:`inventory_velocity`, from the stored months."""
+    added = [c for c in months.columns if c not in (*ITEM, "month", "first_sale_date", "last_sale_date")]
+    per_item = months.groupBy(*ITEM).agg(
+        *[F.sum(c).cast(months.schema[c].dataType).alias(c) for c in added],
+        F.min("first_sale_date").alias("first_sale_date"),
+        F.max("last_sale_date").alias("last_sale_date"),
+    )
+    num_bills = distinct_count(bills, ITEM, "voucher_no", "num_bills")
+    return velocity_of(match_groups(per_item, num_bills, ITEM), cfg, as_of)
+
+
+def velocity_of(per_item: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None) -> DataFrame:
+    """Prices, paces and tiers of items that are summed up."""
     first, last = F.col("first_sale_date"), F.col("last_sale_date")
     per_item = per_item.withColumns(
         {
@@ -79,8 +122,13 @@ def inventory_velocity(
 def net_sales(sales: DataFrame, returns: DataFrame, cfg: RetailConfig) -> DataFrame:
     """Sales less returns per SKU, branch and month; never below zero. Returns
     in a month without a sale of that SKU do not appear."""
+    return net_of_months(sold_months(sales), returned_months(returns), cfg)
+
+
+def sold_months(sales: DataFrame) -> DataFrame:
+    """Sales per item and month; no month needs another one's lines."""
     is_b2b = F.col("is_b2b")
-    sold = sales.groupBy(
+    return sales.groupBy(
         *ITEM,
         F.col("sale_year").alias("txn_year"),
         F.col("sale_month").alias("txn_month"),
@@ -95,7 +143,11 @@ def net_sales(sales: DataFrame, returns: DataFrame, cfg: RetailConfig) -> DataFr
         sum_if(is_b2b, F.col("sales_qty")).alias("b2b_units"),
         exact_sum(where(is_b2b, F.col("line_revenue"))).alias("b2b_revenue"),
     )
-    returned = returns.groupBy(
+
+
+def returned_months(returns: DataFrame) -> DataFrame:
+    """Returns per SKU, branch and month."""
+    return returns.groupBy(
         "company_name",
         "stock_no",
         F.col("return_year").alias("txn_year"),
@@ -104,6 +156,9 @@ def net_sales(sales: DataFrame, returns: DataFrame, cfg: RetailConfig) -> DataFr
         F.sum("return_qty").alias("returned_units"),
         exact_sum(F.col("return_value")).alias("returned_value"),
     )
+
+
+def net_of_months(sold: DataFrame, returned: DataFrame, cfg: RetailConfig) -> DataFrame:
     both = left_join(sold, returned, ["company_name", "stock_no", "txn_year", "txn_month"])
     both = both.withColumns(
         {c: F.coalesce(F.col(c), F.lit(0)) for c in ("returned_units", "returned_value")}
@@ -146,15 +201,7 @@ def product_summary(sales: DataFrame, purchases: DataFrame) -> DataFrame:
             F.max("sale_date").alias("last_sale"),
         )
     )
-    days = (
-        sales.groupBy(*keys, "sale_date")
-        .agg(F.lit(1).alias("_"))
-        .groupBy(*keys)
-        .agg(F.count("sale_date").alias("active_selling_days"))
-    )
-    s, d = sold.alias("s"), days.alias("d")
-    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys]
-    sold = s.join(d, same).select("s.*", "active_selling_days")
+    sold = match_groups(sold, distinct_count(sales, keys, "sale_date", "active_selling_days"), keys)
     bought = purchases.groupBy(*keys).agg(
         F.sum("purchase_qty").alias("units_purchased"),
         mean(F.col("item_rate"), 2).alias("avg_cost_price"),

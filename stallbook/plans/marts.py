@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from stallbook.config import RetailConfig
 from stallbook.functions import dates, rules
 from stallbook.functions.numbers import exact_sum, max_if, mean, safe_ratio
-from stallbook.operators.joins import left_join
+from stallbook.operators.joins import left_join, match_groups
+from stallbook.operators.rows import distinct_count
 from stallbook.operators.windows import (
     add_ranks,
     lag_days,
@@ -271,14 +272,16 @@ def _gross_margin(margin: Column, retail: Column) -> Column:
 def supplier_analysis(
     purchases: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
 ) -> DataFrame:
-    """Spend, prices and margin per supplier, brand and product, with ranks."""
+    """Spend, prices and margin per supplier, brand and product, with ranks.
+    ``purchases`` is read three times, twice of them for a few columns, and should
+    be a stored result."""
+    keys = ["supplier_name", "brand", "product"]
+    named = purchases.filter(F.col("supplier_name").isNotNull())
     first, last = F.min("voucher_date"), F.max("voucher_date")
     out = (
-        purchases.filter(F.col("supplier_name").isNotNull())
-        .withColumn("_margin", _line_margin())
-        .groupBy("supplier_name", "brand", "product")
+        named.withColumn("_margin", _line_margin())
+        .groupBy(*keys)
         .agg(
-            F.count_distinct("voucher_no").alias("total_purchase_orders"),
             F.sum("purchase_qty").alias("total_units_purchased"),
             F.round(exact_sum(F.col("item_net_amount")), 2).alias("total_purchase_value"),
             mean(F.col("item_net_amount"), 2).alias("avg_order_value"),
@@ -290,9 +293,11 @@ def supplier_analysis(
             first.alias("first_purchase_date"),
             last.alias("last_purchase_date"),
             dates.month_diff(last, first).alias("relationship_months"),
-            F.count_distinct("stock_no").alias("unique_items_supplied"),
         )
     )
+    counts = {"total_purchase_orders": "voucher_no", "unique_items_supplied": "stock_no"}
+    for name, column in counts.items():
+        out = match_groups(out, distinct_count(named, keys, column, name), keys)
     out = add_ranks(
         out,
         {

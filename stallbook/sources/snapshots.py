@@ -18,7 +18,7 @@ from __future__ import annotations
 import dataclasses
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,20 +33,28 @@ NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 @dataclasses.dataclass(frozen=True)
 class Snapshot:
-    """A state of the table: the folder of each month's rows, and their schema."""
+    """A state of the table: the folder of each month's rows, and their schema; for
+    a table made from another one, the folders of that table which it covers."""
 
     version: int
     months: Mapping[str, str]
     schema: T.StructType
+    source: Mapping[str, str] = dataclasses.field(default_factory=dict)
 
     def text(self) -> bytes:
-        state = {"version": self.version, "months": dict(self.months), "schema": self.schema.jsonValue()}
+        state = {
+            "version": self.version,
+            "months": dict(self.months),
+            "schema": self.schema.jsonValue(),
+            "source": dict(self.source),
+        }
         return json.dumps(state).encode()
 
     @staticmethod
     def parse(raw: bytes) -> Snapshot:
         state = json.loads(raw)
-        return Snapshot(state["version"], state["months"], T.StructType.fromJson(state["schema"]))
+        schema = T.StructType.fromJson(state["schema"])
+        return Snapshot(state["version"], state["months"], schema, state["source"])
 
 
 def _name(version: int) -> str:
@@ -83,9 +91,17 @@ def read(
     return spark.read.schema(state.schema).parquet(*paths)
 
 
-def write(df: DataFrame, root: str, day: str, base: Snapshot | None) -> Snapshot:
-    """Replace the months that ``df`` has rows of, and keep all others of ``base``.
-    A month much larger than others is split over tasks, small ones share one."""
+def write(
+    df: DataFrame,
+    root: str,
+    day: str,
+    base: Snapshot | None,
+    replaced: Iterable[str] = (),
+    source: Mapping[str, str] | None = None,
+) -> Snapshot:
+    """Replace the months that ``df`` has rows of, and those named in ``replaced``
+    (which may have none any more), and keep all others of ``base``. A month much
+    larger than others is split over tasks, small ones share one."""
     spark = df.sparkSession
     version = base.version + 1 if base else 0
     folder = f"{_name(version)}-{uuid.uuid4().hex[:12]}"
@@ -96,12 +112,37 @@ def write(df: DataFrame, root: str, day: str, base: Snapshot | None) -> Snapshot
         .parquet(f"{root}/data/{folder}")
     )
     written = [n.split("=", 1)[1] for n in files.names(spark, f"{root}/data/{folder}") if "=" in n]
-    months = {**(base.months if base else {}), **dict.fromkeys(written, folder)}
-    state = Snapshot(version, months, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]))
+    gone = set(replaced)
+    months = {m: f for m, f in (base.months if base else {}).items() if m not in gone}
+    months |= dict.fromkeys(written, folder)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    state = Snapshot(version, months, schema, source or {})
     files.write_small(spark, f"{root}/commits/{_name(version)}", state.text())
     return state
 
 
+def refresh(
+    spark: SparkSession, source: str, root: str, make: Callable[[DataFrame], DataFrame], day: str
+) -> list[str]:
+    """Bring a table up to date that is made month by month from another one:
+    ``make`` gets the source's rows of those months only that were committed since
+    the last refresh, and its result replaces them. Returns these months.
+
+    The commit names the source's folders that it covers, so a refresh that died
+    is simply run again, and months that vanished from the source go."""
+    state, base = current(spark, source), current(spark, root)
+    if state is None:
+        raise ValueError(f"{source}: nothing was committed here")
+    covered = base.source if base else {}
+    changed = sorted(m for m, f in state.months.items() if covered.get(m) != f)
+    gone = sorted(covered.keys() - state.months.keys())
+    if changed or gone or base is None:
+        rows = read(spark, source, state, changed)
+        write(make(rows), root, day, base, replaced=[*changed, *gone], source=state.months)
+        clean(spark, root)
+    return changed
+
+
 def clean(spark: SparkSession, root: str) -> None:
     """Delete what neither the last commit nor the one before names: replaced
     months, and folders that a job left which died before its commit."""

@@ -15,7 +15,7 @@ import verify
 from stallbook.checks import binding
 from stallbook.checks import models as checked_models
 from stallbook.checks.registry import ORACLES, QUERIES
-from stallbook.operators import shared
+from stallbook.operators import shared, windows
 from stallbook.operators.shared import clear_shared, share
 from stallbook.plans import build
 from stallbook.plans.columns import MODEL_COLUMNS
@@ -180,6 +180,21 @@ def test_the_summary_copies_no_line_for_its_distinct_counts(spark):
     assert "Expand" not in plan(out)
 
 
+@pytest.mark.parametrize("name", ["velocity", "supplier_analysis", "net_sales_monthly"])
+def test_no_plan_copies_lines_for_distinct_counts(spark, monkeypatch, name):
+    """Neither the result nor anything that is stored on the way."""
+    plans, original = [], shared.share
+
+    def noted(df):
+        plans.append(plan(df))
+        return original(df)
+
+    for module in (checked_models, binding, windows):
+        monkeypatch.setattr(module, "share", noted)
+    plans.append(plan(QUERIES[name](spark, SF_DIR)))
+    assert not [p for p in plans if "Expand" in p]
+
+
 @pytest.mark.parametrize("name", ["action_board", "transfer_opportunities"])
 def test_order_lines_are_read_twice_at_most(spark, name):
     """Once for sales and once for purchases, over all stored results."""
