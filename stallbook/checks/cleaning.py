@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from stallbook.schemas import (
     STOCKOUT_REPORT,
     schema_for,
 )
-from stallbook.sources import metrics, readers, writers
+from stallbook.sources import inference, metrics, readers, writers
 from stallbook.sources.catalog import Tables
 
 
@@ -508,3 +510,49 @@ from customer""")
 def partition_rank(spark: SparkSession, d: str) -> DataFrame:
     customers = b.table(spark, d, "customer").select("c_mktsegment", "c_custkey", "c_acctbal")
     return add_ranks(customers, {"balance_rank": (["c_mktsegment"], "c_acctbal")})
+
+
+# --- types found from text -------------------------------------------------
+
+GIVEN = "region nation customer supplier part orders lineitem events".split()
+
+
+def _landed(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A given table as text, written as CSV and read back by its header."""
+    path = scratch(spark, f"{name}-text")
+    writers.write_clean(b.table(spark, d, name), path, "csv")
+    return readers.read_csv_by_header(spark, path)
+
+
+INFERRED = """
+select '{0}' as file, "column", count(x) as filled, case
+  when bool_and(lower(x) in ('true', 'false')) then 'boolean'
+  when bool_and(regexp_full_match(x, '[+-]?(0|[1-9][0-9]{{0,17}})')) then 'bigint'
+  when bool_and(try_cast(x as double) is not null) then 'double'
+  when bool_and(length(x) = 10 and try_cast(x as date) is not null) then 'date'
+  when bool_and(try_cast(x as timestamp) is not null) then 'timestamp'
+  else 'string' end as type
+from (unpivot (select cast(columns(*) as varchar) from {0}) on columns(*)
+  into name "column" value x)
+group by "column" """
+
+
+@query(" union all ".join(INFERRED.format(t) for t in GIVEN))
+def inferred_types(spark: SparkSession, d: str) -> DataFrame:
+    """The type of every column of the given tables, found from their text."""
+    found = [
+        inference.profile(_landed(spark, d, t)).withColumn("file", F.lit(t)) for t in GIVEN
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("""
+select * replace (cast(l_linenumber as bigint) as l_linenumber) from lineitem""")
+def inferred_load(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines from text, with the types that were found, after a load that
+    replaces an earlier one."""
+    path = scratch(spark, "inferred")
+    lines = inference.typed(_landed(spark, d, "lineitem"))
+    for df in (lines.limit(10), lines):
+        writers.load_report(df, path)
+    return spark.read.parquet(path)

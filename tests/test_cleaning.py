@@ -3,6 +3,7 @@ import random
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from stallbook import RetailConfig
 from stallbook.operators import rows
@@ -17,7 +18,7 @@ from stallbook.schemas import (
     SALES_FILE,
     schema_for,
 )
-from stallbook.sources import metrics, readers, records, writers
+from stallbook.sources import inference, metrics, readers, records, writers
 from stallbook.sources.catalog import Tables
 
 CFG = RetailConfig()
@@ -277,9 +278,68 @@ def test_catalog_table_is_replaced(spark, frame):
     for _ in range(2):
         writers.load_table(df, "retail_test.t", bucket_by=(2, ["k"]))
     assert spark.table("retail_test.t").count() == 2
+    broken = df.withColumn("v", F.when(F.col("k") == "b", F.raise_error(F.lit("died")).cast("long")).otherwise(0))
+    for _ in range(2):
+        with pytest.raises(Exception, match="died"):
+            writers.load_table(broken, "retail_test.t", bucket_by=(2, ["k"]))
+        assert sorted(r.v for r in spark.table("retail_test.t").collect()) == [1, 2]
+    begun = spark.table("retail_test.t")
+    writers.load_table(df.limit(1), "retail_test.t", partition_by=["k"])
+    assert begun.count() == 2 and spark.table("retail_test.t").count() == 1
+    assert len([t for t in spark.catalog.listTables("retail_test") if "__" in t.name]) == 2
+    df.write.saveAsTable("retail_test.plain")
+    writers.load_table(df.limit(1), "retail_test.plain")
+    assert spark.table("retail_test.plain").count() == 1
     spark.sql("drop database retail_test cascade")
 
 
+def test_a_folder_keeps_its_rows_when_a_load_fails(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    writers.save_table(spark.range(5), path)
+    fails = F.when(F.col("id") == 3, F.raise_error(F.lit("died")).cast("long")).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="died"):
+        writers.save_table(spark.range(4).select(fails.alias("id")), path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    # it dies between the two renames: the next load finds the old rows again
+    rename = writers.files.rename
+    with monkeypatch.context() as m:
+        def once(spark, a, b):
+            if "_new-" in a:
+                raise RuntimeError("died")
+            rename(spark, a, b)
+
+        m.setattr(writers.files, "rename", once)
+        with pytest.raises(RuntimeError):
+            writers.save_table(spark.range(7), path)
+    with pytest.raises(Exception, match="died"):
+        writers.save_table(spark.range(4).select(fails.alias("id")), path)
+    assert spark.read.parquet(path).count() == 5
+    writers.save_table(spark.range(6), path)
+    assert spark.read.parquet(path).count() == 6
+
+
+def test_types_are_the_narrowest_that_all_cells_fit(spark):
+    cells = {
+        "flag": ["true", "FALSE", None], "whole": ["1", "-20", " 3 "], "code": ["007", "1", "2"],
+        "number": ["1", "2.5", "-1e3"], "day": ["2026-02-28", "2024-02-29", ""],
+        "no_day": ["2026-02-30", "2026-01-01", ""], "time": ["2026-01-01", "2026-01-01 10:15:00", None],
+        "mixed": ["1", "2026-01-01", None], "none": [None, "", " "], "long": ["1234567890123456789012", "1", "2"],
+        "dot": [".", "1", "2"], "a b": ["x", "1", "true"],
+    }
+    schema = ", ".join(f"`{c}` string" for c in cells)
+    df = spark.createDataFrame(list(zip(*cells.values())), schema)
+    assert inference.infer_types(df) == {
+        "flag": "boolean", "whole": "bigint", "code": "string", "number": "double", "day": "date",
+        "no_day": "string", "time": "timestamp", "mixed": "string", "none": "string", "long": "double",
+        "dot": "string", "a b": "string",
+    }
+    row = inference.typed(df).collect()[2]
+    assert (row.whole, row.number, row.day, row.code) == (3, -1000.0, None, "2")
+    empty = spark.createDataFrame([], df.schema)
+    assert set(inference.infer_types(empty).values()) == {"string"}
+
+
 def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
