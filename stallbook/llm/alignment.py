@@ -154,6 +154,8 @@ class Segments:
         self.links, self.starts = np.empty(0, np.int64), np.empty(0, np.int64)
         #: segments that their tokens do not give back
         self.odd: set[int] = set()
+        #: how often each was met since some were last forgotten
+        self.uses = np.empty(0, np.int64)
 
     def add(self, made: Encoded) -> None:
         first = len(self.groups)
@@ -164,6 +166,25 @@ class Segments:
         self.links = np.concatenate([self.links, made.links])
         self.groups.extend(made.groups)
         self.odd.update(self.known[p] for p in made.other)
+        self.uses = np.concatenate([self.uses, np.zeros(len(made.parts), np.int64)])
+
+    def forget(self) -> None:
+        """Keep what was met more than once, at most half of the room."""
+        if len(self.groups) <= REMEMBERED and len(self.links) <= LINKS_HELD:
+            return
+        order = np.argsort(-self.uses, kind="stable")
+        order = order[self.uses[order] > 1][: REMEMBERED // 2]
+        room = np.cumsum(self.sizes[order, 3]) <= LINKS_HELD // 2
+        kept = np.sort(order[room])
+        names = list(self.known)  # in the order of their numbers
+        self.known = {names[i]: k for k, i in enumerate(kept.tolist())}
+        self.groups = [self.groups[i] for i in kept.tolist()]
+        self.odd = {k for k, i in enumerate(kept.tolist()) if i in self.odd}
+        self.sizes = self.sizes[kept]
+        size = self.sizes[:, 3]
+        self.links = self.links[expanded(self.starts[kept], size)]
+        self.starts = np.cumsum(size) - size
+        self.uses = np.zeros(len(kept), np.int64)
 
 
 class Aligner:
@@ -352,7 +373,7 @@ class Aligner:
         keys, times, odd = [], [], set()
         for row_list, parts in self._batches(texts):
             rows, at = np.array(row_list), self._numbers(parts)
-            s = self.segments
+            s, uses_at = self.segments, at
             if s.odd:
                 odd.update(rows[np.isin(at, list(s.odd))].tolist())
             np.add.at(total, rows, s.sizes[at])
@@ -366,8 +387,8 @@ class Aligner:
             found = merged([np.repeat(row, size) * space + pairs], [np.repeat(count, size)])
             keys.append(found[0])
             times.append(found[1])
-            if len(s.groups) > REMEMBERED or len(s.links) > LINKS_HELD:
-                self.segments = Segments()
+            s.uses += np.bincount(uses_at, minlength=len(s.groups))
+            s.forget()
         key, time = merged(keys, times)
         joined = [";".join(g) for g in groups]
         for row in odd:
@@ -452,8 +473,6 @@ def encode(df: DataFrame, text: str = "text", pair: Pair | None = None) -> DataF
             lists = [pa.ListArray.from_arrays(starts, pa.array(x)) for x in (key % space, time)]
             arrays = [*[pa.array(c) for c in total.T], pa.array(groups, pa.string()), *lists]
             yield pa.StructArray.from_arrays(arrays, names=names)
-        # the worker goes on to other tasks
-        aligner.segments = Segments()
 
     run.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     replaced = {n.lower() for n in names}
