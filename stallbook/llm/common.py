@@ -26,7 +26,7 @@ def small_batches(spark: SparkSession) -> None:
     """Whole texts are long rows: with Spark's usual 10,000 of them in a batch,
     a task would hold several copies of some tens of MB, or much more where texts
     are longer. Called by the registered queries and pipeline stages."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "250")
 
 
 def word_list(raw: bytes | None, word_bytes: bytes = WORD_BYTES) -> list[bytes]:

@@ -33,7 +33,9 @@ MOST_RUNS = 2048
 BIN = 16
 #: Bytes of text whose runs are found at a time, in about 70 times as much
 #: memory; longer texts are read in overlapping pieces. Positions fit in 24 bits.
-PIECE = 2**19
+PIECE = 2**18
+#: Runs that are sorted together, but for those of one anchor (about 20 KB each).
+SORTED_RUNS = 1024
 FACTOR = 0x9E3779B97F4A7C15 | 1
 
 
@@ -385,7 +387,7 @@ def repeated_windows(keyed: DataFrame, length: int, most_runs: int) -> DataFrame
 
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2))):
-                if len(open_rows) >= 4 * most_runs and row[0] != open_rows[-1][0]:
+                if len(open_rows) >= SORTED_RUNS and row[0] != open_rows[-1][0]:
                     yield done(open_rows)
                     open_rows = []
                 open_rows.append(row)
