@@ -36,7 +36,7 @@ SELF_CLOSING = {
 }
 
 # What a page's parts are called.
-OUTSIDE_TAGS = frozenset("nav footer aside form menu dialog".split())
+OUTSIDE_TAGS = frozenset("nav footer aside form label legend menu dialog".split())
 ARTICLE_TAGS = frozenset(["article", "main"])
 OUTSIDE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu "
@@ -60,7 +60,8 @@ ARTICLE_WORDS = frozenset("article content post entry story main".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)",
+    # quotes enclose a value behind an equals sign alone; elsewhere they are stray
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|$)",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(
@@ -136,14 +137,35 @@ def mark(tag: str, attributes: str, in_article: bool = False) -> tuple[int, int]
     return OUTER if found == HEADER else found, 0
 
 
+class Node:
+    """A block element that is open: its number, its parent, how deep it lies."""
+
+    __slots__ = ("number", "parent", "depth")
+
+    def __init__(self, number: int, parent: Node | None):
+        self.number, self.parent = number, parent
+        self.depth = parent.depth + 1 if parent else 0
+
+    def steps_to(self, other: Node) -> int:
+        """Elements between the two over their nearest common one."""
+        a, b, steps = self, other, 0
+        while a is not b:
+            if a.depth >= b.depth:
+                a = a.parent
+            else:
+                b = b.parent
+            steps += 1
+        return steps
+
+
 class Block:
     """A run of text between block boundaries. ``named``: so many parts that it
     stands in are named by an outside word."""
 
-    __slots__ = ("text", "links", "path", "mark", "tag", "named")
+    __slots__ = ("text", "links", "node", "mark", "tag", "named")
 
-    def __init__(self, text: str, links: int, path: tuple, mark: int, tag: str, named: int):
-        self.text, self.links, self.path, self.mark, self.tag = text, links, path, mark, tag
+    def __init__(self, text: str, links: int, node: Node, mark: int, tag: str, named: int):
+        self.text, self.links, self.node, self.mark, self.tag = text, links, node, mark, tag
         self.named = named
 
 
@@ -168,8 +190,8 @@ def inherited(outer: int, own: int) -> int:
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. Elements left open end with their parent."""
-    # One entry per open block element: tag, number, mark, parts named around it.
-    stack: list[tuple[str, int, int, int]] = [("", 0, NEUTRAL, 0)]
+    # One entry per open block element: tag, node, mark, parts named around it.
+    stack: list[tuple[str, Node, int, int]] = [("", Node(0, None), NEUTRAL, 0)]
     headed: set[int] = set()  # headers that hold a heading
     blocks: list[Block] = []
     parts: list[str] = []
@@ -179,9 +201,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal links
         text = SPACE.sub(" ", "".join(parts)).strip(" ")
         if text:
-            path = tuple(n for _, n, *_ in stack)
-            within, _, own, named = stack[-1]
-            blocks.append(Block(text, links, path, own, within, named))
+            within, node, own, named = stack[-1]
+            blocks.append(Block(text, links, node, own, within, named))
         parts.clear()
         links = 0
 
@@ -252,10 +273,10 @@ def blocks_of(page: str) -> list[Block]:
         named = 0 if by_word < 0 else stack[-1][3] + by_word
         if attributes.endswith("/") and tag in SILENT:
             continue
-        stack.append((tag, number, own, named))
+        stack.append((tag, Node(number, stack[-1][1]), own, named))
         silent += tag in SILENT
         if tag in HEADINGS and own == HEADER:
-            headed.update(n for _, n, m, _ in stack if m == HEADER)
+            headed.update(n.number for _, n, m, _ in stack if m == HEADER)
     flush()
     settle(blocks, headed)
     return blocks
@@ -266,9 +287,20 @@ def settle(blocks: list[Block], headed: set[int]) -> None:
     article belongs to it, another one is a side part. Parts named by outside
     words are outside, but those around the whole content are weighed. If all
     that an article has stands in side parts, they are no more than outer parts."""
+    within: dict[int, bool] = {}  # whether an element lies in such a header
+
+    def in_headed(node: Node | None) -> bool:
+        above = []
+        while node and node.number not in within and node.number not in headed:
+            above.append(node.number)
+            node = node.parent
+        found = bool(node) and within.get(node.number, node.number in headed)
+        within.update(dict.fromkeys(above, found))
+        return found
+
     for b in blocks:
         if b.mark == HEADER:
-            b.mark = TAGGED if headed.intersection(b.path) else SIDE
+            b.mark = TAGGED if in_headed(b.node) else SIDE
     if any(b.named for b in blocks):
         level = content_level(blocks)
         for b in blocks:
@@ -336,14 +368,8 @@ def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
     last_in: dict[int, int] = {}
     for i, b in enumerate(blocks):
         if i:
-            a = blocks[i - 1].path
-            shared = 0
-            for x, y in zip(a, b.path):
-                if x != y:
-                    break
-                shared += 1
-            edges.append((i - 1, i, NEAR / max(1, (len(a) + len(b.path) - 2 * shared) / 2)))
-        parent = b.path[-2] if len(b.path) > 1 else 0
+            edges.append((i - 1, i, NEAR / max(1, blocks[i - 1].node.steps_to(b.node) / 2)))
+        parent = b.node.parent.number if b.node.parent else 0
         if last_in.get(parent, i) < i - 1:
             edges.append((last_in[parent], i, TREE))
         last_in[parent] = i

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
 
@@ -156,3 +157,26 @@ def test_a_wrapper_with_an_outside_word_is_weighed():
 def test_articles_inside_an_article_are_comments_if_named_so():
     page = f"<article class=post>{BODY}<article class='comment-body'><p>{LONG}</p></article></article>"
     assert main_text(page) == TEXT
+
+
+def test_stray_quotes_are_no_markup_in_the_text():
+    page = '<article><p title="5" tall">One two three four.</p><p a=\'b\' c\'>Five six.</p></article>'
+    assert html_extract.main_text(page) == "One two three four. Five six."
+
+
+def test_labels_outside_of_forms_are_no_text():
+    words = "These are the many plain words of an article that goes on for a while. " * 4
+    page = f"<article><p>{words}</p><label>Your name</label><legend>Choose</legend><p>{words}</p></article>"
+    text = html_extract.main_text(page)
+    assert "Your name" not in text and "Choose" not in text and text.count("plain") == 8
+
+
+def test_deep_pages_take_time_in_proportion():
+    def seconds(n):
+        start = time.perf_counter()
+        text = html_extract.main_text("".join(f"<div>Some words {i} here." for i in range(n)))
+        assert text
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(8000) < 16 * max(seconds(2000), 0.05)
