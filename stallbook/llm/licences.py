@@ -65,6 +65,42 @@ def reach(identifier: str) -> int:
     return REACH[max(found, key=len)] if found else 3
 
 
+def expression_end(text: str) -> int:
+    """Where the longest expression ends that ``text`` begins with; 0 if none does.
+
+    Behind a tag other words may follow on the same line. A word that cannot go
+    on ends the expression, as a full stop does; an operator is taken only with
+    all that it needs, and, unless the line ends there, before names that look
+    like identifiers (known ones, or with a digit or hyphen inside)."""
+    at = end = depth = 0
+    operand_next, sure = True, True
+    rest = text.rstrip(" \t*/-#>;\"'.")
+    while m := TOKEN.match(text, at):
+        word = m.group(1).lower()
+        stop = word not in "()" and word.endswith(".")
+        word = word.rstrip(".")
+        if word == "(" or word in STRENGTH:
+            if operand_next != (word == "("):
+                break
+            depth += word == "("
+            operand_next = True
+        elif word == ")":
+            if operand_next or not depth:
+                break
+            depth -= 1
+        elif operand_next and word:
+            sure = sure and (not end or reach(word) < 3 or bool(re.search("[0-9-]", word)))
+            operand_next = False
+        else:
+            break
+        at = m.end()
+        if not operand_next and not depth and (sure or at - stop >= len(rest)):
+            end = at - stop
+        if stop:
+            break
+    return end
+
+
 def to_postfix(text: str) -> list[str] | None:
     """Shunting-yard: ``or`` binds weakest, ``with`` strongest, equal operators
     from the left. None if the text is not a whole expression. Works with one
@@ -161,7 +197,7 @@ def scan_one(raw: bytes | None, find: ahocorasick.Automaton) -> tuple:
     starts: list[int] = []
     base: set[str] = set()
     labels: set[str] = set()
-    places, tagged = 0, False
+    places, tagged, at, before = 0, False, 0, 0
     for end, phrase in find.iter(joined):
         if phrase == TAG_PHRASE:
             tagged = True
@@ -169,13 +205,17 @@ def scan_one(raw: bytes | None, find: ahocorasick.Automaton) -> tuple:
         places += 1
         if phrase in BASE_PHRASES:
             first = end + 1 - len(phrase) - 2
-            starts.append(joined.count(" ", 0, first))
+            # blanks from the place before on: each is counted about once
+            step = joined.count(" ", min(at, first), max(at, first))
+            at, before = first, before + (step if first >= at else -step)
+            starts.append(before)
             base.add(BASE_PHRASES[phrase])
         if phrase in NOTICE_PHRASES:
             labels.add(NOTICE_PHRASES[phrase])
     texts, widest = [], None
     for m in TAG.finditer(raw) if tagged else ():
-        postfix = to_postfix(m.group(1).decode("utf-8", "replace"))
+        behind = m.group(1).decode("utf-8", "replace")
+        postfix = to_postfix(behind[: expression_end(behind)])
         if postfix:
             names, far = evaluate(postfix)
             labels |= names

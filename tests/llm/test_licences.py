@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from stallbook.llm import licences
@@ -92,3 +94,38 @@ def test_rows(docs_of):
     assert rows[6].expressions == [] and rows[6].score == 0.0
     assert rows[7].first_word == 60_000
     assert licences.scan(docs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "line, labels, expressions",
+    [
+        ("MIT Permission is hereby granted", "mit", ["mit"]),
+        ("MIT.", "mit", ["mit"]),
+        ("Apache-2.0 OR MIT. See the file", "apache-2.0,mit", ["apache-2.0 mit or"]),
+        ("(MIT AND BSD-3-Clause) for details and more", "bsd-3-clause,mit", ["mit bsd-3-clause and"]),
+        ("GPL-2.0 or later versions", "gpl-2.0", ["gpl-2.0"]),
+        ("GPL-2.0 or later", "gpl-2.0,later", ["gpl-2.0 later or"]),
+        ("MIT AND", "mit", ["mit"]),
+        ("Custom terms apply", "custom", ["custom"]),
+        ("GPL-2.0 WITH Classpath-exception-2.0 */", "gpl-2.0", ["gpl-2.0 classpath-exception-2.0 with"]),
+        ("(MIT", "", []),
+        ("? MIT", "", []),
+        ("", "", []),
+    ],
+)
+def test_tags_in_running_text(line, labels, expressions):
+    found = licences.scan_one(f"SPDX-License-Identifier: {line}".encode(), licences.automaton())
+    assert (found[5], found[6]) == (labels, expressions)
+
+
+def test_many_places_take_time_in_proportion():
+    find = licences.automaton()
+
+    def seconds(n):
+        start = time.perf_counter()
+        found = licences.scan_one(b"cc by all rights reserved " * n, find)
+        assert (found[1], found[2], found[3]) == (2 * n, 0, 5 * n - 3)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(80_000) < 16 * seconds(20_000)
