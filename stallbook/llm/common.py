@@ -22,11 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Whole texts are long rows: with Spark's usual 10,000 of them in a batch,
     a task would hold several copies of some tens of MB, or much more where texts
     are longer. Called by the registered queries and pipeline stages."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "250")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def word_list(raw: bytes | None, word_bytes: bytes = WORD_BYTES) -> list[bytes]:

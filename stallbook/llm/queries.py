@@ -137,6 +137,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark, 250)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).drop("text", "spans")
 
@@ -207,6 +208,7 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark, 250)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return alignment.align(docs).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
