@@ -61,7 +61,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def in_small_batches(stage: Stage) -> Stage:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        small_batches(spark)
+        # five stages share the Python workers, so each gets by with little
+        small_batches(spark, 250)
         return stage(spark, docs, sf_dir)
 
     return run_stage
