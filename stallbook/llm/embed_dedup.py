@@ -112,9 +112,11 @@ def near_duplicates(
 
     Null, empty or zero vectors, vectors with null or non-finite components,
     and rows with a null label link with nothing: n_links 0, a component of
-    their own, kept. Rows without an id likewise, with a null component and
-    kept null. Repeated rows are copies of each other. An empty table stays
-    empty; further columns are left out.
+    their own, kept. A row without an id is linked like any other and counts for
+    its partners; it is no one's component and not kept, and where no vector of a
+    component has an id, both are null. Different vectors may have the same id.
+    Repeated rows are copies of each other. An empty table stays empty; further
+    columns are left out.
     """
     spark = vectors.sparkSession
     rows = vectors.select(
@@ -124,8 +126,7 @@ def near_duplicates(
     )
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = (
-        F.col("id").isNotNull()
-        & F.col("label").isNotNull()
+        F.col("label").isNotNull()
         & F.coalesce(F.size("x") > 0, F.lit(False))
         & F.coalesce(finite & F.exists("x", lambda v: v != 0), F.lit(False))
     )
@@ -135,8 +136,9 @@ def near_duplicates(
     distinct = share(
         keyed.where("key is not null")
         .groupBy("key")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("g").alias("g"),
+        .agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.first("g").alias("g"),
              F.first("x").alias("x"))
+        .withColumn("rep", F.unhex("key"))
     )
 
     # Centres for each length of vector (one, in a sound table).
@@ -179,7 +181,8 @@ def near_duplicates(
                     names=[*out.schema.names, "x", "cell", "guest"],
                 )
 
-    id_type = rows.schema["id"].dataType.simpleString()
+    # vectors are told apart by their digest: ids may be missing or come twice
+    id_type = "binary"
     assigned = share(
         distinct.select("rep", "copies", "g", "x").mapInArrow(
             assign,
@@ -254,17 +257,20 @@ def near_duplicates(
     links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     groups = components(found.where("b is not null").select("a", "b"))
     by_key = (
-        distinct.select("key", "rep", "copies")
+        distinct.select("key", "rep", "copies", "least")
         .join(links, "rep", "left")
         .join(groups.withColumnRenamed("id", "rep"), "rep", "left")
         .select(
             "key",
+            "least",
             (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "rep").alias("component"),
+            F.coalesce("component", "rep").alias("root"),
         )
     )
+    smallest = by_key.groupBy("root").agg(F.min("least").alias("component"))
+    by_key = by_key.join(smallest, "root").select("key", "n_links", "component")
     out = keyed.select("id", "key").join(by_key, "key", "left")
-    component = F.coalesce("component", "id")
+    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(
         F.col("id").alias(vec_id),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

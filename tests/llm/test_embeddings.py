@@ -73,10 +73,19 @@ def test_repeated_rows_and_missing_ids(spark):
     df = spark.createDataFrame([(1, x, 1), (1, x, 1), (None, x, 1), (4, x, 1)], SCHEMA)
     got = sorted(((r.vec_id or 0), r.n_links, r.component_id, r.kept) for r in
                  embed_dedup.near_duplicates(df).collect())
-    assert got == [(0, 0, None, None), (1, 2, 1, True), (1, 2, 1, True), (4, 2, 1, False)]
+    assert got == [(0, 3, 1, None), (1, 3, 1, True), (1, 3, 1, True), (4, 3, 1, False)]
+    alone = spark.createDataFrame([(None, x, 1), (None, [1.0, 2.1], 1), (2, [2.0, -1.0], 1)], SCHEMA)
+    got = {r.vec_id: tuple(r)[1:] for r in embed_dedup.near_duplicates(alone).collect()}
+    assert got == {None: (1, None, None), 2: (0, 2, True)}
     assert embed_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_one_id_on_two_vectors(spark):
+    rows = [(7, [1.0, 0.0], 1), (7, [0.0, 1.0], 1), (3, [1.0, 0.01], 1), (9, [0.01, 1.0], 1)]
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(tuple(r) for r in got) == [(3, 1, 3, True), (7, 1, 3, False), (7, 1, 7, True), (9, 1, 7, False)]
+
+
 def test_a_chain_is_one_component(spark):
     turn = np.arccos(0.95)
     rows = [(i, [float(np.cos(i * turn)), float(np.sin(i * turn))], 1) for i in range(12)]
