@@ -13,7 +13,7 @@ from stallbook.checks.registry import query
 from stallbook.checks.sql import dbl, doubles, even, ratio, rnd, sql
 from stallbook.functions import dates, numbers, rules, text
 from stallbook.functions.numbers import exact_sum
-from stallbook.operators import rows
+from stallbook.operators import layouts, rows
 from stallbook.operators.shared import scratch
 from stallbook.operators.windows import add_ranks
 from stallbook.plans import cleaning
@@ -556,3 +556,38 @@ def inferred_load(spark: SparkSession, d: str) -> DataFrame:
     for df in (lines.limit(10), lines):
         writers.load_report(df, path)
     return spark.read.parquet(path)
+
+
+# --- date layouts ----------------------------------------------------------
+
+FILE_LAYOUTS = ("d/M/yyyy", "M/d/yyyy", "yyyy-M-d")
+
+
+@query(f"""
+with c as (
+  select cast(o_orderkey % 3 as integer) as file, cast(o_orderdate as date) as d,
+    o_orderkey % 97 = 0 as junk
+  from orders)
+select file, [{", ".join(f"'{f}[ H:mm[:ss]]'" for f in FILE_LAYOUTS)}][file + 1] as layout,
+  count(*) as cells, count(*) filter (not junk) as read, count(*) filter (junk) as dropped,
+  count(*) filter (not junk and file < 2 and day(d) <= 12 and day(d) <> month(d)) as ambiguous,
+  min(d) filter (not junk) as first_day, max(d) filter (not junk) as last_day,
+  cast(sum(case when not junk then datediff('day', date '1970-01-01', d) end) as bigint) as days
+from c group by file""")
+def date_layouts_found(spark: SparkSession, d: str) -> DataFrame:
+    """Order dates as three files print them, some cells unreadable: the layout
+    found for each file, what it drops, and the dates read with it."""
+    file = (F.col("o_orderkey") % 3).cast("int")
+    printed = F.coalesce(
+        *[F.when(file == i, F.date_format("o_orderdate", f)) for i, f in enumerate(FILE_LAYOUTS)]
+    )
+    cells = b.table(spark, d, "orders").select(
+        file.alias("file"), F.when(F.col("o_orderkey") % 97 == 0, "n.a.").otherwise(printed).alias("day")
+    )
+    found = layouts.find_layouts(cells, "file", "day")
+    read = layouts.parse_found(cells, "file", "day", found).groupBy("file").agg(
+        F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"),
+        F.sum(F.unix_date("day")).cast("long").alias("days"),
+    )
+    return found.join(read, "file")

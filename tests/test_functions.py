@@ -238,3 +238,27 @@ def test_ratio_never_yields_infinity(frame):
     df = frame("a double, b double", {"a": 1.0, "b": 0.0})
     out = values(df.select(numbers.safe_ratio(F.col("a"), F.col("b")).alias("out")))[0]
     assert out is None or not math.isinf(out)
+
+
+def test_layouts_are_found_for_each_file(spark):
+    from stallbook.operators import layouts
+
+    cells = {
+        "day": ["03/04/2026", "25/04/2026 10:15", "04/04/2026", " ", None, "x"],
+        "month": ["03/04/2026", "04/25/2026"],
+        "open": ["03-04-2026", "05-06-2026"],
+        "iso": ["2026-04-03", "2026-12-31 23:59:59"],
+        "none": ["soon"],
+    }
+    rows = [(f, c) for f, cs in cells.items() for c in cs] + [(None, "01/02/2026")]
+    df = spark.createDataFrame(rows, "file string, day string")
+    found = {r.file: (r.layout and r.layout[:8], r.cells, r.read, r.dropped, r.ambiguous) for r in layouts.find_layouts(df, "file", "day").collect()}
+    assert found == {
+        "day": ("d/M/yyyy", 4, 3, 1, 1), "month": ("M/d/yyyy", 2, 2, 0, 1),
+        "open": ("d-M-yyyy", 2, 2, 0, 2), "iso": ("yyyy-M-d", 2, 2, 0, 0), "none": (None, 1, 0, 1, 0),
+        None: ("d/M/yyyy", 1, 1, 0, 1),
+    }
+    read = layouts.parse_found(df, "file", "day").where("file = 'month'").collect()
+    assert sorted(str(r.day) for r in read) == ["2026-03-04", "2026-04-25"]
+    assert layouts.parse_found(df, "file", "day").count() == len(rows)
+    assert layouts.find_layouts(df.where("false"), "file", "day").count() == 0
