@@ -215,13 +215,32 @@ def headers(spark: SparkSession, path: str | list[str], row: int = 1) -> dict[st
         return dict(pool.map(cells, paths))
 
 
+#: Orders of columns that are told apart in the row; more are joined.
+LAYOUTS = 16
+
+
 def by_names(
     spark: SparkSession, df: DataFrame, cells: list[str], places: Mapping[str, list[int]], names: list[str]
 ) -> DataFrame:
     """Columns ``names`` out of the text columns ``cells``, whose order is told by
-    each row's ``file_path``: ``places`` has one short list for each file."""
+    each row's ``file_path``: ``places`` has one short list for each file. Files
+    mostly share a few orders, and then no row has to be joined."""
+    kept = [c for c in df.columns if c not in cells]
+    layouts: dict[tuple[int, ...], list[str]] = {}
+    for file, found in places.items():
+        layouts.setdefault(tuple(found), []).append(file)
+    if layouts and len(layouts) <= LAYOUTS:
+        (usual, _), *others = sorted(layouts.items(), key=lambda x: -len(x[1]))
+
+        def cell(i: int) -> Column:
+            c = F.col(cells[usual[i] - 1])
+            for found, of in others:
+                if found[i] != usual[i]:
+                    c = F.when(F.col("file_path").isin(of), F.col(cells[found[i] - 1])).otherwise(c)
+            return c
+
+        return df.select(*[cell(i).alias(n) for i, n in enumerate(names)], *kept)
     table = spark.createDataFrame(list(places.items()), "file_path string, _places array<int>")
     row = F.array(*[F.col(c) for c in cells])
     taken = [F.element_at(row, F.col("_places")[i]).alias(n) for i, n in enumerate(names)]
-    kept = [c for c in df.columns if c not in cells]
     return df.join(table, "file_path").select(*taken, *kept)

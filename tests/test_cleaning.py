@@ -450,3 +450,14 @@ def test_reports_of_stock_share_their_totals(spark, monkeypatch):
     monkeypatch.setattr(checks.b, "movement_totals", lambda *a: made.append(1) or totals(*a))
     checks.report_stock_scan(spark, "/root/testdata/sf0.001")
     assert len(made) == 1
+
+
+@pytest.mark.parametrize("most", [16, 1])
+def test_orders_of_columns_without_a_join(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(records, "LAYOUTS", most)
+    for f, head in (("a", "K,Company Name,N"), ("b b", "K,Company Name,N"), ("c%", "N,K,Company Name")):
+        row = {"K": f"k{f}", "Company Name": f"n{f}", "N": f"{len(f)}"}
+        (tmp_path / f"{f}.csv").write_text(head + "\n" + ",".join(row[h] for h in head.split(",")) + "\n")
+    df = readers.read_report(spark, str(tmp_path), ["n", "company_name", "k"], header_row=1)
+    assert _rows(df) == sorted((str(len(f)), f"n{f}", f"k{f}") for f in ("a", "b b", "c%"))
+    assert ("Join" in df._jdf.queryExecution().executedPlan().toString()) == (most == 1)
