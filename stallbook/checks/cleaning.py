@@ -113,11 +113,14 @@ def clean_stock_movement(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.clean_stock_movement(b.movement_file(spark, d), CFG)
 
 
-@query(sql(f"""
+CLEAN_BALANCE = f"""
 select company_name, stock_no, item_description, upper(product) as product,
   upper(brand) as brand, style, shade, size, hsn_code, supplier_name, item_type, {doubles('cost_price retail_price')}, base_uom,
   {doubles('closing_qty closing_rate closing_value')}, margin_pct, retail_value, capital_locked
-from raw_stock_balance"""))
+from raw_stock_balance"""
+
+
+@query(sql(CLEAN_BALANCE))
 def clean_stock_balance(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.clean_stock_balance(b.balance_file(spark, d), CFG)
 
@@ -287,14 +290,25 @@ def csv_ledger_scan(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(sql("""
-select company_name, stock_no, item_description, hsn_code,
-  cast(closing_qty as double) as closing_qty from raw_stock_balance"""))
+@query(sql(f"""
+select * from (
+with items as ({CLEAN_BALANCE}), branches as (
+  select company_name, count(*) as items, count(distinct hsn_code) as codes,
+    cast(sum(closing_qty) as double) as pieces
+  from raw_stock_balance group by company_name)
+select * from items join branches using (company_name))"""))
 def csv_balance_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Write the stock file as CSV, scan it by position and clean it: every row with
+    all columns, and what its branch has of items, codes and pieces."""
     path = scratch(spark, "balance-csv")
     writers.write_clean(b.balance_file(spark, d), path, "csv")
     df = cleaning.clean_stock_balance(readers.read_csv(spark, path, BALANCE_FILE), CFG)
-    return df.select("company_name", "stock_no", "item_description", "hsn_code", "closing_qty")
+    branches = df.groupBy("company_name").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.count_distinct("hsn_code").alias("codes"),
+        F.sum("closing_qty").alias("pieces"),
+    )
+    return df.join(branches, "company_name")
 
 
 def _cell(name: str) -> Column:

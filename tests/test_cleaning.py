@@ -461,3 +461,17 @@ def test_orders_of_columns_without_a_join(spark, tmp_path, monkeypatch, most):
     df = readers.read_report(spark, str(tmp_path), ["n", "company_name", "k"], header_row=1)
     assert _rows(df) == sorted((str(len(f)), f"n{f}", f"k{f}") for f in ("a", "b b", "c%"))
     assert ("Join" in df._jdf.queryExecution().executedPlan().toString()) == (most == 1)
+
+
+def test_the_balance_scan_returns_whole_rows_and_branch_totals(spark):
+    df = checks.csv_balance_scan(spark, "/root/testdata/sf0.001")
+    whole = checks.clean_stock_balance(spark, "/root/testdata/sf0.001")
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, df.select(*whole.columns).collect()), key=key) == sorted(
+        map(tuple, whole.collect()), key=key
+    )
+    for name in {r.company_name for r in df.collect()}:
+        own = [r for r in df.collect() if r.company_name == name]
+        assert {(r["items"], r.codes, r.pieces) for r in own} == {
+            (len(own), len({r.hsn_code for r in own}), sum(r.closing_qty for r in own))
+        }
