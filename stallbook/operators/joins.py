@@ -8,11 +8,13 @@ splits skewed partitions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallbook.operators.rows import distinct_count
+
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left outer equi-join; a null key matches nothing."""
@@ -32,9 +34,32 @@ def pair_join(left: DataFrame, right: DataFrame, equal: Column, residual: Column
     return left.join(right, on=equal & residual, how="inner")
 
 
-def match_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Two summaries of the same groups side by side; null keys are groups too."""
-    a, b = left.alias("a"), right.alias("b")
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    added = [F.col(f"b.{c}") for c in right.columns if c not in keys]
-    return a.join(b, same).select("a.*", *added)
+#: Which keys of a group are null, a bit for each.
+NULLS = "_nulls"
+
+
+def groups_with_counts(
+    df: DataFrame, keys: Sequence[str], sums: Sequence[Column], counts: Mapping[str, str]
+) -> DataFrame:
+    """Aggregates by ``keys`` and ``name: count(distinct column)`` beside them; null
+    keys are groups too.
+
+    Null keys are marked and replaced before grouping, so that the summaries meet
+    on plain equality where their aggregates have already brought them: a null-safe
+    join would shuffle each of them once more."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def filler(k: str) -> Column:
+        kind = kinds[k].simpleString()
+        return F.lit("1970-01-01" if kind in ("date", "timestamp") else "0").cast(kind)
+
+    mark = sum((F.when(F.col(k).isNull(), 2**i).otherwise(0) for i, k in enumerate(keys)), F.lit(0))
+    marked = df.withColumns({k: F.coalesce(F.col(k), filler(k)) for k in keys} | {NULLS: mark})
+    marked_keys = [*keys, NULLS]
+    out = marked.groupBy(*marked_keys).agg(*sums)
+    for name, column in counts.items():
+        out = out.join(distinct_count(marked, marked_keys, column, name), marked_keys)
+    own = {
+        k: F.when(F.col(NULLS).bitwiseAND(F.lit(2**i)) == 0, F.col(k)) for i, k in enumerate(keys)
+    }
+    return out.withColumns(own).drop(NULLS)

@@ -19,11 +19,15 @@ from stallbook.functions.numbers import (
     sum_if,
     where,
 )
-from stallbook.operators.joins import left_join, match_groups, pair_join
-from stallbook.operators.rows import distinct_count
+from stallbook.operators.joins import groups_with_counts, left_join, pair_join
 from stallbook.operators.windows import add_ranks
 
 ITEM = ("company_name", "stock_no", "item_description", "product", "brand")
+#: Columns of a bill line that the velocity reads.
+VELOCITY_LINE = (
+    *ITEM, "voucher_no", "sale_date", "is_b2b", "sales_qty", "line_revenue", "full_mrp_value",
+    "discount_given",
+)
 
 
 def _item_sums() -> list[Column]:
@@ -48,24 +52,22 @@ def inventory_velocity(
     """How fast each item sells at each branch, from deduplicated bill lines.
 
     The grain includes description, product and brand: an SKU billed under two
-    descriptions has two rows. ``sales`` is read twice, once for its days, and
-    should be a stored result.
+    descriptions has two rows. ``sales`` is read three times, for its sums, days
+    and bills, and should be a stored result; ``VELOCITY_LINE`` is all it needs.
     """
-    per_item = sales.groupBy(*ITEM).agg(
-        *_item_sums(), F.count_distinct("voucher_no").alias("num_bills")
-    )
-    days = distinct_count(sales, ITEM, "sale_date", "days_with_sales")
-    return velocity_of(match_groups(per_item, days, ITEM), cfg, as_of)
+    counts = {"num_bills": "voucher_no", "days_with_sales": "sale_date"}
+    return velocity_of(groups_with_counts(sales, ITEM, _item_sums(), counts), cfg, as_of)
 
 
 def velocity_months(sales: DataFrame) -> DataFrame:
     """What :func:`inventory_velocity` needs of a month, per item: sums, first and
     last day, and the number of days, which add up over months. ``month`` is the
-    first of the month."""
-    dated = sales.withColumn("month", F.trunc("sale_date", "month"))
-    keys = [*ITEM, "month"]
-    days = distinct_count(dated, keys, "sale_date", "days_with_sales")
-    return match_groups(dated.groupBy(*keys).agg(*_item_sums()), days, keys)
+    first of the month. Its days are bits of a number, so they need no pairs and no
+    join."""
+    month = F.trunc("sale_date", "month").alias("month")
+    bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth("sale_date") - 1)
+    days = F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint")
+    return sales.groupBy(*ITEM, month).agg(*_item_sums(), days.alias("days_with_sales"))
 
 
 def bill_months(sales: DataFrame) -> DataFrame:
@@ -79,14 +81,25 @@ def velocity_from_months(
     months: DataFrame, bills: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
 ) -> DataFrame:
     """The same rows as :func:`inventory_velocity`, from the stored months."""
-    added = [c for c in months.columns if c not in (*ITEM, "month", "first_sale_date", "last_sale_date")]
-    per_item = months.groupBy(*ITEM).agg(
-        *[F.sum(c).cast(months.schema[c].dataType).alias(c) for c in added],
-        F.min("first_sale_date").alias("first_sale_date"),
-        F.max("last_sale_date").alias("last_sale_date"),
+    ends = {"first_sale_date": F.min, "last_sale_date": F.max}
+    kinds = {f.name: f.dataType for f in months.schema.fields if f.name != "month"}
+    # a row for each bill of an item stands beside its months: one aggregate takes both
+    pairs = bills.select(*ITEM, "voucher_no").distinct()
+    per_bill = pairs.select(*ITEM, F.when(F.col("voucher_no").isNotNull(), 1).alias("num_bills"))
+    per_item = (
+        months.drop("month")
+        .unionByName(per_bill, allowMissingColumns=True)
+        .groupBy(*ITEM)
+        .agg(
+            *[
+                ends.get(c, F.sum)(c).cast(kind).alias(c)
+                for c, kind in kinds.items()
+                if c not in ITEM
+            ],
+            F.count("num_bills").alias("num_bills"),
+        )
     )
-    num_bills = distinct_count(bills, ITEM, "voucher_no", "num_bills")
-    return velocity_of(match_groups(per_item, num_bills, ITEM), cfg, as_of)
+    return velocity_of(per_item, cfg, as_of)
 
 
 def velocity_of(per_item: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None) -> DataFrame:
@@ -185,10 +198,10 @@ def product_summary(sales: DataFrame, purchases: DataFrame) -> DataFrame:
     a second distinct count in one aggregate would copy every bill line."""
     keys = ["product", "brand", "company_name"]
     line_price = safe_ratio(F.col("line_revenue"), F.col("sales_qty"), digits=2)
-    sold = (
-        sales.withColumn("line_price", line_price)
-        .groupBy(*keys)
-        .agg(
+    sold = groups_with_counts(
+        sales.withColumn("line_price", line_price),
+        keys,
+        [
             F.sum("sales_qty").alias("units_sold"),
             exact_sum(F.col("line_revenue")).alias("total_revenue"),
             exact_sum(F.col("full_mrp_value")).alias("total_mrp_value"),
@@ -199,9 +212,9 @@ def product_summary(sales: DataFrame, purchases: DataFrame) -> DataFrame:
             F.count_distinct("voucher_no").alias("num_transactions"),
             F.min("sale_date").alias("first_sale"),
             F.max("sale_date").alias("last_sale"),
-        )
+        ],
+        {"active_selling_days": "sale_date"},
     )
-    sold = match_groups(sold, distinct_count(sales, keys, "sale_date", "active_selling_days"), keys)
     bought = purchases.groupBy(*keys).agg(
         F.sum("purchase_qty").alias("units_purchased"),
         mean(F.col("item_rate"), 2).alias("avg_cost_price"),

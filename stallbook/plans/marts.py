@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from stallbook.config import RetailConfig
 from stallbook.functions import dates, rules
 from stallbook.functions.numbers import exact_sum, max_if, mean, safe_ratio
-from stallbook.operators.joins import left_join, match_groups
-from stallbook.operators.rows import distinct_count
+from stallbook.operators.joins import groups_with_counts, left_join
 from stallbook.operators.windows import (
     add_ranks,
     lag_days,
@@ -278,10 +277,10 @@ def supplier_analysis(
     keys = ["supplier_name", "brand", "product"]
     named = purchases.filter(F.col("supplier_name").isNotNull())
     first, last = F.min("voucher_date"), F.max("voucher_date")
-    out = (
-        named.withColumn("_margin", _line_margin())
-        .groupBy(*keys)
-        .agg(
+    out = groups_with_counts(
+        named.withColumn("_margin", _line_margin()),
+        keys,
+        [
             F.sum("purchase_qty").alias("total_units_purchased"),
             F.round(exact_sum(F.col("item_net_amount")), 2).alias("total_purchase_value"),
             mean(F.col("item_net_amount"), 2).alias("avg_order_value"),
@@ -293,11 +292,9 @@ def supplier_analysis(
             first.alias("first_purchase_date"),
             last.alias("last_purchase_date"),
             dates.month_diff(last, first).alias("relationship_months"),
-        )
+        ],
+        {"total_purchase_orders": "voucher_no", "unique_items_supplied": "stock_no"},
     )
-    counts = {"total_purchase_orders": "voucher_no", "unique_items_supplied": "stock_no"}
-    for name, column in counts.items():
-        out = match_groups(out, distinct_count(named, keys, column, name), keys)
     out = add_ranks(
         out,
         {

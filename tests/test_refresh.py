@@ -103,3 +103,57 @@ def test_sketches_are_within_their_error(spark, n):
     assert abs(about - n) <= sketches.relative_error() * n
     empty = sketches.sketched(rows, ["part"], "none", "s")
     assert sketches.merged_count(empty, [], "s", "n").first().n == 0
+
+
+def test_counts_beside_sums_meet_without_another_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from stallbook.operators.joins import groups_with_counts
+
+    data = [("a", None, 1, "x"), ("a", None, 2, "x"), ("a", "", 3, "y"), (None, "0", 4, None), ("0", "0", 5, "z")]
+    df = spark.createDataFrame(data, "k string, l string, n long, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = groups_with_counts(df, ["k", "l"], [F.sum("n").alias("n")], {"vs": "v", "ns": "n"})
+        # sums, and both counts from pairs: five shuffles, none for the joins
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 5
+        assert out.columns == ["k", "l", "n", "vs", "ns"]
+        assert sorted(map(str, map(tuple, out.collect()))) == sorted(
+            map(str, [("a", None, 3, 1, 2), ("a", "", 3, 1, 1), (None, "0", 4, 0, 1), ("0", "0", 5, 1, 1)])
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_days_of_a_month_need_no_pairs(spark):
+    import datetime as dt
+
+    from stallbook.plans import intermediate
+
+    days = [dt.date(2026, 1, 1), dt.date(2026, 1, 31), dt.date(2026, 1, 31), dt.date(2026, 2, 28), None]
+    line = ("A", "s", None, "p", "b")
+    data = [(*line, f"v{i}", day, i % 2 == 0, 1, 1.0, 1.0, 0.0) for i, day in enumerate(days)]
+    schema = (
+        "company_name string, stock_no string, item_description string, product string, brand string, "
+        "voucher_no string, sale_date date, is_b2b boolean, sales_qty long, line_revenue double, "
+        "full_mrp_value double, discount_given double"
+    )
+    df = spark.createDataFrame(data, schema)
+    assert df.columns == list(intermediate.VELOCITY_LINE)
+    months = intermediate.velocity_months(df)
+    plan = months._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    found = {r.month: r.days_with_sales for r in months.collect()}
+    assert found == {dt.date(2026, 1, 1): 2, dt.date(2026, 2, 1): 1, None: 0}
+    whole = intermediate.inventory_velocity(df, checked_cfg(), "2026-04-30").collect()
+    parts = intermediate.velocity_from_months(
+        months, intermediate.bill_months(df), checked_cfg(), "2026-04-30"
+    )
+    assert [r.asDict() for r in parts.select(*whole[0].asDict()).collect()] == [r.asDict() for r in whole]
+    assert (whole[0].num_bills, whole[0].days_with_sales) == (5, 3)
+
+
+def checked_cfg():
+    from stallbook import RetailConfig
+
+    return RetailConfig()
