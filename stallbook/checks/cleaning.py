@@ -474,7 +474,7 @@ def catalog_table(spark: SparkSession, d: str) -> DataFrame:
     name = f"check_{folder[-12:]}"
     for _ in range(2):
         writers.ensure_namespace(spark, name, folder)
-        lines = stg_sales(b.raw_sales(spark, d), CFG).select(
+        lines = stg_sales(share(b.raw_sales(spark, d)), CFG).select(
             "company_name", "stock_no", "sale_date", "line_revenue"
         )
         writers.load_table(lines, f"{name}.sales", bucket_by=(8, ["stock_no"]))

@@ -30,6 +30,36 @@ def dedup_latest(
     return df.withColumn("_rn", first).filter(F.col("_rn") == 1).drop("_rn", "_tie")
 
 
+#: Keys that occur more than once which are looked up (4 MB, so that they are broadcast).
+MOST_REPEATED = 500_000
+
+
+def dedup_stored(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    tiebreak: Sequence[str] = (),
+    most: int = MOST_REPEATED,
+) -> DataFrame:
+    """:func:`dedup_latest` for stored rows whose keys seldom come twice. Hashes of
+    the keys are counted first; rows whose hash occurs once stay where they are, and
+    only the others are shuffled and compared, by their keys. With more than
+    ``most`` repeated hashes all rows are. ``df`` is read twice.
+    """
+    hashed = df.withColumn("_code", F.xxhash64(*keys))
+    repeated = share(
+        hashed.groupBy("_code").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_code")
+    )
+    n = repeated.count()
+    if n == 0:
+        return df
+    if n > most:
+        return dedup_latest(df, keys, order, tiebreak)
+    once = hashed.join(repeated, "_code", "left_anti").drop("_code")
+    again = hashed.join(repeated, "_code", "left_semi").drop("_code")
+    return once.unionByName(dedup_latest(again, keys, order, tiebreak))
+
+
 def add_ranks(df: DataFrame, ranks: Mapping[str, tuple[Sequence[str], str]]) -> DataFrame:
     """Add ``rank() over (partition by part order by col desc nulls last)`` for
     each ``name: (part, col)``; an empty ``part`` ranks the whole result.

@@ -25,7 +25,8 @@ MARTS = (
 
 
 def build_staging(tables: Mapping[str, DataFrame], cfg: RetailConfig) -> dict[str, DataFrame]:
-    """Staging models of those raw tables that are given; all lazy."""
+    """Staging models of those raw tables that are given; lazy, but for the search
+    for repeated bill lines."""
     models: dict[str, tuple[str, Callable[[DataFrame, RetailConfig], DataFrame]]] = {
         "stg_sales": ("sales", staging.stg_sales),
         "stg_sales_returns": ("sales_returns", staging.stg_sales_returns),

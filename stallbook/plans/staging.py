@@ -9,7 +9,7 @@ from stallbook.config import RetailConfig
 from stallbook.functions import rules
 from stallbook.functions.numbers import exact_sum, mean
 from stallbook.operators.joins import anti_join
-from stallbook.operators.windows import dedup_latest
+from stallbook.operators.windows import dedup_stored
 
 SALES_COLUMNS = (
     "company_name voucher_type sale_date voucher_no customer_ref stock_no "
@@ -85,16 +85,17 @@ def _project(
 
 def latest_sale(lines: DataFrame) -> DataFrame:
     """One bill line per (branch, bill, SKU, date): the one with the highest
-    revenue."""
+    revenue. ``lines`` are read twice and should be stored."""
     order = [
         F.col(c).desc_nulls_last() for c in ("line_revenue", "sales_qty", "full_mrp_value")
     ]
-    return dedup_latest(lines, SALES_KEYS, order, SALES_TIEBREAK)
+    return dedup_stored(lines, SALES_KEYS, order, SALES_TIEBREAK)
 
 
 def stg_sales(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
     """Bill lines without repetition. Aliases are applied before, so an old and
-    a new branch name meet."""
+    a new branch name meet. Looks for repeated keys at once, and reads ``raw``
+    twice: pass a stored table."""
     money = _money("line_revenue", "full_mrp_value", "discount_given")
     return latest_sale(_project(raw, SALES_COLUMNS, cfg, **money))
 

@@ -1,11 +1,12 @@
 import random
 from pathlib import Path
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stallbook.operators import windows
-from stallbook.operators.shared import shared_root
+from stallbook.operators.shared import share, shared_root
 
 
 def ranked(spark, n=4000, seed=7):
@@ -94,6 +95,27 @@ def test_dedup_does_not_depend_on_partitions(spark):
     assert len(rows) == 50 and all(r[1] == 6.0 for r in rows)
 
 
+@pytest.mark.parametrize("most", [100, 1])
+def test_stored_rows_are_shuffled_only_if_their_key_repeats(spark, most):
+    """Two keys come twice, null keys three times; the other rows stay in place."""
+    ids = spark.range(200).select(
+        F.when(F.col("id") < 3, None).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"),
+        F.col("id").cast("double").alias("v"),
+    )
+    twice = ids.where("v in (50, 60)").withColumn("v", F.col("v") + 1000)
+    df = share(ids.unionByName(twice))
+    order = [F.col("v").desc_nulls_last()]
+    out = windows.dedup_stored(df, ["k"], order, ["v"], most=most)
+    want = windows.dedup_latest(df, ["k"], order, ["v"])
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert out.where("k is null").first().v == 2.0 and out.count() == 198
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("LeftAnti" in plan) == (most == 100)
+    alone = share(ids.where("v > 2"))
+    assert "Exchange" not in windows.dedup_stored(alone, ["k"], order)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dedup_limits_each_key_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 5).alias("k"), F.col("id").alias("v"))
     plan = windows.dedup_latest(df, ["k"], [F.col("v").desc()])._jdf.queryExecution()
