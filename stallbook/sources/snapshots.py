@@ -29,6 +29,8 @@ from stallbook.sources import files
 MONTH = "_month"
 #: Key and folder of rows without a date.
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+#: False for rows that lie together by month already, if a frame to write has it.
+FRESH = "_fresh"
 
 
 @dataclasses.dataclass(frozen=True)
@@ -101,21 +103,23 @@ def write(
 ) -> Snapshot:
     """Replace the months that ``df`` has rows of, and those named in ``replaced``
     (which may have none any more), and keep all others of ``base``. A month much
-    larger than others is split over tasks, small ones share one."""
+    larger than others is split over tasks, small ones share one. Rows that are not
+    ``FRESH`` are written by the tasks that read them."""
     spark = df.sparkSession
     version = base.version + 1 if base else 0
     folder = f"{_name(version)}-{uuid.uuid4().hex[:12]}"
-    (
-        df.withColumn(MONTH, month_of(day))
-        .hint("rebalance", MONTH)
-        .write.partitionBy(MONTH)
-        .parquet(f"{root}/data/{folder}")
-    )
+    rows = df.withColumn(MONTH, month_of(day))
+    if FRESH in df.columns:
+        there, fresh = rows.where(~F.col(FRESH)), rows.where(FRESH).hint("rebalance", MONTH)
+        rows = there.unionByName(fresh).drop(FRESH)
+    else:
+        rows = rows.hint("rebalance", MONTH)
+    rows.write.partitionBy(MONTH).parquet(f"{root}/data/{folder}")
     written = [n.split("=", 1)[1] for n in files.names(spark, f"{root}/data/{folder}") if "=" in n]
     gone = set(replaced)
     months = {m: f for m, f in (base.months if base else {}).items() if m not in gone}
     months |= dict.fromkeys(written, folder)
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema if f.name != FRESH])
     state = Snapshot(version, months, schema, source or {})
     files.write_small(spark, f"{root}/commits/{_name(version)}", state.text())
     return state

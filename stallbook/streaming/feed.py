@@ -1,8 +1,8 @@
 """Daily feed of branch totals, and bill-line deduplication, on file streams.
 
 Both keep a table of current rows by month (``sources.snapshots``). A batch is
-merged with the stored rows of the months that it touches, and only these are
-written anew, so late files count like others and reading needs no shuffle. Each
+merged with the stored rows of the months that it touches, and only these months
+are written anew, so late files count like others and reading needs no shuffle. Each
 batch is one commit: readers see all of it or nothing, and a driver or executor
 may die at any point.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stallbook.operators.shared import shared_results
 from stallbook.operators.windows import dedup_latest
 from stallbook.plans.staging import latest_sale
 from stallbook.sources import snapshots
@@ -23,9 +24,13 @@ from stallbook.sources import snapshots
 FILES_PER_BATCH = 64
 
 
-def _merge(batch: DataFrame, target: str, day: str, settle: Callable[[DataFrame], DataFrame]) -> None:
+def _merge(
+    batch: DataFrame, target: str, day: str, settle: Callable[[DataFrame], DataFrame],
+    in_place: bool = False,
+) -> None:
     """Settle the batch together with the stored rows of its months, and commit
-    these months.
+    these months. ``in_place``: only rows of the batch are brought together by month,
+    stored ones are, and go from their files to new ones without a shuffle.
 
     Until the commit the table is what it was, and what it was is not touched: a
     batch that died anywhere, also after its commit, is simply run again, since
@@ -37,19 +42,24 @@ def _merge(batch: DataFrame, target: str, day: str, settle: Callable[[DataFrame]
         return
     base = snapshots.current(spark, target)
     if base is not None:
-        batch = snapshots.read(spark, target, base, months).unionByName(batch)
-    snapshots.write(settle(batch), target, day, base)
+        stored = snapshots.read(spark, target, base, months)
+        if in_place:
+            stored = stored.withColumn(snapshots.FRESH, F.lit(False))
+            batch = batch.withColumn(snapshots.FRESH, F.lit(True))
+        batch = stored.unionByName(batch)
+    with shared_results(spark):
+        snapshots.write(settle(batch), target, day, base)
     snapshots.clean(spark, target)
 
 
 def _run(
     arrived: DataFrame, target: str, checkpoint: str, day: str,
-    settle: Callable[[DataFrame], DataFrame],
+    settle: Callable[[DataFrame], DataFrame], in_place: bool = False,
 ) -> None:
     """Work off every file that has arrived since the last run, then stop."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        _merge(batch, target, day, settle)
+        _merge(batch, target, day, settle, in_place)
 
     query = (
         arrived.writeStream.foreachBatch(merge)
@@ -125,9 +135,10 @@ def run_stream_dedup(
 ) -> None:
     """Keep one line per bill, item and day of all bill-line files that arrive,
     in any order: the one that the staging model keeps. ``settle`` may be any
-    choice of rows by keys that determine the month of ``time_col``."""
+    choice of rows by keys that determine the month of ``time_col``, which keeps a
+    column of another name; it is planned twice, for stored and for new rows."""
     arrived = _files(spark, source, schema, fmt, max_files_per_batch)
-    _run(arrived, target, checkpoint, time_col, settle)
+    _run(arrived, target, checkpoint, time_col, settle, in_place=True)
 
 
 def read_stream_dedup(spark: SparkSession, target: str) -> DataFrame:

@@ -150,3 +150,42 @@ def test_readers_keep_the_state_that_they_began_on(spark, frame, tmp_path):
     assert snapshots.read(spark, root, months=["2025-01"]).count() == 0
     with pytest.raises(ValueError, match="nothing was committed"):
         snapshots.read(spark, str(tmp_path / "none"))
+
+
+def test_stored_rows_stay_in_place_and_new_ones_replace_them(spark, tmp_path):
+    """Bills come again in later batches with more revenue; the tables of all states
+    have neither marks nor repeated bills, and a month that gets no rows keeps its folder."""
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def lines(ids, revenue):
+        return spark.range(*ids).select(
+            F.col("id").alias("bill"),
+            F.expr("date_add(date'2026-01-01', cast(id as int))").alias("sale_date"),
+            (F.col("id") + revenue).cast("double").alias("line_revenue"),
+        )
+
+    def best(df):
+        return windows.dedup_stored(df, ["bill"], [F.col("line_revenue").desc()])
+
+    folders = []
+    for ids, revenue in (((0, 80), 100), ((20, 50), 200), ((40, 60), 50)):
+        df = lines(ids, revenue)
+        df.coalesce(1).write.mode("append").parquet(source)
+        feed.run_stream_dedup(spark, source, target, state, df.schema, settle=best)
+        folders.append(snapshots.current(spark, target).months)
+    out = feed.read_stream_dedup(spark, target)
+    assert out.columns == df.columns
+    want = [(i, i + (200.0 if 20 <= i < 50 else 100.0)) for i in range(80)]
+    assert sorted((r.bill, r.line_revenue) for r in out.collect()) == want
+    assert folders[0]["2026-03"] == folders[1]["2026-03"] and folders[0]["2026-01"] != folders[1]["2026-01"]
+
+
+def test_marked_rows_are_all_written_without_their_mark(spark, frame, tmp_path):
+    root = str(tmp_path / "t")
+    state = snapshots.write(_days(frame, 1, 1).union(_days(frame, 2, 1)), root, "voucher_date", None)
+    stored = snapshots.read(spark, root, state).withColumn("_fresh", F.lit(False))
+    both = stored.unionByName(_days(frame, 2, 3).withColumn("_fresh", F.lit(True)))
+    made = snapshots.write(both, root, "voucher_date", state)
+    assert "_fresh" not in made.schema.fieldNames() and set(made.months) == {"2026-01", "2026-02"}
+    rows = snapshots.read(spark, root, made).collect()
+    assert sorted((r.voucher_date.month, r.net_sales) for r in rows) == [(1, 1.0)] * 3 + [(2, 1.0)] * 3 + [(2, 3.0)] * 3
