@@ -9,6 +9,8 @@ Spark sees the file size of each and broadcasts it only while that is small.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,9 +97,16 @@ def raw_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    open_lines = raw_line(spark, sf_dir).filter(F.col("l_linestatus") == "O")
-    df = open_lines.select(
+def open_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that sales and returns are made of; stored, they are joined once."""
+    return raw_line(spark, sf_dir).filter(F.col("l_linestatus") == "O")
+
+
+def raw_sales(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
+) -> DataFrame:
+    lines = open_lines(spark, sf_dir) if lines is None else lines
+    df = lines.select(
         "company_name",
         F.when(F.col("is_b2b"), "B2B SALE").otherwise("SALES").alias("voucher_type"),
         F.col("txn_date").alias("sale_date"),
@@ -124,10 +133,11 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates.calendar(df, "sale_date", "sale_")
 
 
-def raw_sales_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = raw_line(spark, sf_dir).filter(
-        (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R")
-    )
+def raw_sales_returns(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
+) -> DataFrame:
+    lines = open_lines(spark, sf_dir) if lines is None else lines
+    lines = lines.filter(F.col("l_returnflag") == "R")
     value = _places(F.col("full_mrp_value") - F.col("discount_given"), 5)
     # the seventh line of an order returns one more than was sold
     returned = F.when(F.col("line_no") == 7, F.col("qty") + 1).otherwise(F.col("qty"))
@@ -502,14 +512,22 @@ def balance_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(
+    spark: SparkSession,
+    sf_dir: str,
+    store: Callable[[str, DataFrame], DataFrame] = lambda _, df: share(df),
+) -> dict[str, DataFrame]:
     """Every raw table by its catalog name. The ledger comes from its file; the
-    four stock tables come from one stored movement table."""
-    sales, bought = share(raw_sales(spark, sf_dir)), share(raw_purchase(spark, sf_dir))
+    four stock tables come from one stored movement table. Sales and purchases are
+    read for it again: ``store`` keeps them under their names and reads them back.
+    Sales and returns come from stored lines."""
+    lines = share(open_lines(spark, sf_dir))
+    sales = store("sales", raw_sales(spark, sf_dir, lines))
+    bought = store("purchase", raw_purchase(spark, sf_dir))
     totals = share(movement_totals(spark, sf_dir, sales, bought))
     return {
         "sales": sales,
-        "sales_returns": raw_sales_returns(spark, sf_dir),
+        "sales_returns": raw_sales_returns(spark, sf_dir, lines),
         "purchase": bought,
         "stock_movement": raw_stock_movement(spark, sf_dir, totals),
         "stock_balance": raw_stock_balance(spark, sf_dir, totals),

@@ -17,7 +17,7 @@ from stallbook.operators import layouts, rows
 from stallbook.operators.shared import scratch, share
 from stallbook.operators.windows import add_ranks
 from stallbook.plans import cleaning
-from stallbook.plans.staging import stg_dead_stock, stg_purchases, stg_sales, stg_stockouts
+from stallbook.plans.staging import stg_dead_stock, stg_purchases, stg_stored_sales, stg_stockouts
 from stallbook.schemas import (
     BALANCE_FILE,
     DEAD_STOCK_REPORT,
@@ -474,7 +474,7 @@ def catalog_table(spark: SparkSession, d: str) -> DataFrame:
     name = f"check_{folder[-12:]}"
     for _ in range(2):
         writers.ensure_namespace(spark, name, folder)
-        lines = stg_sales(share(b.raw_sales(spark, d)), CFG).select(
+        lines = stg_stored_sales(share(b.raw_sales(spark, d)), CFG).select(
             "company_name", "stock_no", "sale_date", "line_revenue"
         )
         writers.load_table(lines, f"{name}.sales", bucket_by=(8, ["stock_no"]))

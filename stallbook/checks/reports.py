@@ -13,7 +13,7 @@ from stallbook.checks.sql import doubles, ratio, sql
 from stallbook.operators.rows import as_double
 from stallbook.operators.shared import scratch, share
 from stallbook.plans import reporting
-from stallbook.plans.staging import stg_sales
+from stallbook.plans.staging import stg_stored_sales
 from stallbook.streaming import feed
 
 FEED_COLUMNS = ["company_name", "voucher_date", "net_sales", "total_expenses", "net_pnl"]
@@ -61,7 +61,7 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     feed.run_stream_dedup(
         spark, source, target, scratch(spark, "lines-state"), lines.schema, max_files_per_batch=2
     )
-    return stg_sales(feed.read_stream_dedup(spark, target), CFG)
+    return stg_stored_sales(feed.read_stream_dedup(spark, target), CFG)
 
 
 # --- KPI cards -------------------------------------------------------------

@@ -25,8 +25,7 @@ MARTS = (
 
 
 def build_staging(tables: Mapping[str, DataFrame], cfg: RetailConfig) -> dict[str, DataFrame]:
-    """Staging models of those raw tables that are given; lazy, but for the search
-    for repeated bill lines."""
+    """Staging models of those raw tables that are given; all lazy."""
     models: dict[str, tuple[str, Callable[[DataFrame, RetailConfig], DataFrame]]] = {
         "stg_sales": ("sales", staging.stg_sales),
         "stg_sales_returns": ("sales_returns", staging.stg_sales_returns),
@@ -50,10 +49,11 @@ def build_all(
     """All 20 models by name. Results that several models read are computed once
     and kept in the checkpoint folder: the deduplicated sales, the purchases, the item velocity,
     the product summary, the purchase months and the daily financials. Ranked
-    models store the values that they rank. All other models are lazy."""
+    models store the values that they rank. All other models are lazy. The sales are
+    read twice and should be a stored table."""
     cfg = cfg or RetailConfig()
     out = build_staging(tables, cfg)
-    sales = out["stg_sales"] = share(out["stg_sales"])
+    sales = out["stg_sales"] = share(staging.stg_stored_sales(tables["sales"], cfg))
     purchases = out["stg_purchases"] = share(out["stg_purchases"])
 
     out["stg_healthy_items"] = staging.healthy_items(

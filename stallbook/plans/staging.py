@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from stallbook.config import RetailConfig
 from stallbook.functions import rules
 from stallbook.functions.numbers import exact_sum, mean
 from stallbook.operators.joins import anti_join
-from stallbook.operators.windows import dedup_stored
+from stallbook.operators.windows import dedup_latest, dedup_stored
 
 SALES_COLUMNS = (
     "company_name voucher_type sale_date voucher_no customer_ref stock_no "
@@ -83,21 +85,36 @@ def _project(
     return df.select(*[made.get(c, F.col(c)).alias(c) for c in columns])
 
 
+def _highest_revenue() -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in ("line_revenue", "sales_qty", "full_mrp_value")]
+
+
 def latest_sale(lines: DataFrame) -> DataFrame:
     """One bill line per (branch, bill, SKU, date): the one with the highest
-    revenue. ``lines`` are read twice and should be stored."""
-    order = [
-        F.col(c).desc_nulls_last() for c in ("line_revenue", "sales_qty", "full_mrp_value")
-    ]
-    return dedup_stored(lines, SALES_KEYS, order, SALES_TIEBREAK)
+    revenue."""
+    return dedup_latest(lines, SALES_KEYS, _highest_revenue(), SALES_TIEBREAK)
+
 
+def latest_stored_sale(lines: DataFrame) -> DataFrame:
+    """:func:`latest_sale` for stored lines, which are read twice: looks for repeated
+    keys at once and moves only their lines."""
+    return dedup_stored(lines, SALES_KEYS, _highest_revenue(), SALES_TIEBREAK)
 
-def stg_sales(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
+
+def stg_sales(
+    raw: DataFrame,
+    cfg: RetailConfig,
+    settle: Callable[[DataFrame], DataFrame] = latest_sale,
+) -> DataFrame:
     """Bill lines without repetition. Aliases are applied before, so an old and
-    a new branch name meet. Looks for repeated keys at once, and reads ``raw``
-    twice: pass a stored table."""
+    a new branch name meet. For a stored table, ``settle`` may be
+    :func:`latest_stored_sale`."""
     money = _money("line_revenue", "full_mrp_value", "discount_given")
-    return latest_sale(_project(raw, SALES_COLUMNS, cfg, **money))
+    return settle(_project(raw, SALES_COLUMNS, cfg, **money))
+
+
+def stg_stored_sales(raw: DataFrame, cfg: RetailConfig) -> DataFrame:
+    return stg_sales(raw, cfg, latest_stored_sale)
 
 
 def stg_sales_returns(raw: DataFrame, cfg: RetailConfig) -> DataFrame:

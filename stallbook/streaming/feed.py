@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from stallbook.operators.shared import shared_results
 from stallbook.operators.windows import dedup_latest
-from stallbook.plans.staging import latest_sale
+from stallbook.plans.staging import latest_stored_sale
 from stallbook.sources import snapshots
 
 #: Files of one batch: a long backlog is worked off in several.
@@ -129,7 +129,7 @@ def run_stream_dedup(
     checkpoint: str,
     schema: T.StructType,
     time_col: str = "sale_date",
-    settle: Callable[[DataFrame], DataFrame] = latest_sale,
+    settle: Callable[[DataFrame], DataFrame] = latest_stored_sale,
     fmt: str = "parquet",
     max_files_per_batch: int = FILES_PER_BATCH,
 ) -> None:

@@ -233,3 +233,21 @@ def test_shared_results_can_be_cleared(spark):
     clear_shared(spark)
     with pytest.raises(Exception):
         spark.read.schema("id bigint").parquet(df.inputFiles()[0]).count()
+
+
+def test_raw_sales_are_written_once(spark, monkeypatch):
+    """The catalog's sales and purchases are the files that the other tables come from."""
+    shared = []
+    monkeypatch.setattr(binding, "share", lambda df: shared.append(df.columns) or share(df))
+    kept = {}
+
+    def store(name, df):
+        kept[name] = share(df)
+        return kept[name]
+
+    tables = binding.raw_tables(spark, SF_DIR, store)
+    assert set(kept) == {"sales", "purchase"} and all(tables[n] is kept[n] for n in kept)
+    assert len(shared) == 2  # open lines and movement totals
+    want = binding.raw_sales_returns(spark, SF_DIR)
+    got = tables["sales_returns"]
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
