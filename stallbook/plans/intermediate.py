@@ -194,8 +194,9 @@ def product_summary(sales: DataFrame, purchases: DataFrame) -> DataFrame:
     percentages are plain averages over lines. Where there was no purchase (or
     the brand is null) cost and margin are null.
 
-    The selling days are counted from (group, day) pairs, of which there are few:
-    a second distinct count in one aggregate would copy every bill line."""
+    Bills and selling days are counted from (group, bill) and (group, day) pairs: a
+    distinct count beside the sums would move these for every bill, and a second
+    one would copy every bill line."""
     keys = ["product", "brand", "company_name"]
     line_price = safe_ratio(F.col("line_revenue"), F.col("sales_qty"), digits=2)
     sold = groups_with_counts(
@@ -209,11 +210,10 @@ def product_summary(sales: DataFrame, purchases: DataFrame) -> DataFrame:
             mean(F.col("retail_price"), 2).alias("avg_retail_price"),
             mean(F.col("line_price"), 2).alias("avg_actual_selling_price"),
             mean(F.col("discount_pct"), 2).alias("avg_discount_pct"),
-            F.count_distinct("voucher_no").alias("num_transactions"),
             F.min("sale_date").alias("first_sale"),
             F.max("sale_date").alias("last_sale"),
         ],
-        {"active_selling_days": "sale_date"},
+        {"num_transactions": "voucher_no", "active_selling_days": "sale_date"},
     )
     bought = purchases.groupBy(*keys).agg(
         F.sum("purchase_qty").alias("units_purchased"),

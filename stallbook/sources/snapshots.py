@@ -114,7 +114,7 @@ def write(
         rows = there.unionByName(fresh).drop(FRESH)
     else:
         rows = rows.hint("rebalance", MONTH)
-    rows.write.partitionBy(MONTH).parquet(f"{root}/data/{folder}")
+    rows.write.option("compression", "zstd").partitionBy(MONTH).parquet(f"{root}/data/{folder}")
     written = [n.split("=", 1)[1] for n in files.names(spark, f"{root}/data/{folder}") if "=" in n]
     gone = set(replaced)
     months = {m: f for m, f in (base.months if base else {}).items() if m not in gone}

@@ -95,7 +95,7 @@ def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
             files.delete(spark, old)
         else:
             files.rename(spark, old, path)
-    writer = _laid_out(df, partition_by).write
+    writer = _laid_out(df, partition_by).write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:

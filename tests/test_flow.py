@@ -251,3 +251,16 @@ def test_raw_sales_are_written_once(spark, monkeypatch):
     want = binding.raw_sales_returns(spark, SF_DIR)
     got = tables["sales_returns"]
     assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_the_summary_moves_no_sums_for_every_bill(spark):
+    """Aggregates that are keyed by bill hold nothing but the bill."""
+    from stallbook.plans import intermediate
+
+    tables = binding.raw_tables(spark, SF_DIR)
+    staged = build.build_staging(tables, binding.CFG)
+    out = intermediate.product_summary(staged["stg_sales"], staged["stg_purchases"])
+    by_bill = [
+        line for line in plan(out).splitlines() if re.search(r"Aggregate\(keys=\[[^]]*voucher_no", line)
+    ]
+    assert by_bill and all("functions=[]" in line for line in by_bill)
