@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stallbook.checks import binding as b
 from stallbook.checks.binding import AS_OF, CFG
-from stallbook.checks.models import DAY_MONEY, NET_SALES, VELOCITY_MONEY, ledger, returns, sales
+from stallbook.checks.models import DAY_MONEY, NET_SALES, VELOCITY_MONEY, ledger, sales
 from stallbook.checks.registry import query
 from stallbook.checks.sql import doubles, sql
 from stallbook.operators import sketches
 from stallbook.operators.shared import scratch, share
 from stallbook.plans.refresh import Store
+from stallbook.plans.staging import stg_stored_sales, stg_sales_returns
 from stallbook.sources import snapshots
 
 
@@ -30,8 +32,10 @@ def in_two_commits(rows: DataFrame, root: str, day: str, refresh) -> list[str]:
     return refresh(root)
 
 
-def _refreshed_sales(spark: SparkSession, d: str, store: Store, *tables: str) -> DataFrame:
-    lines = share(sales(spark, d))
+def _refreshed_sales(
+    spark: SparkSession, d: str, store: Store, *tables: str, lines: DataFrame | None = None
+) -> DataFrame:
+    lines = sales(spark, d) if lines is None else lines
     in_two_commits(
         lines, scratch(spark, "sales-months"), "sale_date",
         lambda root: store.refresh_sales(root, tables),
@@ -49,8 +53,11 @@ def velocity_refreshed(spark: SparkSession, d: str) -> DataFrame:
 @query(sql(NET_SALES))
 def net_sales_refreshed(spark: SparkSession, d: str) -> DataFrame:
     store = Store(spark, scratch(spark, "store"))
-    _refreshed_sales(spark, d, store, "sold")
-    back = share(returns(spark, d))
+    open_lines = share(b.open_lines(spark, d))
+    _refreshed_sales(
+        spark, d, store, "sold", lines=stg_stored_sales(b.raw_sales(spark, d, open_lines), CFG)
+    )
+    back = stg_sales_returns(b.raw_sales_returns(spark, d, open_lines), CFG)
     in_two_commits(back, scratch(spark, "return-months"), "return_date", store.refresh_returns)
     return store.net_sales(CFG)
 
