@@ -309,6 +309,13 @@ def sized(members: DataFrame) -> DataFrame:
     return buckets.where("n > 1").groupBy("n", "x", "s").agg(F.min("path").alias("path"))
 
 
+def in_buckets(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The buckets to compare, and their members (set, path, n) with the bucket's
+    size, so that no later step joins members by path again."""
+    buckets = share(sized(members))
+    return buckets, share(members.join(buckets.select("path", "n"), "path"))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL
 ) -> DataFrame:
@@ -345,8 +352,7 @@ def near_duplicates(
         .agg(F.count("*").alias("copies"), first.alias("first"), F.first("paths").alias("paths"))
     )
     members = classes.select("set", F.explode("paths").alias("path"))
-    buckets = share(sized(members))
-    final = share(members.join(buckets.select("path"), "path"))
+    buckets, final = in_buckets(members)
 
     # Whole sets of those that share a bucket with another.
     candidates = classes.join(final.select("set").distinct(), "set", "left_semi").select(
@@ -381,7 +387,7 @@ def near_duplicates(
         large = buckets.where(F.col("n") > BUCKET).select("path", F.col("n").alias("size"))
         if large.isEmpty():
             break
-        children = share(split(final.join(large, "path"), sets))
+        children = share(split(final.where(F.col("n") > BUCKET), sets))
         most = children.groupBy("path", "child").count().groupBy("path").agg(
             F.max("count").alias("most")
         )
@@ -392,13 +398,13 @@ def near_duplicates(
         fresh = children.join(parted, "path", "left_semi").select("set", F.col("child").alias("path"))
         rest = final.join(parted, "path", "left_anti").select("set", "path")
         members = share(rest.unionByName(fresh).distinct())
-        buckets = share(sized(members))
-        final = share(members.join(buckets.select("path"), "path"))
+        buckets, final = in_buckets(members)
 
     # Blocks of a bucket by a hash of the set; a unit compares two of them.
-    blocks = buckets.select("path", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     own_paths = final.groupBy("set").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    placed = final.join(blocks, "path").withColumn("b", F.pmod(F.xxhash64("set"), "blocks"))
+    placed = final.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn(
+        "b", F.pmod(F.xxhash64("set"), "blocks")
+    )
     as_left = F.transform(
         F.sequence("b", F.col("blocks") - 1),
         lambda o: F.struct(F.col("b").alias("l"), o.alias("r"), F.lit(0).alias("side")),

@@ -131,3 +131,13 @@ def test_rows_without_ids(docs_of):
     rows = jaccard.near_duplicates(docs_of((None, text), (None, text), (None, "alone in the world"))).collect()
     assert sorted(r.n_links for r in rows) == [0, 1, 1]
     assert sum(r.kept for r in rows) == 2
+
+
+def test_members_carry_the_size_of_their_bucket(spark):
+    """So that no later step joins them by path again; a member stays one row."""
+    paths = {1: "abc", 2: "abc", 3: "ab", 4: "d", 5: "cd"}
+    rows = [(s.encode(), p) for p, own in paths.items() for s in own]
+    buckets, final = jaccard.in_buckets(spark.createDataFrame(rows, "set binary, path long"))
+    assert {(r.path, r.n) for r in buckets.collect()} == {(1, 3), (3, 2), (5, 2)}
+    got = sorted((r.path, bytes(r.set).decode(), r.n) for r in final.collect())
+    assert got == [(1, s, 3) for s in "abc"] + [(3, s, 2) for s in "ab"] + [(5, s, 2) for s in "cd"]
