@@ -26,14 +26,18 @@ _TIME = _DATE[:-1] + rf"([ T][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]{{1,6}})?
 
 def cell_fits(c: Column) -> dict[str, Column]:
     """Whether a trimmed cell can be read as each kind without losing anything:
-    codes with leading zeros and numbers beyond 18 digits are no whole numbers."""
+    codes with leading zeros and numbers beyond 18 digits are no whole numbers.
+    One character tells most cells that are no number, or no date, before any
+    pattern is tried."""
+    numeral = F.substring(c, 1, 1).isin(*"+-.0123456789")
+    dashed = F.substring(c, 5, 1) == "-"
     number = c.rlike(_NUMBER) & c.rlike("[0-9]") & c.try_cast("double").isNotNull()
     return {
-        "boolean": F.lower(c).isin("true", "false"),
-        "bigint": c.rlike(_WHOLE),
-        "double": number,
-        "date": c.rlike(_DATE) & F.try_to_date(c, "yyyy-MM-dd").isNotNull(),
-        "timestamp": c.rlike(_TIME) & c.try_cast("timestamp").isNotNull(),
+        "boolean": (F.length(c) <= 5) & F.lower(c).isin("true", "false"),
+        "bigint": numeral & c.rlike(_WHOLE),
+        "double": numeral & number,
+        "date": dashed & c.rlike(_DATE) & F.try_to_date(c, "yyyy-MM-dd").isNotNull(),
+        "timestamp": dashed & c.rlike(_TIME) & c.try_cast("timestamp").isNotNull(),
     }
 
 
@@ -44,15 +48,23 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     return {name: kind for name, (kind, _) in found.items()}
 
 
-def _profile(df: DataFrame) -> dict[str, tuple[str, int]]:
+def _fits(df: DataFrame) -> DataFrame:
+    """One row: how many cells of each column are filled, and whether all of
+    them fit each kind."""
+    # Each cell is stripped once; blank ones are null, which fits nothing and counts nothing.
+    stripped = [text.strip(F.col("`" + c.replace("`", "``") + "`")) for c in df.columns]
+    cells = df.select(*[F.nullif(c, F.lit("")).alias(f"{i}") for i, c in enumerate(stripped)])
     wanted = []
-    for i, name in enumerate(df.columns):
-        c = text.strip(F.col("`" + name.replace("`", "``") + "`"))
-        filled = c.isNotNull() & (c != "")
-        wanted.append(F.count(F.when(filled, 1)).alias(f"{i} n"))
+    for i in range(len(df.columns)):
+        c = F.col(f"{i}")
+        wanted.append(F.count(c).alias(f"{i} n"))
         for kind, fits in cell_fits(c).items():
-            wanted.append(F.min(F.when(filled, fits)).alias(f"{i} {kind}"))
-    row = df.agg(*wanted).first() if wanted else {}
+            wanted.append(F.min(F.when(c.isNotNull(), fits)).alias(f"{i} {kind}"))
+    return cells.agg(*wanted)
+
+
+def _profile(df: DataFrame) -> dict[str, tuple[str, int]]:
+    row = _fits(df).first() if df.columns else {}
     out = {}
     for i, name in enumerate(df.columns):
         kinds = [k for k in KINDS if row[f"{i} {k}"]]

@@ -475,3 +475,14 @@ def test_the_balance_scan_returns_whole_rows_and_branch_totals(spark):
         assert {(r["items"], r.codes, r.pieces) for r in own} == {
             (len(own), len({r.hsn_code for r in own}), sum(r.closing_qty for r in own))
         }
+
+
+def test_each_cell_is_stripped_once_for_all_kinds(spark):
+    df = spark.createDataFrame([(" 1 ", "x"), ("+2", " "), (None, "e5")], "a string, b string")
+    plan = inference._fits(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == len(df.columns)
+    assert inference.infer_types(df) == {"a": "bigint", "b": "string"}
+    cells = ["+5", "-.5", "5.", "-", ".", "e5", "1e5", "00", "2020-02-30", "2020-02-28 10:00", "TRUE"]
+    kinds = [inference.infer_types(spark.createDataFrame([(c,)], "a string"))["a"] for c in cells]
+    assert kinds == ["bigint", "double", "double", "string", "string", "string", "double", "string",
+                     "string", "timestamp", "boolean"]
