@@ -24,7 +24,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -265,10 +265,10 @@ class Aligner:
         other: list[tuple[str, bytes]] = []
         for run, text, x, y in zip(runs, texts, a, b):
             raw, a_ids = b" " + text.encode(), x.ids
-            pieces = y.pieces
+            pieces = list(y.pieces)  # each of its items is made anew when read
             b_ids = [p.id for p in pieces]
-            held = b"".join([self.b_bytes[i] for i in b_ids])
-            fits = b"".join([self.a_bytes[i] for i in a_ids]) == raw
+            held = b"".join(map(self.b_bytes.__getitem__, b_ids))
+            fits = b"".join(map(self.a_bytes.__getitem__, a_ids)) == raw
             if fits and held == raw:
                 good.runs.append(run)
                 good.raws.append(raw)
@@ -339,10 +339,13 @@ class Aligner:
     def _numbers(self, parts: list[str]) -> np.ndarray:
         """The segment of each part; those not met yet are encoded."""
         s = self.segments
-        new = [p for p in dict.fromkeys(parts) if p not in s.known]
-        if new:
-            s.add(self.encode(new))
-        return np.fromiter(map(s.known.__getitem__, parts), np.int64, len(parts))
+        at = np.fromiter(map(s.known.get, parts, repeat(-1)), np.int64, len(parts))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [parts[i] for i in missing.tolist()]
+            s.add(self.encode(list(dict.fromkeys(new))))
+            at[missing] = np.fromiter(map(s.known.__getitem__, new), np.int64, len(new))
+        return at
 
     def _batches(self, texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         """Parts of all texts with the text's number, about ``STRETCH`` characters
