@@ -60,17 +60,18 @@ def exact_sum(c: Column) -> Column:
     inner = value - top * F.lit(float(TOP))
     units = F.rint(inner * F.lit(float(10**PLACES))).cast("bigint")
     rest = inner - units / F.lit(float(10**PLACES))
-    sums = (
-        (top, 0, TOP),
-        (F.shiftright(units, LOW_BITS), PLACES, 2**LOW_BITS),
-        (units.bitwiseAND(F.lit(2**LOW_BITS - 1)), PLACES, 1),
-        (F.rint(rest * F.lit(float(10**REST_PLACES))).cast("bigint"), REST_PLACES, 1),
-    )
-    total = F.lit(0).cast("decimal(36,13)")
-    for part, places, factor in sums:
-        whole = (F.sum(part).cast("decimal(19,0)") * F.lit(factor).cast("decimal(13,0)")).cast("decimal(23,0)")
-        unit = F.lit(f"1e-{places}").cast(f"decimal({places + 1},{places})")
-        total = (total + (whole * unit).cast("decimal(36,13)")).cast("decimal(36,13)")
+    # Decimals are objects: few steps, each wide enough for the sums of longs.
+    whole = "decimal(19,0)"
+    tops = F.sum(top).cast(whole) * F.lit(TOP * 10**PLACES).cast("decimal(18,0)")
+    highs = F.sum(F.shiftright(units, LOW_BITS)).cast(whole) * F.lit(2**LOW_BITS).cast("decimal(7,0)")
+    lows = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast(whole)
+    rests = F.sum(F.rint(rest * F.lit(float(10**REST_PLACES))).cast("bigint")).cast(whole)
+
+    def unit(places: int) -> Column:
+        return F.lit(f"1e-{places}").cast(f"decimal({places + 1},{places})")
+
+    main = ((tops + highs + lows) * unit(PLACES)).cast("decimal(36,13)")
+    total = (main + rests * unit(REST_PLACES)).cast("decimal(36,13)")
     return total
 
 

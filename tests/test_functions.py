@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,22 @@ def test_exact_sum_beyond_one_long(spark):
     assert float(df.agg(numbers.exact_sum(F.col("x")).alias("s")).first().s) == 200 * 9.0e10
 
 
+def test_exact_sum_of_large_small_and_negative_parts(frame):
+    values_ = [1.0e15, -3.0e12 - 0.5, 0.12345, -0.00001, 0.5 + 2.0**-20, -2.0e13, 7.25]
+    df = frame("x double", *[{"x": v} for v in values_])
+    exact = sum(Decimal(v).quantize(Decimal("1e-13")) for v in values_[4:])
+    exact += sum(Decimal(str(v)) for v in values_[:4])
+    assert df.agg(numbers.exact_sum(F.col("x")).alias("s")).first().s == exact
+
+
+def test_exact_sum_has_few_decimal_steps(spark):
+    """One step more is an object more for every group."""
+    df = spark.range(1).agg(numbers.exact_sum(F.col("id")).alias("s"))
+    assert df.schema["s"].dataType.simpleString() == "decimal(36,13)"
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("as decimal(36,13))") <= 2
+
+
 def test_exact_sum_of_nothing_is_null(frame):
     df = frame("x double", {"x": None})
     row = df.agg(numbers.exact_sum(F.col("x")).alias("s"), numbers.mean(F.col("x")).alias("m")).first()
