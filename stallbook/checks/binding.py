@@ -102,11 +102,9 @@ def open_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_line(spark, sf_dir).filter(F.col("l_linestatus") == "O")
 
 
-def raw_sales(
-    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
-) -> DataFrame:
-    lines = open_lines(spark, sf_dir) if lines is None else lines
-    df = lines.select(
+def _bill_lines(lines: DataFrame) -> DataFrame:
+    """Bill lines without the calendar columns, which follow from the date."""
+    return lines.select(
         "company_name",
         F.when(F.col("is_b2b"), "B2B SALE").otherwise("SALES").alias("voucher_type"),
         F.col("txn_date").alias("sale_date"),
@@ -130,7 +128,19 @@ def raw_sales(
         ),
         "is_b2b",
     )
-    return dates.calendar(df, "sale_date", "sale_")
+
+
+def raw_sales(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
+) -> DataFrame:
+    lines = open_lines(spark, sf_dir) if lines is None else lines
+    return dates.calendar(_bill_lines(lines), "sale_date", "sale_")
+
+
+def stored_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`raw_sales`, stored; the calendar is made where it is read, so plans that
+    do not use it neither make nor write its texts."""
+    return dates.calendar(share(_bill_lines(open_lines(spark, sf_dir))), "sale_date", "sale_")
 
 
 def raw_sales_returns(

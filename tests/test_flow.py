@@ -264,3 +264,12 @@ def test_the_summary_moves_no_sums_for_every_bill(spark):
         line for line in plan(out).splitlines() if re.search(r"Aggregate\(keys=\[[^]]*voucher_no", line)
     ]
     assert by_bill and all("functions=[]" in line for line in by_bill)
+
+
+def test_stored_sales_keep_no_calendar(spark):
+    """The calendar is not written with the lines, and is there when they are read."""
+    stored, raw = binding.stored_sales(spark, SF_DIR), binding.raw_sales(spark, SF_DIR)
+    assert stored.columns == raw.columns
+    assert stored.exceptAll(raw).isEmpty() and raw.exceptAll(stored).isEmpty()
+    kept = spark.read.parquet(*stored.inputFiles()).columns
+    assert "sale_date" in kept and not {"sale_year", "sale_month_name", "sale_dow"} & set(kept)
