@@ -31,6 +31,8 @@ BUCKET = 256
 BLOCK = 512
 #: A bucket of which one child keeps this share holds sets that are all alike.
 ALIKE = 0.6
+#: Bits that mark the rows to move (8 MB).
+MARKS = 2**26
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -269,6 +271,24 @@ def read_sets(keyed: DataFrame, id_kind: str, runs: int) -> DataFrame:
     )
 
 
+def may_match(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys may be among the wanted ones, by bits of a hash: texts and
+    sets that match nothing are not moved by the join that follows, which drops the
+    few rows too many. The bits are a table of ``MARKS`` / 8 bytes at most, whatever
+    the input."""
+    mark = F.pmod(F.xxhash64(*keys), F.lit(MARKS))
+    bits = share(
+        wanted.select(mark.alias("mark"))
+        .groupBy(F.bitmap_bucket_number("mark").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("bits"))
+    )
+    bit = F.bitmap_bit_position("mark")
+    byte = F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))
+    on = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), bit % 8) == 1
+    marked = rows.withColumn("mark", mark).withColumn("bucket", F.bitmap_bucket_number("mark"))
+    return marked.join(F.broadcast(bits), "bucket").where(on).select(*rows.columns)
+
+
 def split(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(path, child, set): members of buckets one step further down."""
 
@@ -292,7 +312,7 @@ def split(members: DataFrame, sets: DataFrame) -> DataFrame:
                 )
 
     return (
-        members.join(sets.select("set", "tokens"), "set")
+        members.join(may_match(sets.select("set", "tokens"), members, "set"), "set")
         .select("path", "set", "tokens")
         .mapInArrow(go, "path long, child long, set binary")
     )
@@ -358,7 +378,7 @@ def near_duplicates(
     candidates = classes.join(final.select("set").distinct(), "set", "left_semi").select(
         "set", "copies", "first.id", "first.text_key"
     )
-    texts = keyed.alias("d").join(
+    texts = may_match(keyed, candidates, "text_key", "id").alias("d").join(
         candidates.alias("c"),
         (F.col("d.text_key") == F.col("c.text_key")) & F.col("d.id").eqNullSafe(F.col("c.id")),
     )

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stallbook.llm import jaccard
 from stallbook.llm.common import word_list
@@ -141,3 +142,16 @@ def test_members_carry_the_size_of_their_bucket(spark):
     assert {(r.path, r.n) for r in buckets.collect()} == {(1, 3), (3, 2), (5, 2)}
     got = sorted((r.path, bytes(r.set).decode(), r.n) for r in final.collect())
     assert got == [(1, s, 3) for s in "abc"] + [(3, s, 2) for s in "ab"] + [(5, s, 2) for s in "cd"]
+
+
+def test_rows_that_match_nothing_are_not_moved(spark):
+    """All wanted rows, null keys too, and hardly any other."""
+    key = F.unhex(F.md5(F.col("id").cast("string").cast("binary")))
+    rows = spark.range(50_000).select("id", key.alias("text_key"), F.lit("x").alias("text"))
+    rows = rows.withColumn("id", F.when(F.col("id") != 10, F.col("id")))
+    wanted = rows.where("id % 50 = 3 or id is null").select("text_key", "id")
+    left = jaccard.may_match(rows, wanted, "text_key", "id")
+    assert left.columns == rows.columns
+    assert left.where("id % 50 = 3 or id is null").count() == wanted.count() == 1001
+    assert left.count() < 1100
+    assert jaccard.may_match(rows, wanted.limit(0), "text_key", "id").isEmpty()
