@@ -254,7 +254,8 @@ def movement_totals(
     )
     return (
         moved_in.unionByName(moved_out)
-        .groupBy("company_name", "stock_no")
+        # texts are aggregated in sorted rows, and a code decides more than a branch
+        .groupBy("stock_no", "company_name")
         .agg(
             *[F.max(c).alias(c) for c in item[2:]],
             F.max("retail_price").alias("retail_price"),
@@ -266,6 +267,17 @@ def movement_totals(
             F.max("sold").alias("last_sold_date"),
         )
         .withColumn("closing_qty", F.col("inwards_qty") - F.col("outwards_qty"))
+        .select(
+            *item,
+            "retail_price",
+            "cost_price",
+            "supplier_name",
+            "inwards_qty",
+            "outwards_qty",
+            "last_purchase_date",
+            "last_sold_date",
+            "closing_qty",
+        )
     )
 
 

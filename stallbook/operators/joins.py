@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.operators.rows import distinct_count
+from stallbook.operators.shared import share
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,3 +64,58 @@ def groups_with_counts(
         k: F.when(F.col(NULLS).bitwiseAND(F.lit(2**i)) == 0, F.col(k)) for i, k in enumerate(keys)
     }
     return out.withColumns(own).drop(NULLS)
+
+
+#: Groups are counted in so many buckets to find large ones, of more rows than this.
+BUCKETS = 2**16
+LARGE = 100_000
+
+
+def _code(keys: Sequence[str]) -> Column:
+    """A hash of the keys; hashing skips nulls, so their places go into it as well."""
+    return F.xxhash64(*keys, *[F.col(k).isNull() for k in keys])
+
+
+def large_buckets(df: DataFrame, keys: Sequence[str], large: int = LARGE) -> list[int]:
+    """Buckets of groups with more than half the rows of an equal part for a task, and
+    more than ``large``: less than twice as many as there are parts."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(_code(keys), F.lit(BUCKETS)).alias("bucket")
+    counts = share(df.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")))
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    return [r.bucket for r in counts.where(F.col("n") > max(large, rows / parts / 2)).collect()]
+
+
+def stored_groups_with_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    sums: Sequence[Column],
+    counts: Mapping[str, str],
+    large: int = LARGE,
+) -> DataFrame:
+    """:func:`groups_with_counts` for stored rows of many small groups, which partial
+    aggregates do not make fewer: each row is moved once, by a hash of its keys, and
+    the sums and all counts are taken where it arrives, without pairs or joins.
+
+    Groups that are large for a task are looked for at once. Their buckets take the
+    other way, where rows are reduced before they move."""
+    buckets = large_buckets(df, keys, large)
+    if not buckets:
+        return _moved_groups(df, keys, sums, counts)
+    in_large = F.pmod(_code(keys), F.lit(BUCKETS)).isin(buckets)
+    small = _moved_groups(df.where(~in_large), keys, sums, counts)
+    return small.unionByName(groups_with_counts(df.where(in_large), keys, sums, counts))
+
+
+def _moved_groups(
+    df: DataFrame, keys: Sequence[str], sums: Sequence[Column], counts: Mapping[str, str]
+) -> DataFrame:
+    """The first row of each value of a group is marked, and marks are added up."""
+    moved = df.withColumn("_code", _code(keys)).repartition("_code")
+    marks = {name: f"_first_{name}" for name in counts}
+    for name, column in counts.items():
+        value = Window.partitionBy("_code", *keys, column).orderBy(F.lit(1))
+        first = (F.row_number().over(value) == 1) & F.col(column).isNotNull()
+        moved = moved.withColumn(marks[name], first.cast("bigint"))
+    found = [F.sum(mark).alias(name) for name, mark in marks.items()]
+    return moved.groupBy("_code", *keys).agg(*sums, *found).drop("_code")

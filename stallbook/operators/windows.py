@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,11 +40,13 @@ def dedup_stored(
     order: Sequence[Column],
     tiebreak: Sequence[str] = (),
     most: int = MOST_REPEATED,
+    settled: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """:func:`dedup_latest` for stored rows whose keys seldom come twice. Hashes of
     the keys are counted first; rows whose hash occurs once stay where they are, and
     only the others are shuffled and compared, by their keys. With more than
-    ``most`` repeated hashes all rows are. ``df`` is read twice.
+    ``most`` repeated hashes all rows are. ``df`` is read twice. Where the result is
+    read again, ``settled=share`` keeps what was shuffled.
     """
     hashed = df.withColumn("_code", F.xxhash64(*keys))
     repeated = share(
@@ -54,10 +56,10 @@ def dedup_stored(
     if n == 0:
         return df
     if n > most:
-        return dedup_latest(df, keys, order, tiebreak)
+        return settled(dedup_latest(df, keys, order, tiebreak))
     once = hashed.join(repeated, "_code", "left_anti").drop("_code")
     again = hashed.join(repeated, "_code", "left_semi").drop("_code")
-    return once.unionByName(dedup_latest(again, keys, order, tiebreak))
+    return once.unionByName(settled(dedup_latest(again, keys, order, tiebreak)))
 
 
 def add_ranks(df: DataFrame, ranks: Mapping[str, tuple[Sequence[str], str]]) -> DataFrame:

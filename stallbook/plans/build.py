@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from stallbook.config import RetailConfig
+from stallbook.operators.joins import stored_groups_with_counts
 from stallbook.operators.rows import as_double
 from stallbook.operators.shared import share, shared_results
 from stallbook.plans import intermediate, marts, staging
@@ -47,19 +48,23 @@ def build_all(
     as_of: dt.date | str | None = None,
 ) -> dict[str, DataFrame]:
     """All 20 models by name. Results that several models read are computed once
-    and kept in the checkpoint folder: the deduplicated sales, the purchases, the item velocity,
-    the product summary, the purchase months and the daily financials. Ranked
-    models store the values that they rank. All other models are lazy. The sales are
-    read twice and should be a stored table."""
+    and kept in the checkpoint folder: bill lines whose key comes twice, the item velocity,
+    the product summary and the daily financials. Ranked models store the values
+    that they rank. All other models are lazy. Sales and purchases are read several
+    times and should be stored tables: they are not stored again."""
     cfg = cfg or RetailConfig()
     out = build_staging(tables, cfg)
-    sales = out["stg_sales"] = share(staging.stg_stored_sales(tables["sales"], cfg))
-    purchases = out["stg_purchases"] = share(out["stg_purchases"])
+    sales = out["stg_sales"] = staging.stg_sales(
+        tables["sales"], cfg, staging.settled_stored_sale
+    )
+    purchases = out["stg_purchases"]
 
     out["stg_healthy_items"] = staging.healthy_items(
         purchases, out["stg_dead_stock"], out["stg_stockouts"], cfg
     )
-    velocity = share(intermediate.inventory_velocity(sales, cfg, as_of))
+    velocity = share(
+        intermediate.inventory_velocity(sales, cfg, as_of, stored_groups_with_counts)
+    )
     out["int_inventory_velocity"] = velocity
     out["int_net_sales"] = intermediate.net_sales(sales, out["stg_sales_returns"], cfg)
     summary = share(intermediate.product_summary(sales, purchases))
@@ -76,9 +81,12 @@ def build_all(
         out["stg_stock_balance"], velocity, out["stg_stock_movement"], cfg
     )
     out["mart_product_brand_performance"] = marts.product_brand_performance(summary, cfg)
-    out["mart_supplier_analysis"] = marts.supplier_analysis(purchases, cfg, as_of)
-    months = share(marts.purchase_months(purchases))
-    out["mart_procurement_analysis"] = marts.procurement_analysis(months, cfg, as_of)
+    out["mart_supplier_analysis"] = marts.supplier_analysis(
+        purchases, cfg, as_of, stored_groups_with_counts
+    )
+    out["mart_procurement_analysis"] = marts.procurement_analysis(
+        marts.purchase_months(purchases), cfg, as_of
+    )
     return arranged(out)
 
 

@@ -4,6 +4,7 @@ transfer opportunities."""
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,17 +47,25 @@ def _item_sums() -> list[Column]:
     ]
 
 
+Grouping = Callable[[DataFrame, Sequence[str], Sequence[Column], Mapping[str, str]], DataFrame]
+
+
 def inventory_velocity(
-    sales: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
+    sales: DataFrame,
+    cfg: RetailConfig,
+    as_of: dt.date | str | None = None,
+    group: Grouping = groups_with_counts,
 ) -> DataFrame:
     """How fast each item sells at each branch, from deduplicated bill lines.
 
     The grain includes description, product and brand: an SKU billed under two
     descriptions has two rows. ``sales`` is read three times, for its sums, days
-    and bills, and should be a stored result; ``VELOCITY_LINE`` is all it needs.
+    and bills, and should be a stored result; ``VELOCITY_LINE`` is all it needs. Of
+    stored lines, ``group`` may be ``joins.stored_groups_with_counts``.
     """
     counts = {"num_bills": "voucher_no", "days_with_sales": "sale_date"}
-    return velocity_of(groups_with_counts(sales, ITEM, _item_sums(), counts), cfg, as_of)
+    lines = sales.select(*VELOCITY_LINE)
+    return velocity_of(group(lines, ITEM, _item_sums(), counts), cfg, as_of)
 
 
 def velocity_months(sales: DataFrame) -> DataFrame:

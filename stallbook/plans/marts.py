@@ -11,6 +11,8 @@ from stallbook.config import RetailConfig
 from stallbook.functions import dates, rules
 from stallbook.functions.numbers import exact_sum, max_if, mean, safe_ratio
 from stallbook.operators.joins import groups_with_counts, left_join
+from stallbook.operators.rows import distinct_count
+from stallbook.operators.shared import share
 from stallbook.operators.windows import (
     add_ranks,
     lag_days,
@@ -19,7 +21,7 @@ from stallbook.operators.windows import (
     rolling_avg_days,
     running_sum,
 )
-from stallbook.plans.intermediate import DAY_KEYS
+from stallbook.plans.intermediate import DAY_KEYS, Grouping
 
 DAY_MEASURES = (
     "gross_sales sales_returns net_sales b2b_sales total_expenses salary_expense "
@@ -268,16 +270,27 @@ def _gross_margin(margin: Column, retail: Column) -> Column:
     return safe_ratio(margin, retail, 100, digits=2)
 
 
+#: Columns of a purchase line that the supplier analysis reads.
+SUPPLIER_LINE = (
+    "supplier_name brand product voucher_no stock_no voucher_date purchase_qty "
+    "item_net_amount item_rate retail_price"
+).split()
+
+
 def supplier_analysis(
-    purchases: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
+    purchases: DataFrame,
+    cfg: RetailConfig,
+    as_of: dt.date | str | None = None,
+    group: Grouping = groups_with_counts,
 ) -> DataFrame:
     """Spend, prices and margin per supplier, brand and product, with ranks.
     ``purchases`` is read three times, twice of them for a few columns, and should
-    be a stored result."""
+    be a stored result. Of stored lines, ``group`` may be
+    ``joins.stored_groups_with_counts``."""
     keys = ["supplier_name", "brand", "product"]
-    named = purchases.filter(F.col("supplier_name").isNotNull())
+    named = purchases.select(*SUPPLIER_LINE).filter(F.col("supplier_name").isNotNull())
     first, last = F.min("voucher_date"), F.max("voucher_date")
-    out = groups_with_counts(
+    out = group(
         named.withColumn("_margin", _line_margin()),
         keys,
         [
@@ -306,35 +319,21 @@ def supplier_analysis(
 
 
 def purchase_months(purchases: DataFrame) -> DataFrame:
-    """Purchases summed per month and item, supplier, style: the finest grain
-    that the procurement summaries count over."""
+    """Purchase lines with their month and the columns that the procurement summaries
+    read. They are not summed by item, supplier and style, as few lines share all three."""
     day = F.col("voucher_date")
-    year = F.col("purchase_year").cast("int")
-    month = F.col("purchase_month").cast("int")
-    return (
-        purchases.withColumns(
-            {
-                "purchase_year": F.year(day).cast("bigint"),
-                "purchase_month": F.month(day).cast("bigint"),
-                "_margin": _line_margin(),
-            }
-        )
-        .groupBy(
-            "purchase_year",
-            "purchase_month",
-            "product",
-            "brand",
-            "stock_no",
-            "style",
-            "supplier_name",
-        )
-        .agg(
-            F.sum("purchase_qty").alias("units"),
-            exact_sum(F.col("item_net_amount")).alias("spend"),
-            exact_sum(F.col("_margin")).alias("margin"),
-            exact_sum(F.col("retail_price")).alias("retail"),
-        )
-        .withColumn("year_month", dates.year_month(F.make_date(year, month, F.lit(1))))
+    return purchases.select(
+        F.year(day).cast("bigint").alias("purchase_year"),
+        F.month(day).cast("bigint").alias("purchase_month"),
+        "product",
+        "brand",
+        "stock_no",
+        "style",
+        "supplier_name",
+        F.col("purchase_qty").alias("units"),
+        F.col("item_net_amount").alias("spend"),
+        _line_margin().alias("margin"),
+        F.col("retail_price").alias("retail"),
     )
 
 
@@ -342,27 +341,44 @@ def procurement_analysis(
     months: DataFrame, cfg: RetailConfig, as_of: dt.date | str | None = None
 ) -> DataFrame:
     """Monthly buying trend per product and brand, with brand and category
-    totals and ranks. All three summaries, each with its distinct counts, read
-    ``months``, the stored result of :func:`purchase_months`."""
-    base = months
-    trend = base.groupBy(
-        "purchase_year", "purchase_month", "year_month", "product", "brand"
-    ).agg(
-        F.sum("units").alias("total_units"),
-        F.round(F.sum("spend"), 2).alias("total_spend"),
-        _gross_margin(F.sum("margin"), F.sum("retail")).alias("gross_margin_pct"),
-        F.count_distinct("stock_no").alias("unique_items"),
-        F.count_distinct("supplier_name").alias("unique_suppliers"),
+    totals and ranks. ``months``, the result of :func:`purchase_months`, should be
+    stored or read from stored lines: it is summed once, to the trend, of which the
+    totals are made, and read again for each distinct count of its lines."""
+    month = ["purchase_year", "purchase_month"]
+    sums = share(
+        groups_with_counts(
+            months,
+            [*month, "product", "brand"],
+            [
+                F.sum("units").alias("total_units"),
+                *[exact_sum(F.col(c)).alias(c) for c in ("spend", "margin", "retail")],
+            ],
+            {"unique_items": "stock_no", "unique_suppliers": "supplier_name"},
+        )
+    )
+    first = F.make_date(*[F.col(c).cast("int") for c in month], F.lit(1))
+    trend = sums.select(
+        *month,
+        dates.year_month(first).alias("year_month"),
+        "product",
+        "brand",
+        "total_units",
+        F.round("spend", 2).alias("total_spend"),
+        _gross_margin(F.col("margin"), F.col("retail")).alias("gross_margin_pct"),
+        "unique_items",
+        "unique_suppliers",
     )
-    brands = base.groupBy("brand", "product").agg(
+    brands = sums.groupBy("brand", "product").agg(
         F.sum("spend").alias("_brand_spend"),
         _gross_margin(F.sum("margin"), F.sum("retail")).alias("brand_gross_margin_pct"),
-        F.count_distinct("style").alias("unique_styles"),
     )
     brands = add_ranks(brands, {"brand_rank": ((), "_brand_spend")})
     brands = brands.withColumn("total_brand_spend", F.round("_brand_spend", 2))
+    # a null brand or product meets no row of the trend, neither here nor below
+    styles = share(distinct_count(months, ["brand", "product"], "style", "unique_styles"))
+    brands = left_join(brands, styles, ["brand", "product"])
 
-    categories = base.groupBy("product").agg(
+    categories = sums.groupBy("product").agg(
         F.sum("spend").alias("_category_spend"),
         _gross_margin(F.sum("margin"), F.sum("retail")).alias("category_gross_margin_pct"),
         F.count_distinct("brand").alias("unique_brands"),

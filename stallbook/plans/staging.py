@@ -11,6 +11,7 @@ from stallbook.config import RetailConfig
 from stallbook.functions import rules
 from stallbook.functions.numbers import exact_sum, mean
 from stallbook.operators.joins import anti_join
+from stallbook.operators.shared import share
 from stallbook.operators.windows import dedup_latest, dedup_stored
 
 SALES_COLUMNS = (
@@ -101,6 +102,12 @@ def latest_stored_sale(lines: DataFrame) -> DataFrame:
     return dedup_stored(lines, SALES_KEYS, _highest_revenue(), SALES_TIEBREAK)
 
 
+def settled_stored_sale(lines: DataFrame) -> DataFrame:
+    """:func:`latest_stored_sale` for a result that several models read: lines that had
+    to be moved are stored, all others are read where they are."""
+    return dedup_stored(lines, SALES_KEYS, _highest_revenue(), SALES_TIEBREAK, settled=share)
+
+
 def stg_sales(
     raw: DataFrame,
     cfg: RetailConfig,

@@ -273,3 +273,25 @@ def test_stored_sales_keep_no_calendar(spark):
     assert stored.exceptAll(raw).isEmpty() and raw.exceptAll(stored).isEmpty()
     kept = spark.read.parquet(*stored.inputFiles()).columns
     assert "sale_date" in kept and not {"sale_year", "sale_month_name", "sale_dow"} & set(kept)
+
+
+def test_a_build_does_not_store_its_lines_again(spark, monkeypatch):
+    """Sales and purchases are stored tables: of their lines, only those are kept whose
+    key comes twice."""
+    from stallbook.plans import intermediate, marts, staging
+
+    tables = binding.raw_tables(spark, SF_DIR)
+    kept = []
+    for module in (build, marts, staging, windows):
+        if hasattr(module, "share"):
+            monkeypatch.setattr(module, "share", lambda df: kept.append(share(df)) or kept[-1])
+    models = build.build_all(tables, binding.CFG, binding.AS_OF)
+    lines = [df.count() for df in kept if "voucher_no" in df.columns and df.columns[0] == "company_name"]
+    assert all(n < 1000 for n in lines)
+    assert not [df for df in kept if {"stock_no", "supplier_name", "margin"} <= set(df.columns)]
+    want = staging.stg_sales(tables["sales"], binding.CFG)
+    got = models["stg_sales"]
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    want = intermediate.inventory_velocity(want, binding.CFG, binding.AS_OF)
+    got = models["int_inventory_velocity"].select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -125,6 +125,25 @@ def test_counts_beside_sums_meet_without_another_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_groups_of_stored_rows_move_once(spark, large):
+    """Sums and both counts are taken after one shuffle, without a join; a group that
+    is too large for a task takes the other way, with the same rows."""
+    from stallbook.operators.joins import groups_with_counts, stored_groups_with_counts
+
+    data = [("a", None, 1, "x"), ("a", None, 2, "x"), ("a", "", 3, "y"), (None, "a", 4, None), ("0", "0", 5, "z")]
+    data += [(f"k{i // 2}", "l", i % 2, f"v{i}") for i in range(400)]
+    data += [("hot", "l", i % 7, f"v{i % 9}") for i in range(300 if large else 0)]
+    df = spark.createDataFrame(data, "k string, l string, n long, v string")
+    args = (["k", "l"], [F.sum("n").alias("n")], {"vs": "v", "ns": "n"})
+    out, want = stored_groups_with_counts(df, *args, large=100), groups_with_counts(df, *args)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("Join" in plan) == large
+    assert large or plan.count("Exchange") == 1
+    assert out.columns == want.columns
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
 def test_days_of_a_month_need_no_pairs(spark):
     import datetime as dt
 
