@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stallbook.config import RetailConfig
 from stallbook.functions import dates
 from stallbook.functions.numbers import safe_ratio
-from stallbook.operators.shared import share
+from stallbook.operators.shared import at_once, share
 from stallbook.plans.cleaning import balance_measures, clean_ledger, movement_measures
 
 CFG = RetailConfig(
@@ -543,9 +543,15 @@ def raw_tables(
     four stock tables come from one stored movement table. Sales and purchases are
     read for it again: ``store`` keeps them under their names and reads them back.
     Sales and returns come from stored lines."""
-    lines = share(open_lines(spark, sf_dir))
-    sales = store("sales", raw_sales(spark, sf_dir, lines))
-    bought = store("purchase", raw_purchase(spark, sf_dir))
+
+    def sold() -> tuple[DataFrame, DataFrame]:
+        lines = share(open_lines(spark, sf_dir))
+        return lines, store("sales", raw_sales(spark, sf_dir, lines))
+
+    def purchased() -> DataFrame:
+        return store("purchase", raw_purchase(spark, sf_dir))
+
+    (lines, sales), bought = at_once(spark, sold, purchased)
     totals = share(movement_totals(spark, sf_dir, sales, bought))
     return {
         "sales": sales,

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from stallbook.config import RetailConfig
 from stallbook.operators.joins import stored_groups_with_counts
 from stallbook.operators.rows import as_double
-from stallbook.operators.shared import share, shared_results
+from stallbook.operators.shared import at_once, share, shared_results
 from stallbook.plans import intermediate, marts, staging
 from stallbook.plans.columns import arranged
 from stallbook.sources.writers import load_report
@@ -51,42 +52,60 @@ def build_all(
     and kept in the checkpoint folder: bill lines whose key comes twice, the item velocity,
     the product summary and the daily financials. Ranked models store the values
     that they rank. All other models are lazy. Sales and purchases are read several
-    times and should be stored tables: they are not stored again."""
+    times and should be stored tables: they are not stored again. Models of sales, of
+    the ledger and of purchases are built at once."""
     cfg = cfg or RetailConfig()
-    out = build_staging(tables, cfg)
-    sales = out["stg_sales"] = staging.stg_sales(
-        tables["sales"], cfg, staging.settled_stored_sale
-    )
-    purchases = out["stg_purchases"]
+    spark = tables["sales"].sparkSession
+    staged = build_staging(tables, cfg)
+    purchases = staged["stg_purchases"]
 
-    out["stg_healthy_items"] = staging.healthy_items(
-        purchases, out["stg_dead_stock"], out["stg_stockouts"], cfg
-    )
-    velocity = share(
-        intermediate.inventory_velocity(sales, cfg, as_of, stored_groups_with_counts)
-    )
-    out["int_inventory_velocity"] = velocity
-    out["int_net_sales"] = intermediate.net_sales(sales, out["stg_sales_returns"], cfg)
-    summary = share(intermediate.product_summary(sales, purchases))
-    out["int_product_performance"] = intermediate.product_performance(sales, purchases, summary)
-    out["int_daily_pnl"] = intermediate.daily_pnl(out["stg_ledger"], cfg)
-    out["int_transfer_opportunities"] = intermediate.transfer_opportunities(
-        out["stg_stock_movement"], velocity
-    )
+    def of_items(sales: DataFrame) -> dict[str, DataFrame]:
+        velocity = share(
+            intermediate.inventory_velocity(sales, cfg, as_of, stored_groups_with_counts)
+        )
+        balance, movement = staged["stg_stock_balance"], staged["stg_stock_movement"]
+        return {
+            "int_inventory_velocity": velocity,
+            "int_transfer_opportunities": intermediate.transfer_opportunities(movement, velocity),
+            "mart_action_board": marts.action_board(balance, velocity, movement, cfg),
+        }
 
-    fin = share(marts.financials(out["int_daily_pnl"], cfg, as_of))
-    out["mart_financials"] = fin
-    out["mart_branch_performance"] = marts.branch_performance(fin, cfg)
-    out["mart_action_board"] = marts.action_board(
-        out["stg_stock_balance"], velocity, out["stg_stock_movement"], cfg
-    )
-    out["mart_product_brand_performance"] = marts.product_brand_performance(summary, cfg)
-    out["mart_supplier_analysis"] = marts.supplier_analysis(
-        purchases, cfg, as_of, stored_groups_with_counts
-    )
-    out["mart_procurement_analysis"] = marts.procurement_analysis(
-        marts.purchase_months(purchases), cfg, as_of
+    def of_products(sales: DataFrame) -> dict[str, DataFrame]:
+        summary = share(intermediate.product_summary(sales, purchases))
+        return {
+            "int_product_performance": intermediate.product_performance(sales, purchases, summary),
+            "mart_product_brand_performance": marts.product_brand_performance(summary, cfg),
+        }
+
+    def of_sales() -> dict[str, DataFrame]:
+        sales = staging.stg_sales(tables["sales"], cfg, staging.settled_stored_sale)
+        items, products = at_once(spark, lambda: of_items(sales), lambda: of_products(sales))
+        net = intermediate.net_sales(sales, staged["stg_sales_returns"], cfg)
+        return {"stg_sales": sales, "int_net_sales": net} | items | products
+
+    def of_ledger() -> dict[str, DataFrame]:
+        daily = intermediate.daily_pnl(staged["stg_ledger"], cfg)
+        fin = share(marts.financials(daily, cfg, as_of))
+        return {
+            "int_daily_pnl": daily,
+            "mart_financials": fin,
+            "mart_branch_performance": marts.branch_performance(fin, cfg),
+        }
+
+    def of_suppliers() -> dict[str, DataFrame]:
+        found = marts.supplier_analysis(purchases, cfg, as_of, stored_groups_with_counts)
+        return {"mart_supplier_analysis": found}
+
+    def of_months() -> dict[str, DataFrame]:
+        months = marts.purchase_months(purchases)
+        return {"mart_procurement_analysis": marts.procurement_analysis(months, cfg, as_of)}
+
+    out = dict(staged)
+    out["stg_healthy_items"] = staging.healthy_items(
+        purchases, staged["stg_dead_stock"], staged["stg_stockouts"], cfg
     )
+    for models in at_once(spark, of_sales, of_suppliers, of_months, of_ledger):
+        out |= models
     return arranged(out)
 
 
@@ -101,4 +120,8 @@ def build_marts(
     spark = next(iter(tables.values())).sparkSession
     with shared_results(spark):
         models = build_all(tables, cfg, as_of)
-        return {name: load_report(as_double(models[name]), f"{root}/{name}") for name in MARTS}
+
+        def load(name: str) -> dict[str, int]:
+            return load_report(as_double(models[name]), f"{root}/{name}")
+
+        return dict(zip(MARTS, at_once(spark, *[partial(load, name) for name in MARTS])))

@@ -2,6 +2,7 @@
 
 import re
 import sys
+import threading
 from pathlib import Path
 
 import duckdb
@@ -295,3 +296,23 @@ def test_a_build_does_not_store_its_lines_again(spark, monkeypatch):
     want = intermediate.inventory_velocity(want, binding.CFG, binding.AS_OF)
     got = models["int_inventory_velocity"].select(*want.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_steps_run_beside_each_other(spark):
+    """Each step waits for the other one; properties of the caller hold in both."""
+    met = threading.Barrier(2, timeout=60)
+
+    def step(n):
+        met.wait()
+        return spark.range(n).count(), spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+
+    spark.sparkContext.setJobGroup("beside", "steps")
+    try:
+        got = shared.at_once(spark, lambda: step(3), lambda: step(4))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == [(3, "beside"), (4, "beside")] and shared.at_once(spark) == []
+    done = []
+    with pytest.raises(ZeroDivisionError):
+        shared.at_once(spark, lambda: 1 // 0, lambda: done.append(spark.range(5).count()))
+    assert done == [5]
