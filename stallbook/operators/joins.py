@@ -110,8 +110,9 @@ def stored_groups_with_counts(
 def _moved_groups(
     df: DataFrame, keys: Sequence[str], sums: Sequence[Column], counts: Mapping[str, str]
 ) -> DataFrame:
-    """The first row of each value of a group is marked, and marks are added up."""
-    moved = df.withColumn("_code", _code(keys)).repartition("_code")
+    """The first row of each value of a group is marked, and marks are added up. The
+    hash is made again after the move, as it would be the least compressible column."""
+    moved = df.repartition(_code(keys)).withColumn("_code", _code(keys))
     marks = {name: f"_first_{name}" for name in counts}
     for name, column in counts.items():
         value = Window.partitionBy("_code", *keys, column).orderBy(F.lit(1))
